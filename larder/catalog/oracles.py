@@ -91,7 +91,7 @@ prepared AS (
 
 def with_prelude(body_ctes: str, select: str) -> str:
     extra = f",\n{body_ctes}" if body_ctes.strip() else ""
-    return f"WITH{prelude()}{extra}\n{select}"
+    return f"WITH RECURSIVE{prelude()}{extra}\n{select}"
 
 
 SERIES = "PARTITION BY store_id, item_id ORDER BY date"
@@ -198,3 +198,322 @@ series AS (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM
 SELECT s.id, s.item_id, s.dept_id, s.cat_id, s.store_id, s.state_id, c.d,
   round(coalesce(sd.sales, 0.0), 6) AS sales
 FROM series s CROSS JOIN calendar c LEFT JOIN sales_daily sd ON sd.id = s.id AND sd.d = c.d""")
+
+# -- diagnostics, round trip, forecasting ------------------------------------
+
+_FM = f"fm AS (SELECT * FROM featured WHERE n_obs >= {P.MIN_GROUP_ROWS})"
+_NULL_COLS = ([f"lag_{n}" for n in P.LAGS] + [f"rolling_mean_{n}" for n in P.WINDOWS]
+              + [f"rolling_std_{n}" for n in P.WINDOWS] + ["price_rel_mean", "price_change_pct", "log_price"])
+
+ORACLES["feature_null_counts"] = with_prelude(_feature_ctes() + ",\n" + _FM, "SELECT count(*) AS n_rows, " + ", ".join(
+    f"CAST(sum(CAST({c} IS NULL AS BIGINT)) AS BIGINT) AS null_{c}" for c in _NULL_COLS) + " FROM fm")
+
+ORACLES["quality_checks"] = with_prelude(_feature_ctes() + ",\n" + _FM, """
+SELECT count(*) AS n_rows,
+  round(avg(CAST(sell_price IS NULL AS DOUBLE)), 6) AS price_null_rate,
+  CAST(sum(CAST(sales < 0 AS BIGINT)) AS BIGINT) AS negative_sales,
+  CAST(sum(CAST(NOT (is_weekend IN (0, 1)) OR NOT (has_event IN (0, 1)) OR NOT (snap_active IN (0, 1))
+                AS BIGINT)) AS BIGINT) AS bad_flags,
+  (SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM
+     (SELECT count(*) AS c FROM fm GROUP BY store_id, item_id, date HAVING count(*) > 1)) AS duplicate_keys
+FROM fm""")
+
+ORACLES["features_roundtrip"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM,
+    f"SELECT {_cols(KEYS + ['sales', 'lag_7', 'rolling_mean_28', 'sell_price'])} FROM fm")
+
+_DATES = """
+dates AS (
+  SELECT date, CAST(row_number() OVER (ORDER BY date) AS INT) AS date_rank, count(*) OVER () AS n_dates
+  FROM (SELECT DISTINCT date FROM fm))"""
+_FOLDS = f"""
+fold_rows AS (
+  SELECT CAST(f.fold AS INT) AS fold, d.date, d.date_rank,
+    d.n_dates - ({P.CV_SPLITS} - f.fold + 1) * {P.FORECAST_HORIZON} AS start
+  FROM dates d, (SELECT unnest(range(1, {P.CV_SPLITS + 1})) AS fold) f),
+cvf AS (
+  SELECT fold, date,
+    CASE WHEN date_rank <= start THEN 'train' WHEN date_rank <= start + {P.FORECAST_HORIZON} THEN 'test' END AS role
+  FROM fold_rows WHERE start > 0 AND date_rank <= start + {P.FORECAST_HORIZON})"""
+
+ORACLES["distinct_dates"] = with_prelude(_feature_ctes() + ",\n" + _FM + "," + _DATES, "SELECT * FROM dates")
+ORACLES["cv_folds"] = with_prelude(_feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS,
+                                   "SELECT fold, date, role FROM cvf")
+ORACLES["moving_average_forecast"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM,
+    "SELECT store_id, item_id, date, round(sales, 6) AS sales, "
+    "round(coalesce(rolling_mean_28, 0.0), 6) AS forecast FROM fm")
+ORACLES["cv_metrics"] = with_prelude(_feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS + """,
+scored AS (SELECT date, sales, greatest(coalesce(rolling_mean_28, 0.0), 0.0) AS p FROM fm),
+per_fold AS (
+  SELECT t.fold, sqrt(avg((s.sales - s.p) * (s.sales - s.p))) AS rmse,
+    CASE WHEN sum(s.sales) > 0 THEN sum(abs(s.sales - s.p)) / sum(s.sales) ELSE 0.0 END AS wmape
+  FROM scored s JOIN (SELECT fold, date FROM cvf WHERE role = 'test') t ON s.date = t.date
+  GROUP BY t.fold)""", "SELECT round(avg(rmse), 6) AS rmse, round(avg(wmape), 6) AS wmape, count(*) AS n_folds "
+                       "FROM per_fold")
+
+# -- allocation ---------------------------------------------------------------
+
+_ALLOC = f"""
+stats AS (SELECT store_id, item_id, avg(sales) AS avg_demand, sum(sales) AS total_demand
+          FROM sales_daily GROUP BY store_id, item_id),
+inv AS (SELECT store_id, item_id,
+          CAST(ceil(greatest(0.0, coalesce(avg_demand, 0.0)) * {P.INITIAL_MULTIPLIER}) AS DOUBLE) AS qty
+        FROM stats),
+dem AS (SELECT store_id, item_id, total_demand AS demand FROM stats),
+need0 AS (SELECT d.item_id, greatest(0.0, d.demand - i.qty) AS need
+          FROM dem d JOIN inv i ON d.store_id = i.store_id AND d.item_id = i.item_id),
+wh AS (SELECT item_id, sum(need) * CASE WHEN CAST(substr(item_id, 7, 4) AS INT) % 2 = 0 THEN 0.5 ELSE 2.0 END AS qty
+       FROM need0 GROUP BY item_id)"""
+
+
+def _alloc_ctes(dem: str, inv: str, wh: str, mode: str, tag: str) -> str:
+    """Allocation of ``dem(store_id,item_id,demand)`` against ``inv(...,qty)``
+    and ``wh(item_id,qty)``, as SQL over the need per pair."""
+    if P.STOCKOUT_PENALTY <= P.TRANSPORT_COST:
+        x = "0.0"
+    elif mode == "ordered":
+        x = ("least(need, greatest(0.0, warehouse - coalesce(sum(need) OVER (PARTITION BY item_id "
+             "ORDER BY store_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)))")
+    else:
+        x = ("need * least(1.0, coalesce(warehouse / nullif(sum(need) OVER (PARTITION BY item_id), 0), 0.0))")
+    return f"""
+{tag}_base AS (
+  SELECT d.store_id, d.item_id, d.demand, coalesce(i.qty, 0.0) AS inventory,
+    greatest(0.0, d.demand - coalesce(i.qty, 0.0)) AS need, greatest(0.0, coalesce(w.qty, 0.0)) AS warehouse
+  FROM (SELECT store_id, item_id, sum(demand) AS demand FROM {dem} GROUP BY store_id, item_id) d
+  LEFT JOIN (SELECT store_id, item_id, sum(qty) AS qty FROM {inv} GROUP BY store_id, item_id) i
+    ON d.store_id = i.store_id AND d.item_id = i.item_id
+  LEFT JOIN (SELECT item_id, sum(qty) AS qty FROM {wh} GROUP BY item_id) w ON d.item_id = w.item_id),
+{tag}_raw AS (SELECT *, {x} AS x0 FROM {tag}_base),
+{tag} AS (SELECT *, CASE WHEN x0 > 1e-6 THEN x0 ELSE 0.0 END AS x FROM {tag}_raw)"""
+
+
+ORACLES["allocate_ordered"] = with_prelude(_ALLOC + "," + _alloc_ctes("dem", "inv", "wh", "ordered", "al"),
+                                           "SELECT store_id, item_id, round(x, 6) AS allocated_qty FROM al")
+ORACLES["allocate_proportional"] = with_prelude(
+    _ALLOC + "," + _alloc_ctes("dem", "inv", "wh", "proportional", "al"),
+    "SELECT store_id, item_id, round(x, 6) AS allocated_qty FROM al")
+ORACLES["allocation_cost"] = with_prelude(_ALLOC + "," + _alloc_ctes("dem", "inv", "wh", "ordered", "al"), f"""
+SELECT round(sum({P.TRANSPORT_COST} * x + {P.STOCKOUT_PENALTY} * greatest(0.0, demand - inventory - x)
+                 + {P.HOLDING_COST} * greatest(0.0, inventory + x - demand)), 6) AS total_cost,
+  round(sum(x), 6) AS total_allocated,
+  round(sum(greatest(0.0, demand - inventory - x)), 6) AS total_short,
+  round(sum(greatest(0.0, inventory + x - demand)), 6) AS total_held
+FROM al""")
+
+# -- replenishment snapshot ---------------------------------------------------
+
+_LEDGER = f"""
+demand_daily AS (
+  SELECT store_id, item_id, CAST(date_diff('day', (SELECT lo FROM bounds), date) AS INT) AS day,
+    CAST(sum(l_quantity) AS DOUBLE) AS demand
+  FROM facts WHERE l_returnflag <> 'R' GROUP BY store_id, item_id, date),
+returns_daily AS (
+  SELECT store_id, item_id, CAST(date_diff('day', (SELECT lo FROM bounds), date) AS INT) AS day,
+    CAST(sum(l_quantity) AS DOUBLE) AS qty
+  FROM facts WHERE l_returnflag = 'R' GROUP BY store_id, item_id, date),
+snap_day AS (SELECT max(day) - {P.SNAPSHOT_DAYS_BEFORE_END} AS t FROM demand_daily),
+hist AS (SELECT * FROM demand_daily WHERE day <= (SELECT t FROM snap_day)),
+fcst AS (SELECT store_id, item_id, avg(demand) AS forecasted_demand FROM hist GROUP BY store_id, item_id),
+stock AS (SELECT store_id, item_id, arg_max(demand, day) AS qty FROM hist GROUP BY store_id, item_id),
+transit AS (SELECT store_id, item_id, qty, day AS arrival_day FROM returns_daily
+            WHERE day > (SELECT t FROM snap_day)),
+totals AS (SELECT store_id, item_id, sum(qty) AS in_transit FROM transit GROUP BY store_id, item_id),
+position AS (
+  SELECT f.store_id, f.item_id, f.forecasted_demand, coalesce(s.qty, 0.0) AS stock,
+    coalesce(t.in_transit, 0.0) AS in_transit, coalesce(s.qty, 0.0) + coalesce(t.in_transit, 0.0) AS position
+  FROM fcst f LEFT JOIN stock s ON f.store_id = s.store_id AND f.item_id = s.item_id
+  LEFT JOIN totals t ON f.store_id = t.store_id AND f.item_id = t.item_id)"""
+
+_MEAN_LT = (P.LEAD_TIME_MIN + P.LEAD_TIME_MAX) / 2.0
+_LT_SPAN = P.LEAD_TIME_MAX - P.LEAD_TIME_MIN + 1
+
+
+def _lead_time(day: str, store: str) -> str:
+    return f"CAST({P.LEAD_TIME_MIN} + (31 * {day} + 7 * ascii({store}) + 0) % {_LT_SPAN} AS INT)"
+
+
+ORACLES["in_transit_totals"] = with_prelude(_LEDGER, "SELECT store_id, item_id, round(in_transit, 6) AS in_transit "
+                                                     "FROM totals")
+ORACLES["stock_position"] = with_prelude(_LEDGER, """
+SELECT store_id, item_id, round(forecasted_demand, 6) AS forecasted_demand, round(stock, 6) AS stock,
+  round(in_transit, 6) AS in_transit, round(position, 6) AS position FROM position""")
+ORACLES["initial_stock"] = with_prelude(_ALLOC, "SELECT store_id, item_id, qty FROM inv")
+ORACLES["schedule_orders"] = with_prelude(_LEDGER, f"""
+SELECT store_id, item_id, day, demand AS qty, {_lead_time('day', 'store_id')} AS lead_time,
+  day + {_lead_time('day', 'store_id')} AS arrival_day
+FROM demand_daily WHERE demand > 0""")
+ORACLES["split_arrivals"] = with_prelude(_LEDGER, """
+SELECT store_id, item_id, day AS arrival_day, qty, day <= (SELECT t FROM snap_day) AS due FROM returns_daily""")
+ORACLES["post_arrivals"] = with_prelude(_LEDGER, """
+SELECT coalesce(i.store_id, a.store_id) AS store_id, coalesce(i.item_id, a.item_id) AS item_id,
+  coalesce(i.qty, 0.0) + coalesce(a.qty, 0.0) AS qty
+FROM (SELECT store_id, item_id, sum(qty) AS qty FROM stock GROUP BY store_id, item_id) i
+FULL JOIN (SELECT store_id, item_id, sum(qty) AS qty FROM returns_daily WHERE day <= (SELECT t FROM snap_day)
+           GROUP BY store_id, item_id) a
+  ON i.store_id = a.store_id AND i.item_id = a.item_id""")
+ORACLES["naive_orders"] = with_prelude(_LEDGER, f"""
+SELECT store_id, item_id, round(q, 6) AS qty FROM (
+  SELECT store_id, item_id, forecasted_demand * {_MEAN_LT + P.NAIVE_BUFFER_DAYS} - stock - in_transit AS q
+  FROM position) WHERE q > 0""")
+ORACLES["minmax_orders"] = with_prelude(_LEDGER, f"""
+SELECT store_id, item_id, round(q, 6) AS qty FROM (
+  SELECT store_id, item_id, forecasted_demand * {P.MAX_DAYS_SUPPLY} - position AS q
+  FROM position WHERE position < forecasted_demand * {P.MIN_DAYS_SUPPLY}) WHERE q > 0""")
+ORACLES["allocation_orders"] = with_prelude(_LEDGER + "," + _ALLOC + f""",
+pdem AS (SELECT store_id, item_id, forecasted_demand * {_MEAN_LT} AS demand FROM position),
+pinv AS (SELECT store_id, item_id, position AS qty FROM position),""" + _alloc_ctes("pdem", "pinv", "wh", "ordered", "al"),
+    "SELECT store_id, item_id, round(x, 6) AS qty FROM al WHERE x > 0")
+
+# -- ledgers ------------------------------------------------------------------
+
+ORACLES["fulfil_day"] = with_prelude(_LEDGER + "," + _ALLOC, f"""
+SELECT day, store_id, item_id, round(demand, 6) AS demand, round(start_stock, 6) AS start_stock,
+  round(sales, 6) AS sales, round(demand - sales, 6) AS stockout, round(start_stock - sales, 6) AS end_stock,
+  round((start_stock - sales) * {P.HOLDING_COST}, 6) AS holding_cost,
+  round((demand - sales) * {P.STOCKOUT_PENALTY}, 6) AS stockout_penalty
+FROM (SELECT d.day, d.store_id, d.item_id, d.demand, coalesce(i.qty, 0.0) AS start_stock,
+        least(d.demand, coalesce(i.qty, 0.0)) AS sales
+      FROM demand_daily d LEFT JOIN inv i ON d.store_id = i.store_id AND d.item_id = i.item_id)""")
+
+_REPLAY = f"""
+ev0 AS (
+  SELECT coalesce(d.store_id, a.store_id) AS store_id, coalesce(d.item_id, a.item_id) AS item_id,
+    coalesce(d.day, a.day) AS day, d.demand, a.qty AS arrivals
+  FROM demand_daily d FULL JOIN returns_daily a
+    ON d.store_id = a.store_id AND d.item_id = a.item_id AND d.day = a.day),
+ev AS (
+  SELECT store_id, item_id, day, coalesce(demand, 0.0) AS demand, coalesce(arrivals, 0.0) AS arrivals,
+    CAST(demand IS NOT NULL AS INT) AS has_demand,
+    row_number() OVER (PARTITION BY store_id, item_id ORDER BY day) AS rn
+  FROM ev0),
+linit AS (
+  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(demand), 0.0)) * {P.BACKTEST_MULTIPLIER}) AS DOUBLE) AS qty
+  FROM demand_daily GROUP BY store_id, item_id),
+rec AS (
+  SELECT e.store_id, e.item_id, e.rn, e.day, e.demand, e.arrivals, e.has_demand,
+    least(e.demand, coalesce(i.qty, 0.0) + e.arrivals) AS sales,
+    coalesce(i.qty, 0.0) + e.arrivals - least(e.demand, coalesce(i.qty, 0.0) + e.arrivals) AS end_stock
+  FROM ev e LEFT JOIN linit i ON e.store_id = i.store_id AND e.item_id = i.item_id WHERE e.rn = 1
+  UNION ALL
+  SELECT e.store_id, e.item_id, e.rn, e.day, e.demand, e.arrivals, e.has_demand,
+    least(e.demand, r.end_stock + e.arrivals),
+    r.end_stock + e.arrivals - least(e.demand, r.end_stock + e.arrivals)
+  FROM rec r JOIN ev e ON e.store_id = r.store_id AND e.item_id = r.item_id AND e.rn = r.rn + 1),
+replay AS (
+  SELECT store_id, item_id, day, demand, arrivals, sales, demand - sales AS stockout, end_stock,
+    end_stock * {P.HOLDING_COST} * has_demand AS holding_cost, (demand - sales) * {P.STOCKOUT_PENALTY} AS stockout_penalty
+  FROM rec)"""
+
+
+def _daily(src: str, tag: str, by: str = "") -> str:
+    """Daily KPI CTE ``tag`` over rows ``src``; optional grouping column ``by``."""
+    bsel = f"{by}, " if by else ""
+    bjoin = f" AND s.{by} = a.{by}" if by else ""
+    spine = (f"SELECT {by}, CAST(unnest(range(0, max(day) + 1)) AS INT) AS day FROM {src} GROUP BY {by}" if by
+             else f"SELECT CAST(unnest(range(0, (SELECT max(day) FROM {src}) + 1)) AS INT) AS day")
+    return f"""
+{tag}_agg AS (
+  SELECT {bsel}day, sum(demand) AS d, sum(sales) AS s, sum(stockout) AS so, sum(stockout_penalty) AS sp,
+    sum(holding_cost) AS hc FROM {src} GROUP BY {bsel}day),
+{tag}_spine AS ({spine}),
+{tag} AS (
+  SELECT {'s.' + by + ', ' if by else ''}s.day,
+    CASE WHEN coalesce(a.d, 0.0) > 0 THEN a.s / a.d ELSE 1.0 END AS fulfillment_rate,
+    coalesce(a.so, 0.0) AS stockouts, coalesce(a.sp, 0.0) AS stockout_penalty,
+    coalesce(a.hc, 0.0) AS holding_cost, coalesce(a.hc, 0.0) + coalesce(a.sp, 0.0) AS total_cost
+  FROM {tag}_spine s LEFT JOIN {tag}_agg a ON s.day = a.day{bjoin})"""
+
+
+def _summary(src: str, by: str = "") -> str:
+    bsel = f"{by}, " if by else ""
+    group = f" GROUP BY {by}" if by else ""
+    return (f"SELECT {bsel}round(avg(fulfillment_rate), 6) AS avg_fulfillment_rate, "
+            f"round(sum(stockouts), 6) AS total_stockouts, round(sum(stockout_penalty), 6) AS total_stockout_penalty, "
+            f"round(sum(holding_cost), 6) AS total_holding_cost, round(sum(total_cost), 6) AS total_cost, "
+            f"count(*) AS n_days FROM {src}{group}")
+
+
+_KPI_COLS = ("day, round(fulfillment_rate, 6) AS fulfillment_rate, round(stockouts, 6) AS stockouts, "
+             "round(stockout_penalty, 6) AS stockout_penalty, round(holding_cost, 6) AS holding_cost, "
+             "round(total_cost, 6) AS total_cost")
+
+ORACLES["replay_ledger"] = with_prelude(_LEDGER + "," + _REPLAY, """
+SELECT store_id, item_id, day, round(demand, 6) AS demand, round(arrivals, 6) AS arrivals,
+  round(sales, 6) AS sales, round(stockout, 6) AS stockout, round(end_stock, 6) AS end_stock,
+  round(holding_cost, 6) AS holding_cost, round(stockout_penalty, 6) AS stockout_penalty FROM replay""")
+ORACLES["daily_kpis"] = with_prelude(_LEDGER + "," + _REPLAY + "," + _daily("replay", "dk"),
+                                     f"SELECT {_KPI_COLS} FROM dk")
+ORACLES["summary_kpis"] = with_prelude(_LEDGER + "," + _REPLAY + "," + _daily("replay", "dk"), _summary("dk"))
+ORACLES["warehouse_drawdown"] = with_prelude(_LEDGER + "," + _ALLOC + """,
+per_day AS (SELECT item_id, day, sum(demand) AS ordered FROM demand_daily GROUP BY item_id, day),
+dd AS (
+  SELECT p.item_id, p.day, p.ordered, w.qty AS start_qty,
+    sum(p.ordered) OVER (PARTITION BY p.item_id ORDER BY p.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM per_day p JOIN (SELECT item_id, sum(qty) AS qty FROM wh GROUP BY item_id) w ON p.item_id = w.item_id)""", """
+SELECT item_id, day, round(ordered, 6) AS ordered, round(greatest(0.0, start_qty - cum), 6) AS remaining,
+  round(greatest(0.0, cum - start_qty), 6) AS shortfall FROM dd""")
+
+
+def _backtest(policy: str, tag: str) -> str:
+    """Closed-loop rollout per series as a recursive CTE with a list of open
+    orders (independent of the Spark per-series loop)."""
+    if policy == "naive":
+        qty = f"fc * {_MEAN_LT + P.NAIVE_BUFFER_DAYS} - inv - open_qty"
+    else:
+        qty = (f"CASE WHEN inv + open_qty < fc * {P.MIN_DAYS_SUPPLY} "
+               f"THEN fc * {P.MAX_DAYS_SUPPLY} - (inv + open_qty) ELSE 0.0 END")
+    return f"""
+{tag}_rec AS (
+  SELECT store_id, item_id, CAST(0 AS BIGINT) AS rn, -1 AS day, CAST(0 AS DOUBLE) AS demand,
+    CAST(0 AS DOUBLE) AS forecast, CAST(0 AS DOUBLE) AS ordered, CAST(0 AS DOUBLE) AS arrived,
+    CAST(0 AS DOUBLE) AS sales, CAST(0 AS DOUBLE) AS stockout, CAST(inv0 AS DOUBLE) AS inv,
+    CAST([] AS STRUCT(a INTEGER, q DOUBLE)[]) AS pending
+  FROM bt_init
+  UNION ALL
+  SELECT store_id, item_id, rn, day, demand, fc, ordered, arrived,
+    least(demand, inv + arrived) AS sales, demand - least(demand, inv + arrived) AS stockout,
+    inv + arrived - least(demand, inv + arrived) AS inv, list_filter(pend2, lambda x: x.a > day) AS pending
+  FROM (
+    SELECT *, coalesce(list_sum(list_transform(list_filter(pend2, lambda x: x.a <= day), lambda x: x.q)), 0.0) AS arrived
+    FROM (
+      SELECT *, CASE WHEN ordered > 0 THEN list_append(pending, {{'a': day + lt, 'q': ordered}})
+                ELSE pending END AS pend2
+      FROM (
+        SELECT *, CASE WHEN q > 0 THEN q ELSE 0.0 END AS ordered
+        FROM (
+          SELECT e.store_id, e.item_id, e.rn, e.day, e.demand, e.fc, e.lt, r.inv, r.pending,
+            {qty.replace('open_qty', 'coalesce(list_sum(list_transform(r.pending, lambda x: x.q)), 0.0)').replace('inv', 'r.inv').replace('fc', 'e.fc')} AS q
+          FROM {tag}_rec r JOIN bt e ON e.store_id = r.store_id AND e.item_id = r.item_id AND e.rn = r.rn + 1))))),
+{tag} AS (
+  SELECT store_id, item_id, CAST(day AS INT) AS day, demand, forecast, ordered, arrived, sales, stockout,
+    inv AS end_stock, inv * {P.HOLDING_COST} AS holding_cost, stockout * {P.STOCKOUT_PENALTY} AS stockout_penalty
+  FROM {tag}_rec WHERE rn > 0)"""
+
+
+_BT_BASE = f"""
+bt_ev AS (
+  SELECT store_id, item_id, CAST(substr(d, 3, 10) AS INT) - 1 AS day, sales AS demand FROM sales_daily),
+bt AS (
+  SELECT store_id, item_id, day, demand,
+    coalesce(avg(demand) OVER (PARTITION BY store_id, item_id ORDER BY day
+                               ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS fc,
+    {_lead_time('day', 'store_id')} AS lt,
+    row_number() OVER (PARTITION BY store_id, item_id ORDER BY day) AS rn
+  FROM bt_ev),
+bt_init AS (
+  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(sales), 0.0)) * {P.BACKTEST_MULTIPLIER}) AS DOUBLE) AS inv0
+  FROM sales_daily GROUP BY store_id, item_id)"""
+
+_BT_COLS = ("store_id, item_id, day, round(demand, 6) AS demand, round(forecast, 6) AS forecast, "
+            "round(ordered, 6) AS ordered, round(arrived, 6) AS arrived, round(sales, 6) AS sales, "
+            "round(stockout, 6) AS stockout, round(end_stock, 6) AS end_stock, "
+            "round(holding_cost, 6) AS holding_cost, round(stockout_penalty, 6) AS stockout_penalty")
+
+ORACLES["backtest_naive"] = with_prelude(_BT_BASE + "," + _backtest("naive", "btn"), f"SELECT {_BT_COLS} FROM btn")
+ORACLES["backtest_minmax"] = with_prelude(_BT_BASE + "," + _backtest("minmax", "btm"), f"SELECT {_BT_COLS} FROM btm")
+ORACLES["compare_policies"] = with_prelude(
+    _BT_BASE + "," + _backtest("naive", "btn") + "," + _backtest("minmax", "btm") + """,
+runs AS (SELECT 'naive' AS policy, * FROM btn UNION ALL SELECT 'minmax' AS policy, * FROM btm),""" + _daily("runs", "pk", "policy"),
+    _summary("pk", "policy"))
