@@ -1,0 +1,62 @@
+"""The day-stepped stock ledger as a Structured Streaming query.
+
+The reference steps its environment one day at a time: receive arrivals,
+serve demand, carry stock to the next day. When daily demand and arrivals
+land as files, that is a stream keyed by (store, item) whose state is the
+stock on hand. ``applyInPandasWithState`` keeps that state per key in the
+checkpointed state store (so it survives executor loss and restarts), and
+each micro-batch emits the ledger rows of the days it contains. The batch
+equivalent is ``larder.operators.ledger.replay_ledger``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+OUTPUT_SCHEMA = ("store_id string, item_id string, day int, demand double, arrivals double, "
+                 "sales double, stockout double, end_stock double")
+STATE_SCHEMA = "stock double, last_day int"
+
+EVENT_SCHEMA = ("store_id string, item_id string, day int, demand double, arrivals double, "
+                "initial_stock double")
+
+
+def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    pdf = pd.concat(list(batches), ignore_index=True).sort_values("day", kind="stable")
+    if state.exists:
+        stock, last_day = state.get
+    else:
+        first = pdf["initial_stock"].dropna()
+        stock, last_day = (float(first.iloc[0]) if len(first) else 0.0), -1
+    rows = []
+    for day, dem, arr in zip(pdf["day"], pdf["demand"].fillna(0.0), pdf["arrivals"].fillna(0.0)):
+        if int(day) <= last_day:
+            continue  # a day is applied once; replays of old files are ignored
+        stock += float(arr)
+        sales = min(float(dem), stock)
+        stock -= sales
+        rows.append((key[0], key[1], int(day), float(dem), float(arr), sales, float(dem) - sales, stock))
+        last_day = int(day)
+    state.update((stock, last_day))
+    yield pd.DataFrame(rows, columns=["store_id", "item_id", "day", "demand", "arrivals", "sales",
+                                      "stockout", "end_stock"])
+
+
+def stream_ledger(events: DataFrame) -> DataFrame:
+    """``events``: a streaming frame with EVENT_SCHEMA columns, each micro-batch
+    holding whole days in day order (one file per day, say). Returns a
+    streaming frame of ledger rows (append mode)."""
+    return (events.groupBy("store_id", "item_id")
+            .applyInPandasWithState(_step, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.NoTimeout))
+
+
+def read_event_files(spark, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Stream ledger event files (Parquet) from ``path``, oldest first."""
+    return (spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+            .parquet(path).withColumn("day", F.col("day").cast("int")))
