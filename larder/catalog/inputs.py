@@ -56,19 +56,20 @@ def series_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocation_inputs(spark: SparkSession, sf_dir: str):
-    """demand = total sales of the series; inventory = initial stock (mean x
-    14); warehouse per item = half the total need for even brand numbers and
-    twice it for odd ones, so both the scarce and the ample branch run."""
-    from larder.operators.replenish import initial_stock
+    """Per series: demand = total sales, inventory = initial stock (mean x 14),
+    in one table (the inventory rides along, so ``allocate`` plans no join);
+    warehouse per item = half the total need for even brand numbers and twice
+    it for odd ones, so both the scarce and the ample branch run. Both outputs
+    come from the same per-series aggregate."""
     stats = series_stats(spark, sf_dir)
-    demand = stats.select("store_id", "item_id", F.col("total_demand").alias("demand"))
-    inventory = initial_stock(stats, INITIAL_MULTIPLIER)
-    need = (demand.join(inventory, ["store_id", "item_id"])
-            .select("item_id", F.greatest(F.lit(0.0), F.col("demand") - F.col("qty")).alias("need")))
+    avg = F.greatest(F.lit(0.0), F.coalesce(F.col("avg_demand"), F.lit(0.0)))
+    pairs = stats.select("store_id", "item_id", F.col("total_demand").alias("demand"),
+                         F.ceil(avg * F.lit(INITIAL_MULTIPLIER)).cast("double").alias("inventory"))
     factor = F.when(F.substring("item_id", 7, 4).cast("int") % 2 == 0, F.lit(0.5)).otherwise(F.lit(2.0))
-    warehouse = need.groupBy("item_id").agg(F.sum("need").alias("need")) \
-        .select("item_id", (F.col("need") * factor).alias("qty"))
-    return demand, inventory, warehouse
+    warehouse = (pairs.groupBy("item_id")
+                 .agg(F.sum(F.greatest(F.lit(0.0), F.col("demand") - F.col("inventory"))).alias("need"))
+                 .select("item_id", (F.col("need") * factor).alias("qty")))
+    return pairs, warehouse
 
 
 def as_of_day(spark: SparkSession, sf_dir: str):

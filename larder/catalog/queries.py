@@ -234,20 +234,20 @@ COSTS = dict(stockout_penalty=P.STOCKOUT_PENALTY, holding_cost=P.HOLDING_COST,
 
 @register("allocate_ordered")
 def q_allocate_ordered(spark, sf_dir):
-    demand, inventory, warehouse = P.allocation_inputs(spark, sf_dir)
-    return round_doubles(al.allocate(demand, inventory, warehouse, "ordered", **COSTS))
+    pairs, warehouse = P.allocation_inputs(spark, sf_dir)
+    return round_doubles(al.allocate(pairs, None, warehouse, "ordered", **COSTS))
 
 
 @register("allocate_proportional")
 def q_allocate_proportional(spark, sf_dir):
-    demand, inventory, warehouse = P.allocation_inputs(spark, sf_dir)
-    return round_doubles(al.allocate(demand, inventory, warehouse, "proportional", **COSTS))
+    pairs, warehouse = P.allocation_inputs(spark, sf_dir)
+    return round_doubles(al.allocate(pairs, None, warehouse, "proportional", **COSTS))
 
 
 @register("allocation_cost")
 def q_allocation_cost(spark, sf_dir):
-    demand, inventory, warehouse = P.allocation_inputs(spark, sf_dir)
-    alloc = al.allocate(demand, inventory, warehouse, "ordered", keep_inputs=True, **COSTS)
+    pairs, warehouse = P.allocation_inputs(spark, sf_dir)
+    alloc = al.allocate(pairs, None, warehouse, "ordered", keep_inputs=True, **COSTS)
     return round_doubles(al.allocation_cost(alloc, **COSTS))
 
 
@@ -307,7 +307,7 @@ def q_minmax_orders(spark, sf_dir):
 
 @register("allocation_orders")
 def q_allocation_orders(spark, sf_dir):
-    _, _, warehouse = P.allocation_inputs(spark, sf_dir)
+    _, warehouse = P.allocation_inputs(spark, sf_dir)
     return round_doubles(rp.allocation_orders(_position(spark, sf_dir), warehouse, P.LEAD_TIME_MIN,
                                               P.LEAD_TIME_MAX, **COSTS))
 
@@ -343,7 +343,7 @@ def q_summary_kpis(spark, sf_dir):
 
 @register("warehouse_drawdown")
 def q_warehouse_drawdown(spark, sf_dir):
-    _, _, warehouse = P.allocation_inputs(spark, sf_dir)
+    _, warehouse = P.allocation_inputs(spark, sf_dir)
     orders = dt.demand_daily(spark, sf_dir).withColumnRenamed("demand", "qty")
     return round_doubles(lg.warehouse_drawdown(orders, warehouse))
 

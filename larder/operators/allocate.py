@@ -28,12 +28,21 @@ def demand_column(df: DataFrame):
     return F.lit(0.0)
 
 
-def allocation_need(demand: DataFrame, inventory: DataFrame) -> DataFrame:
+def allocation_need(demand: DataFrame, inventory: DataFrame | None) -> DataFrame:
     """Demand summed per pair (duplicate rows add up), inventory looked up
-    (missing = 0), need = max(0, demand - inventory)."""
-    d = demand.groupBy(*KEYS).agg(F.sum(demand_column(demand).cast("double")).alias("demand"))
-    inv = inventory.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inventory"))
-    j = d.join(inv, KEYS, "left").withColumn("inventory", F.coalesce("inventory", F.lit(0.0)))
+    (missing = 0), need = max(0, demand - inventory).
+
+    ``inventory=None`` means ``demand`` already carries an ``inventory``
+    column for its pair (a pre-joined table); no join is planned then."""
+    dcol = demand_column(demand).cast("double")
+    if inventory is None:
+        j = demand.groupBy(*KEYS).agg(F.sum(dcol).alias("demand"),
+                                      F.max(F.col("inventory").cast("double")).alias("inventory"))
+    else:
+        d = demand.groupBy(*KEYS).agg(F.sum(dcol).alias("demand"))
+        inv = inventory.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inventory"))
+        j = d.join(inv, KEYS, "left")
+    j = j.withColumn("inventory", F.coalesce("inventory", F.lit(0.0)))
     return j.withColumn("need", F.greatest(F.lit(0.0), F.col("demand") - F.col("inventory")))
 
 
@@ -44,7 +53,7 @@ def join_warehouse(df: DataFrame, warehouse: DataFrame) -> DataFrame:
               .withColumn("warehouse", F.greatest(F.lit(0.0), F.coalesce("warehouse", F.lit(0.0)))))
 
 
-def allocate(demand: DataFrame, inventory: DataFrame, warehouse: DataFrame, mode: str = "ordered",
+def allocate(demand: DataFrame, inventory: DataFrame | None, warehouse: DataFrame, mode: str = "ordered",
              stockout_penalty: float = 100.0, holding_cost: float = 1.0, transport_cost: float = 2.0,
              keep_inputs: bool = False) -> DataFrame:
     """-> (store_id, item_id, allocated_qty). ``mode='ordered'`` fills stores

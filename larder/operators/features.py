@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.calendar import day_of_week
@@ -95,24 +95,26 @@ def rolling_std(df: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, column:
 
 def price_rel_mean(df: DataFrame, as_of: bool = False) -> DataFrame:
     """sell_price / mean price of the item over all stores and dates (a zero
-    mean gives NULL). The item mean is a grouped aggregate (partial per task,
-    then one row per item) joined back, so a hot item is combined map-side
-    instead of being buffered in one window partition.
+    mean gives NULL).
+
+    A window partitioned by item: one item holds at most (stores carrying it)
+    x (calendar days) rows, a bound that does not grow with the line volume,
+    and the partitioning is shared with the series windows when the input is
+    already partitioned by item (see ``prepare.join_prices``). A grouped
+    aggregate joined back would recompute the whole upstream plan.
 
     ``as_of=True`` uses only earlier days: running sums per item and day."""
     if "sell_price" not in df.columns:
         return df
     if not as_of:
-        means = df.groupBy("item_id").agg(F.avg("sell_price").alias("_item_mean"))
-        out = df.join(means, "item_id", "left")
-    else:
-        from pyspark.sql import Window
-        per_day = (df.groupBy("item_id", "date")
-                   .agg(F.sum("sell_price").alias("_s"), F.count("sell_price").alias("_n")))
-        w = Window.partitionBy("item_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-        per_day = per_day.select("item_id", "date",
-                                 safe_div(F.sum("_s").over(w), F.sum("_n").over(w)).alias("_item_mean"))
-        out = df.join(per_day, ["item_id", "date"], "left")
+        mean = F.avg("sell_price").over(Window.partitionBy("item_id"))
+        return df.withColumn("price_rel_mean", safe_div(F.col("sell_price"), mean))
+    per_day = (df.groupBy("item_id", "date")
+               .agg(F.sum("sell_price").alias("_s"), F.count("sell_price").alias("_n")))
+    w = Window.partitionBy("item_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    per_day = per_day.select("item_id", "date",
+                             safe_div(F.sum("_s").over(w), F.sum("_n").over(w)).alias("_item_mean"))
+    out = df.join(per_day, ["item_id", "date"], "left")
     return (out.withColumn("price_rel_mean", safe_div(F.col("sell_price"), F.col("_item_mean")))
                .drop("_item_mean"))
 

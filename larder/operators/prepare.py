@@ -15,15 +15,15 @@ ID_COLUMNS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 def melt_sales(wide: DataFrame, day_prefix: str = "d_") -> DataFrame:
     """Wide -> long: id columns x ``d_*`` columns -> (``d``, ``sales``).
 
-    Id columns missing from the input are skipped. The day columns are packed
-    into one array and exploded with their position (a single Generate node
-    that stays in whole-stage codegen; a 2,000-way ``unpivot`` Expand is about
-    twice as slow here). Filters on id columns are pushed below it."""
+    Id columns missing from the input are skipped. The reshape is one SQL
+    ``stack`` generator: a single narrow Generate node (no shuffle), cheap to
+    analyse even with thousands of day columns, and filters on id columns are
+    pushed below it to the scan."""
     day_cols = [c for c in wide.columns if c.startswith(day_prefix)]
     ids = [c for c in ID_COLUMNS if c in wide.columns]
-    exploded = wide.select(*ids, F.posexplode(F.array(*day_cols)).alias("_pos", "sales"))
-    return exploded.select(*ids, F.element_at(F.lit(day_cols), F.col("_pos") + 1).alias("d"),
-                           F.col("sales").cast("double").alias("sales"))
+    pairs = ", ".join("'{}', CAST(`{}` AS DOUBLE)".format(c.replace("'", "\\'"), c.replace("`", "``"))
+                      for c in day_cols)
+    return wide.selectExpr(*[f"`{c}`" for c in ids], f"stack({len(day_cols)}, {pairs}) AS (d, sales)")
 
 
 def join_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -32,12 +32,20 @@ def join_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:
     return long.join(F.broadcast(calendar), "d", "left")
 
 
-def join_prices(long: DataFrame, prices: DataFrame) -> DataFrame:
+def join_prices(long: DataFrame, prices: DataFrame, co_partition: bool = True) -> DataFrame:
     """Left join of weekly prices on (store_id, item_id, wm_yr_wk).
 
     Prices grow with stores x items x weeks, so this stays a shuffle join
-    unless AQE measures the price side under the broadcast threshold."""
-    return long.join(prices, ["store_id", "item_id", "wm_yr_wk"], "left")
+    unless AQE measures the price side under the broadcast threshold. With
+    ``co_partition`` both sides are hash-partitioned by ``item_id`` first:
+    with ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
+    ``build_session``) the join uses that partitioning, and so do every later
+    series window (clustered by store and item) and the item-level price
+    mean - one shuffle of the long table for the whole feature stage."""
+    keys = ["store_id", "item_id", "wm_yr_wk"]
+    if co_partition:
+        long, prices = long.repartition("item_id"), prices.repartition("item_id")
+    return long.join(prices, keys, "left")
 
 
 def ffill_prices(df: DataFrame, limit: int = 7, column: str = "sell_price") -> DataFrame:

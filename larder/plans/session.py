@@ -15,6 +15,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Let a join on (store, item, week) use inputs already hash-partitioned by
+    # item, so the price join and all later series / item windows share one
+    # shuffle (see prepare.join_prices).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

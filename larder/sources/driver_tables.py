@@ -58,19 +58,23 @@ def _ship_date() -> Column:
     return F.to_date("l_shipdate")
 
 
-def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """suppkey -> (store_id, state_id). Nation (25 rows) and region (5 rows)
+def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nationkey -> (store_id, state_id). Nation (25 rows) and region (5 rows)
     are fixed-size TPC-H tables, so broadcasting them is safe at any scale."""
-    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nat = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     reg = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    geo = nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
-    return (sup.join(F.broadcast(geo), sup.s_nationkey == geo.n_nationkey)
-            .select(F.col("s_suppkey").alias("l_suppkey"),
-                    F.col("n_name").alias("store_id"),
+    return (nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey)
+            .select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("store_id"),
                     F.upper(F.substring("r_name", 1, 2)).alias("state_id")))
 
 
+def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """suppkey -> (store_id, state_id)."""
+    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    return (sup.join(F.broadcast(geo_dim(spark, sf_dir)), "s_nationkey")
+            .select(F.col("s_suppkey").alias("l_suppkey"), "store_id", "state_id"))
+
+
 def item_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """partkey -> (item_id, dept_id, cat_id)."""
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
@@ -85,14 +89,20 @@ def item_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with store / item attributes attached.
 
-    Both dimension joins are plain equi-joins: supplier and part grow with the
-    scale factor, so no broadcast is forced; AQE broadcasts them at run time
-    only when their measured size is under the threshold, and splits a hot
-    part or supplier key (skew join) otherwise."""
+    Line items meet the raw supplier and part projections first (plain
+    equi-joins: both grow with the scale factor, so nothing is forced; AQE
+    broadcasts a side only after measuring it under the threshold and splits
+    a hot part or supplier key otherwise). The fixed 25-row geography joins
+    last, by broadcast. Joining the supplier scan directly, not a pre-joined
+    dimension, also keeps Spark's size estimate of that side small, so the
+    planner never picks the line items as the build side."""
     li = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_quantity",
                     "l_extendedprice", "l_returnflag", "l_shipdate")
-    return (li.join(store_dim(spark, sf_dir), "l_suppkey")
+    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey") \
+        .withColumnRenamed("s_suppkey", "l_suppkey")
+    return (li.join(sup, "l_suppkey")
               .join(item_dim(spark, sf_dir), "l_partkey")
+              .join(F.broadcast(geo_dim(spark, sf_dir)), "s_nationkey")
               .withColumn("date", _ship_date()))
 
 
@@ -186,12 +196,16 @@ def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
 
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide sales: one row per series, ``d_1 .. d_N`` over the whole calendar,
-    days without sales are 0 (the M5 layout)."""
+    days without sales are 0 (the M5 layout).
+
+    A pivot on the integer day number with the full value list: the pivot
+    aggregate looks values up by hash, so its cost is linear in the rows, and
+    the per-series partial aggregation runs before the shuffle."""
     n = n_calendar_days(spark, sf_dir)
-    day_cols = [f"d_{i}" for i in range(1, n + 1)]
-    wide = (sales_daily(spark, sf_dir)
-            .groupBy(*ID_COLUMNS).pivot("d", day_cols).agg(F.first("sales")))
-    return wide.fillna(0.0, subset=day_cols)
+    day_no = F.substring("d", 3, 10).cast("int").alias("_day")
+    wide = (sales_daily(spark, sf_dir).select(*ID_COLUMNS, day_no, "sales")
+            .groupBy(*ID_COLUMNS).pivot("_day", list(range(1, n + 1))).agg(F.first("sales")))
+    return wide.toDF(*ID_COLUMNS, *[f"d_{i}" for i in range(1, n + 1)]).fillna(0.0)
 
 
 def returns_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
