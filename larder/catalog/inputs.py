@@ -92,9 +92,7 @@ def policy_snapshot(spark: SparkSession, sf_dir: str):
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand and arrivals per (store, item, day); either may be NULL."""
-    d = dt.demand_daily(spark, sf_dir)
-    a = dt.returns_daily(spark, sf_dir).withColumnRenamed("qty", "arrivals")
-    return d.join(a, ["store_id", "item_id", "day"], "full")
+    return dt.ledger_events(spark, sf_dir)
 
 
 def ledger_initial(spark: SparkSession, sf_dir: str) -> DataFrame:

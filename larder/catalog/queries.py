@@ -23,8 +23,15 @@ KEYS = ["store_id", "item_id", "date"]
 
 
 def register(name: str):
+    """Register ``fn`` under ``name``. Every call starts a fresh scope, so a
+    query builds (and pays for) its own daily fact table."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            dt.new_query_scope()
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 

@@ -13,8 +13,9 @@ Mapping (stated once, used by every query):
 * returned lines (``l_returnflag = 'R'``) are stock arrivals in the ledger,
   all other lines are demand
 
-Everything here is lazy; the only driver round trip is ``n_calendar_days``,
-which returns one integer (the width of the wide sales table).
+Every query makes one pass over ``lineitem`` (``daily_facts``); the only
+values read back to the driver are ``n_calendar_days`` (one integer, the
+width of the wide sales table).
 """
 
 from __future__ import annotations
@@ -106,10 +107,45 @@ def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("date", _ship_date()))
 
 
+_SCOPE: dict = {}
+
+
+def new_query_scope() -> None:
+    """Forget the fact tables built so far: each registered query builds its
+    own (``catalog.queries`` calls this before every query)."""
+    _SCOPE.clear()
+
+
+def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items aggregated once per (store, item, day): ``sales`` (all
+    lines), ``demand`` (not returned), ``arrivals`` (returned, NULL when none),
+    ``cents`` and ``units`` (revenue in whole cents and quantity, for prices).
+
+    This is the only pass over ``lineitem`` a query makes. The aggregate is
+    partial per task before the shuffle, so a hot (store, item) key is
+    combined map-side, and its result holds at most one row per series and
+    calendar day. It is written once per query with a reliable checkpoint
+    into ``spark.checkpoint.dir`` (shared storage on a cluster), and every
+    derived table reads it: without that, column pruning gives each use a
+    different aggregate and Spark would scan ``lineitem`` once per use."""
+    key = (id(spark), sf_dir)
+    if key not in _SCOPE:
+        from larder.plans.lineage import cut_lineage
+        facts = line_facts(spark, sf_dir)
+        returned = F.col("l_returnflag") == "R"
+        agg = (facts.groupBy("item_id", "dept_id", "cat_id", "store_id", "state_id", "date")
+               .agg(F.sum("l_quantity").cast("double").alias("sales"),
+                    F.sum(F.when(~returned, F.col("l_quantity"))).cast("double").alias("demand"),
+                    F.sum(F.when(returned, F.col("l_quantity"))).cast("double").alias("arrivals"),
+                    F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"),
+                    F.sum(F.col("l_quantity").cast("long")).alias("units")))
+        _SCOPE[key] = cut_lineage(agg)
+    return _SCOPE[key]
+
+
 def first_ship_date(spark: SparkSession, sf_dir: str) -> Column:
     """Scalar subquery: the first ship date (day 0 / ``d_1``)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
-    return li.agg(F.min(_ship_date())).scalar()
+    return daily_facts(spark, sf_dir).agg(F.min("date")).scalar()
 
 
 def day_number(date: Column, spark: SparkSession, sf_dir: str) -> Column:
@@ -119,19 +155,13 @@ def day_number(date: Column, spark: SparkSession, sf_dir: str) -> Column:
 
 def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long sales ``(id, item_id, dept_id, cat_id, store_id, state_id, d, sales)``,
-    one row per series and day with at least one line (sparse).
-
-    The aggregation is partial per task before the shuffle, so a hot
-    (store, item) key is combined map-side; after it a series holds at most one
-    row per calendar day."""
-    facts = line_facts(spark, sf_dir)
-    daily = (facts.groupBy("item_id", "dept_id", "cat_id", "store_id", "state_id", "date")
-             .agg(F.sum("l_quantity").alias("sales")))
+    one row per series and day with at least one line (sparse)."""
+    daily = daily_facts(spark, sf_dir)
     return daily.select(
         F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"),
         "item_id", "dept_id", "cat_id", "store_id", "state_id",
         F.concat(F.lit("d_"), (day_number(F.col("date"), spark, sf_dir) + 1).cast("string")).alias("d"),
-        F.col("sales").cast("double").alias("sales"))
+        "sales")
 
 
 def _event_col(events, field: int) -> Column:
@@ -149,8 +179,7 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2,
     event_type_2, snap_<state>``. Size is bounded by the number of days in the
     span (about 365 per year), independent of the data volume."""
-    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
-    bounds = li.agg(F.min(_ship_date()).alias("lo"), F.max(_ship_date()).alias("hi"))
+    bounds = daily_facts(spark, sf_dir).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"), "lo")
     dom = F.dayofmonth("date")
     snaps = [
@@ -175,13 +204,12 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly prices ``(store_id, item_id, wm_yr_wk, sell_price)``: revenue per
-    unit, rounded half-up to whole cents with integer arithmetic (exact, so
-    every engine gets the same value)."""
-    facts = line_facts(spark, sf_dir).filter(F.dayofweek("date").between(2, 4))
-    agg = (facts.groupBy("store_id", "item_id", week_key(F.col("date")).alias("wm_yr_wk"))
-           .agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("_cents"),
-                F.sum(F.col("l_quantity").cast("long")).alias("_units")))
+    """Weekly prices ``(store_id, item_id, wm_yr_wk, sell_price)`` over days
+    Monday to Wednesday: revenue per unit, rounded half-up to whole cents with
+    integer arithmetic (exact, so every engine gets the same value)."""
+    days = daily_facts(spark, sf_dir).filter(F.dayofweek("date").between(2, 4))
+    agg = (days.groupBy("store_id", "item_id", week_key(F.col("date")).alias("wm_yr_wk"))
+           .agg(F.sum("cents").alias("_cents"), F.sum("units").alias("_units")))
     cents = F.expr("(2 * _cents + _units) div nullif(2 * _units, 0)")
     return agg.select("store_id", "item_id", "wm_yr_wk",
                       (cents.cast("double") / 100.0).alias("sell_price"))
@@ -189,8 +217,8 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
     """Number of calendar days (one integer to the driver: the wide width)."""
-    li = read_table(spark, sf_dir, "lineitem", "l_shipdate")
-    row = li.agg((F.datediff(F.max(_ship_date()), F.min(_ship_date())) + 1).alias("n")).first()
+    row = daily_facts(spark, sf_dir).agg(
+        (F.datediff(F.max("date"), F.min("date")) + 1).alias("n")).first()
     return int(row["n"] or 0)
 
 
@@ -210,15 +238,20 @@ def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def returns_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals per (store, item, day): returned quantity. ``day`` is 0-based."""
-    facts = line_facts(spark, sf_dir).filter(F.col("l_returnflag") == "R")
-    return (facts.groupBy("store_id", "item_id", "date").agg(F.sum("l_quantity").alias("qty"))
+    return (daily_facts(spark, sf_dir).filter(F.col("arrivals").isNotNull())
             .select("store_id", "item_id", day_number(F.col("date"), spark, sf_dir).alias("day"),
-                    F.col("qty").cast("double").alias("qty")))
+                    F.col("arrivals").alias("qty")))
 
 
 def demand_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand per (store, item, day): quantity of the non-returned lines."""
-    facts = line_facts(spark, sf_dir).filter(F.col("l_returnflag") != "R")
-    return (facts.groupBy("store_id", "item_id", "date").agg(F.sum("l_quantity").alias("demand"))
+    return (daily_facts(spark, sf_dir).filter(F.col("demand").isNotNull())
             .select("store_id", "item_id", day_number(F.col("date"), spark, sf_dir).alias("day"),
-                    F.col("demand").cast("double").alias("demand")))
+                    "demand"))
+
+
+def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demand and arrivals per (store, item, day) in one table; either may be
+    NULL (no demand line, or no returned line, that day)."""
+    return daily_facts(spark, sf_dir).select(
+        "store_id", "item_id", day_number(F.col("date"), spark, sf_dir).alias("day"), "demand", "arrivals")
