@@ -144,38 +144,50 @@ def _rollout_fn(policy: str, mean_lt: float, buffer_days: float, min_days: float
     the policy's order (arrival = day + lead time); receive everything due;
     serve demand. Open orders never exceed lead_time_max entries."""
 
+    naive = policy == "naive"
+    if policy not in ("naive", "minmax"):
+        raise ValueError(f"unknown policy {policy!r}")
+    cover = mean_lt + buffer_days
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("day", kind="stable")
+        days, dems = pdf["day"].tolist(), pdf["demand"].tolist()
+        fcs, lts = pdf["forecast"].tolist(), pdf["lead_time"].tolist()
         inv = float(pdf["inv0"].iloc[0])
         pending: list[tuple[int, float]] = []
-        out = []
-        for day, dem, fc, lt in zip(pdf["day"].to_numpy(), pdf["demand"].to_numpy(),
-                                    pdf["forecast"].to_numpy(), pdf["lead_time"].to_numpy()):
-            day, dem, fc, lt = int(day), float(dem), float(fc), int(lt)
+        n = len(days)
+        ordered_l, arrived_l, sales_l, short_l, stock_l = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
+        for i in range(n):
+            day, dem, fc = days[i], dems[i], fcs[i]
             open_qty = sum(q for _, q in pending)
-            if policy == "naive":
-                qty = fc * (mean_lt + buffer_days) - inv - open_qty
-            elif policy == "minmax":
+            if naive:
+                qty = fc * cover - inv - open_qty
+            else:
                 pos = inv + open_qty
                 qty = fc * max_days - pos if pos < fc * min_days else 0.0
-            else:
-                raise ValueError(f"unknown policy {policy!r}")
-            ordered = qty if qty > 0 else 0.0
-            if ordered > 0:
-                pending.append((day + lt, ordered))
-            arrived = sum(q for a, q in pending if a <= day)
-            pending = [(a, q) for a, q in pending if a > day]
+            if qty > 0:
+                pending.append((day + lts[i], qty))
+                ordered_l[i] = qty
+            arrived = 0.0
+            if pending:
+                keep = []
+                for a, q in pending:
+                    if a <= day:
+                        arrived += q
+                    else:
+                        keep.append((a, q))
+                pending = keep
             inv += arrived
-            sales = min(dem, inv)
-            short = dem - sales
+            sales = dem if dem < inv else inv
             inv -= sales
-            out.append((day, dem, fc, ordered, arrived, sales, short, inv,
-                        inv * holding_cost, short * stockout_penalty))
-        res = pd.DataFrame(out, columns=["day", "demand", "forecast", "ordered", "arrived", "sales",
-                                         "stockout", "end_stock", "holding_cost", "stockout_penalty"])
+            arrived_l[i], sales_l[i], short_l[i], stock_l[i] = arrived, sales, dem - sales, inv
+        res = pd.DataFrame({"day": pd.array(days, dtype="int32"), "demand": dems, "forecast": fcs,
+                            "ordered": ordered_l, "arrived": arrived_l, "sales": sales_l,
+                            "stockout": short_l, "end_stock": stock_l})
+        res["holding_cost"] = res["end_stock"] * holding_cost
+        res["stockout_penalty"] = res["stockout"] * stockout_penalty
         res.insert(0, "item_id", pdf["item_id"].iloc[0])
         res.insert(0, "store_id", pdf["store_id"].iloc[0])
-        res["day"] = res["day"].astype("int32")
         return res
 
     return run

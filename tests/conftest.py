@@ -21,6 +21,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
          .getOrCreate())
