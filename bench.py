@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "feature_matrix",
+    "feature_job_wide",
     "melt_sales",
     "cv_metrics",
     "allocate_ordered",

@@ -517,3 +517,30 @@ ORACLES["compare_policies"] = with_prelude(
     _BT_BASE + "," + _backtest("naive", "btn") + "," + _backtest("minmax", "btm") + """,
 runs AS (SELECT 'naive' AS policy, * FROM btn UNION ALL SELECT 'minmax' AS policy, * FROM btm),""" + _daily("runs", "pk", "policy"),
     _summary("pk", "policy"))
+
+ORACLES["date_semi_join"] = with_prelude(_feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS, f"""
+SELECT store_id, item_id, date, round(sales, 6) AS sales, round(lag_7, 6) AS lag_7 FROM fm
+WHERE date IN (SELECT date FROM cvf WHERE fold = {P.CV_SPLITS} AND role = 'test')""")
+
+ORACLES["day_slice"] = with_prelude(_LEDGER, """
+SELECT store_id, item_id, day, demand FROM demand_daily WHERE day = (SELECT t FROM snap_day)""")
+
+
+def _dense_feature_query() -> str:
+    """Features over the dense grid (every series x every calendar day, 0
+    sales where none): the wide -> melt path."""
+    base = prelude().replace(
+        "joined AS (\n  SELECT s.id,",
+        "dense AS (\n  SELECT s.id, s.item_id, s.dept_id, s.cat_id, s.store_id, s.state_id, c.d,\n"
+        "    coalesce(sd.sales, 0.0) AS sales\n"
+        "  FROM (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM sales_daily) s\n"
+        "  CROSS JOIN calendar c LEFT JOIN sales_daily sd ON sd.id = s.id AND sd.d = c.d),\n"
+        "joined AS (\n  SELECT s.id,").replace("FROM sales_daily s LEFT JOIN calendar c ON s.d = c.d",
+                                                 "FROM dense s LEFT JOIN calendar c ON s.d = c.d")
+    cols = KEYS + ["sales", "sell_price", "lag_7", "lag_28", "rolling_mean_7", "rolling_std_28",
+                   "price_rel_mean", "price_change_pct", "snap_active", "event_type_encoded"]
+    return (f"WITH RECURSIVE{base},\n{_feature_ctes()}\n"
+            f"SELECT {_cols(cols)} FROM featured WHERE n_obs >= {P.MIN_GROUP_ROWS}")
+
+
+ORACLES["feature_job_wide"] = _dense_feature_query()

@@ -155,6 +155,21 @@ def q_feature_matrix(spark, sf_dir):
     return round_doubles(feature_matrix(spark, sf_dir))
 
 
+@register("feature_job_wide")
+def q_feature_job_wide(spark, sf_dir):
+    """The reference's feature build from the wide layout: melt over the
+    whole calendar (days without sales are 0), calendar, prices + fill,
+    features, sparse-group removal - the ``plans.jobs.build_features`` plan."""
+    from larder.plans.jobs import Params, build_features
+    params = Params(lag_days=P.LAGS, rolling_windows=P.WINDOWS, min_group_rows=P.MIN_GROUP_ROWS,
+                    price_ffill_limit=P.FFILL_LIMIT)
+    feats = build_features(dt.sales_wide(spark, sf_dir), dt.calendar(spark, sf_dir), dt.prices(spark, sf_dir),
+                           params)
+    return round_doubles(feats.select(*KEYS, "sales", "sell_price", "lag_7", "lag_28", "rolling_mean_7",
+                                      "rolling_std_28", "price_rel_mean", "price_change_pct", "snap_active",
+                                      "event_type_encoded"))
+
+
 @register("feature_null_counts")
 def q_feature_null_counts(spark, sf_dir):
     return fe.feature_null_counts(feature_matrix(spark, sf_dir))
@@ -223,12 +238,32 @@ def q_gbt_forecast(spark, sf_dir):
     """Fit on the train dates of the last fold, score its test dates."""
     fm = feature_matrix(spark, sf_dir)
     folds = _folds(spark, sf_dir, fm).filter(F.col("fold") == P.CV_SPLITS)
-    train = fm.join(F.broadcast(folds.filter(F.col("role") == "train").select("date")), "date")
-    test = fm.join(F.broadcast(folds.filter(F.col("role") == "test").select("date")), "date")
+    train = fc.date_semi_join(fm, folds.filter(F.col("role") == "train"))
+    test = fc.date_semi_join(fm, folds.filter(F.col("role") == "test"))
     model = fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, max_iter=GBT_QUERY_TREES)
     return round_doubles(fc.predict(model, test, GBT_NUMERIC).select(*KEYS, "sales", "prediction"))
 
 
+@register("date_semi_join")
+def q_date_semi_join(spark, sf_dir):
+    """Feature rows on the test dates of the last fold."""
+    fm = feature_matrix(spark, sf_dir)
+    test = _folds(spark, sf_dir, fm).filter((F.col("fold") == P.CV_SPLITS) & (F.col("role") == "test"))
+    return round_doubles(fc.date_semi_join(fm, test).select(*KEYS, "sales", "lag_7"))
+
+
+@register("gbt_cv_metrics")
+def q_gbt_cv_metrics(spark, sf_dir):
+    """Expanding-window CV of the tree model: one distributed fit per fold on
+    the feature matrix, written once to the checkpoint folder and re-read
+    by every fold."""
+    from larder.plans.lineage import cut_lineage
+    fm = cut_lineage(feature_matrix(spark, sf_dir).select(
+        "date", "store_id", "item_id", "sales", *GBT_NUMERIC, *GBT_CATEGORICAL))
+    folds = _folds(spark, sf_dir, fm)
+    return round_doubles(fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, max_iter=GBT_QUERY_TREES))
+
+
 # -- allocation ---------------------------------------------------------------
 
 from larder.operators import allocate as al  # noqa: E402
@@ -321,6 +356,12 @@ def q_allocation_orders(spark, sf_dir):
 
 # -- ledgers over time --------------------------------------------------------
 
+@register("day_slice")
+def q_day_slice(spark, sf_dir):
+    """Demand rows of the snapshot day."""
+    return lg.day_slice(dt.demand_daily(spark, sf_dir), P.as_of_day(spark, sf_dir))
+
+
 @register("fulfil_day")
 def q_fulfil_day(spark, sf_dir):
     stock = rp.initial_stock(P.series_stats(spark, sf_dir), P.INITIAL_MULTIPLIER)

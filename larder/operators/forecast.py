@@ -62,6 +62,18 @@ def cv_average(per_fold: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("n_folds"))
 
 
+def date_semi_join(df: DataFrame, dates: DataFrame, date_col: str = "date") -> DataFrame:
+    """Rows whose date is in ``dates`` (a train or test date list). The date
+    list has at most one row per calendar day, so it is broadcast."""
+    return df.join(F.broadcast(dates.select(date_col).distinct()), date_col, "left_semi")
+
+
+def wmape(df: DataFrame, y: str, p: str) -> DataFrame:
+    """sum|y - max(p, 0)| / sum y; 0 when sum y <= 0."""
+    err = F.abs(F.col(y) - clip_non_negative(F.col(p)))
+    return df.agg(F.when(F.sum(y) > 0, safe_div(F.sum(err), F.sum(y))).otherwise(F.lit(0.0)).alias("wmape"))
+
+
 def rmse(df: DataFrame, y: str, p: str) -> DataFrame:
     err = F.col(y) - F.col(p)
     return df.agg(F.sqrt(F.avg(err * err)).alias("rmse"))
@@ -118,8 +130,8 @@ def cross_validate(df: DataFrame, folds: DataFrame, numeric: Sequence[str], cate
     scored = None
     for f in fold_ids:
         fd = folds.filter(F.col("fold") == f)
-        train = df.join(F.broadcast(fd.filter(F.col("role") == "train").select("date")), "date")
-        test = df.join(F.broadcast(fd.filter(F.col("role") == "test").select("date")), "date")
+        train = date_semi_join(df, fd.filter(F.col("role") == "train"))
+        test = date_semi_join(df, fd.filter(F.col("role") == "test"))
         model = train_model(train, numeric, categorical, **kw)
         part = predict(model, test, numeric).select(F.lit(f).alias("fold"), "date", "sales", "prediction")
         scored = part if scored is None else scored.unionByName(part)

@@ -17,6 +17,13 @@ def _demand_col(df: DataFrame):
     return F.col("demand") if "demand" in df.columns else F.col("sales")
 
 
+def day_slice(df: DataFrame, day) -> DataFrame:
+    """Rows of one ``day`` (an int or a Column such as a scalar subquery).
+    Most operators keep ``day`` as a key instead of slicing."""
+    d = F.lit(day) if isinstance(day, int) else day
+    return df.filter(F.col("day") == d)
+
+
 def fulfil_day(demand: DataFrame, stock: DataFrame, holding_cost: float = 1.0,
                stockout_penalty: float = 100.0) -> DataFrame:
     """Serve demand from stock: sales = min(demand, stock), stockout = the rest,
