@@ -429,10 +429,11 @@ def _daily(src: str, tag: str, by: str = "") -> str:
 def _summary(src: str, by: str = "") -> str:
     bsel = f"{by}, " if by else ""
     group = f" GROUP BY {by}" if by else ""
+    def exact(c):
+        return f"round(CAST(sum(CAST({c} AS DECIMAL(38, 6))) AS DOUBLE), 6) AS total_{c.replace('total_', '')}"
     return (f"SELECT {bsel}round(avg(fulfillment_rate), 6) AS avg_fulfillment_rate, "
-            f"round(sum(stockouts), 6) AS total_stockouts, round(sum(stockout_penalty), 6) AS total_stockout_penalty, "
-            f"round(sum(holding_cost), 6) AS total_holding_cost, round(sum(total_cost), 6) AS total_cost, "
-            f"count(*) AS n_days FROM {src}{group}")
+            f"{exact('stockouts')}, {exact('stockout_penalty')}, {exact('holding_cost')}, "
+            f"{exact('total_cost')}, count(*) AS n_days FROM {src}{group}")
 
 
 _KPI_COLS = ("day, round(fulfillment_rate, 6) AS fulfillment_rate, round(stockouts, 6) AS stockouts, "

@@ -80,14 +80,21 @@ def _spine_per_key(rows: DataFrame, keys: list, horizon: int | None) -> DataFram
     return per.select(*keys, F.explode(F.sequence(F.lit(0), hi)).alias("day"))
 
 
+def _exact_sum(col: str):
+    """Sum as DECIMAL(38, 6) (exact, so independent of the summation order
+    across tasks), returned as a double."""
+    return F.sum(F.col(col).cast("decimal(38,6)")).cast("double")
+
+
 def summary_kpis(daily: DataFrame, by: tuple = ()) -> DataFrame:
-    """Mean of the daily rates and totals of the rest; no days -> no row."""
+    """Mean of the daily rates and totals of the rest; no days -> no row.
+    Totals are exact decimal sums of the daily values."""
     g = daily.groupBy(*by) if by else daily.groupBy()
     out = g.agg(F.avg("fulfillment_rate").alias("avg_fulfillment_rate"),
-                F.sum("stockouts").alias("total_stockouts"),
-                F.sum("stockout_penalty").alias("total_stockout_penalty"),
-                F.sum("holding_cost").alias("total_holding_cost"),
-                F.sum("total_cost").alias("total_cost"),
+                _exact_sum("stockouts").alias("total_stockouts"),
+                _exact_sum("stockout_penalty").alias("total_stockout_penalty"),
+                _exact_sum("holding_cost").alias("total_holding_cost"),
+                _exact_sum("total_cost").alias("total_cost"),
                 F.count(F.lit(1)).alias("n_days"))
     return out.filter(F.col("n_days") > 0)
 
