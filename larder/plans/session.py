@@ -20,6 +20,9 @@ _DEFAULTS = {
     # shuffle (see prepare.join_prices).
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Each query checkpoints its daily fact table; let Spark delete those files
+    # once the checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -69,13 +69,6 @@ def geo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.upper(F.substring("r_name", 1, 2)).alias("state_id")))
 
 
-def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """suppkey -> (store_id, state_id)."""
-    sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    return (sup.join(F.broadcast(geo_dim(spark, sf_dir)), "s_nationkey")
-            .select(F.col("s_suppkey").alias("l_suppkey"), "store_id", "state_id"))
-
-
 def item_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """partkey -> (item_id, dept_id, cat_id)."""
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")

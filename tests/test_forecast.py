@@ -69,3 +69,14 @@ def test_moving_average_metrics(feats):
     scored = fc.moving_average_forecast(feats, 7)
     row = fc.cv_average(fc.fold_metrics(scored, folds)).first()
     assert row.n_folds == 2 and row.rmse > 0
+
+
+def test_date_semi_join_and_wmape(spark, feats):
+    dates = spark.createDataFrame([(dt.date(2016, 1, 2),), (dt.date(2016, 1, 2),), (dt.date(2016, 1, 5),)],
+                                  "date date")
+    got = fc.date_semi_join(feats, dates)
+    assert got.count() == 4 and got.columns == feats.columns
+    df = spark.createDataFrame([(10.0, 8.0), (10.0, 14.0), (0.0, -3.0)], "y double, p double")
+    assert fc.wmape(df, "y", "p").first()[0] == pytest.approx((2 + 4 + 0) / 20)
+    zero = spark.createDataFrame([(0.0, 1.0)], "y double, p double")
+    assert fc.wmape(zero, "y", "p").first()[0] == 0.0

@@ -144,3 +144,9 @@ def test_warehouse_drawdown(spark):
     wh = spark.createDataFrame([("A", 100.0)], "item_id string, qty double")
     got = [(r.day, r.remaining, r.shortfall) for r in lg.warehouse_drawdown(orders, wh).orderBy("day").collect()]
     assert got == [(0, 40.0, 0.0), (1, 0.0, 10.0)]
+
+
+def test_day_slice(spark):
+    df = spark.createDataFrame([(0, "S", "A", 1.0), (1, "S", "A", 2.0), (1, "S", "B", 3.0)],
+                               "day int, store_id string, item_id string, demand double")
+    assert sorted(r.item_id for r in lg.day_slice(df, 1).collect()) == ["A", "B"]
