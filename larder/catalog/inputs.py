@@ -72,9 +72,10 @@ def allocation_inputs(spark: SparkSession, sf_dir: str):
     return pairs, warehouse
 
 
-def as_of_day(spark: SparkSession, sf_dir: str):
-    """Scalar subquery: the snapshot day (last demand day - 7)."""
-    return dt.demand_daily(spark, sf_dir).agg(F.max("day")).scalar() - SNAPSHOT_DAYS_BEFORE_END
+def as_of_day(spark: SparkSession, sf_dir: str) -> int:
+    """The snapshot day: last demand day - 7 (0-based day number)."""
+    lo, _, last_demand = dt.span(spark, sf_dir)
+    return (last_demand - lo).days - SNAPSHOT_DAYS_BEFORE_END
 
 
 def policy_snapshot(spark: SparkSession, sf_dir: str):

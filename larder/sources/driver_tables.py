@@ -14,8 +14,8 @@ Mapping (stated once, used by every query):
   all other lines are demand
 
 Every query makes one pass over ``lineitem`` (``daily_facts``); the only
-values read back to the driver are ``n_calendar_days`` (one integer, the
-width of the wide sales table).
+values read back to the driver are three dates of that table (first and last
+ship date, last demand date).
 """
 
 from __future__ import annotations
@@ -121,6 +121,10 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     into ``spark.checkpoint.dir`` (shared storage on a cluster), and every
     derived table reads it: without that, column pruning gives each use a
     different aggregate and Spark would scan ``lineitem`` once per use."""
+    return _scope(spark, sf_dir)["facts"]
+
+
+def _scope(spark: SparkSession, sf_dir: str) -> dict:
     key = (id(spark), sf_dir)
     if key not in _SCOPE:
         from larder.plans.lineage import cut_lineage
@@ -132,13 +136,24 @@ def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sum(F.when(returned, F.col("l_quantity"))).cast("double").alias("arrivals"),
                     F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"),
                     F.sum(F.col("l_quantity").cast("long")).alias("units")))
-        _SCOPE[key] = cut_lineage(agg)
+        daily = cut_lineage(agg)
+        # Three dates read back once (one tiny aggregate over the fact table):
+        # used as literals, so no query repeats a scalar subquery per use.
+        span = daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
+                         F.max(F.when(F.col("demand").isNotNull(), F.col("date"))).alias("last_demand")).first()
+        _SCOPE[key] = {"facts": daily, "lo": span["lo"], "hi": span["hi"], "last_demand": span["last_demand"]}
     return _SCOPE[key]
 
 
+def span(spark: SparkSession, sf_dir: str) -> tuple:
+    """(first ship date, last ship date, last date with demand)."""
+    sc = _scope(spark, sf_dir)
+    return sc["lo"], sc["hi"], sc["last_demand"]
+
+
 def first_ship_date(spark: SparkSession, sf_dir: str) -> Column:
-    """Scalar subquery: the first ship date (day 0 / ``d_1``)."""
-    return daily_facts(spark, sf_dir).agg(F.min("date")).scalar()
+    """The first ship date (day 0 / ``d_1``), as a literal."""
+    return F.lit(span(spark, sf_dir)[0])
 
 
 def day_number(date: Column, spark: SparkSession, sf_dir: str) -> Column:
@@ -172,7 +187,8 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2,
     event_type_2, snap_<state>``. Size is bounded by the number of days in the
     span (about 365 per year), independent of the data volume."""
-    bounds = daily_facts(spark, sf_dir).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    lo, hi, _ = span(spark, sf_dir)
+    bounds = spark.range(1).select(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"), "lo")
     dom = F.dayofmonth("date")
     snaps = [
@@ -210,9 +226,8 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def n_calendar_days(spark: SparkSession, sf_dir: str) -> int:
     """Number of calendar days (one integer to the driver: the wide width)."""
-    row = daily_facts(spark, sf_dir).agg(
-        (F.datediff(F.max("date"), F.min("date")) + 1).alias("n")).first()
-    return int(row["n"] or 0)
+    lo, hi, _ = span(spark, sf_dir)
+    return (hi - lo).days + 1 if lo is not None else 0
 
 
 def sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
