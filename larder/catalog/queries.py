@@ -414,9 +414,8 @@ def q_backtest_minmax(spark, sf_dir):
 
 @register("compare_policies")
 def q_compare_policies(spark, sf_dir):
-    runs = None
-    for policy in ("naive", "minmax"):
-        r = _backtest(spark, sf_dir, policy).withColumn("policy", F.lit(policy))
-        runs = r if runs is None else runs.unionByName(r)
+    runs = lg.backtest_policies(P.backtest_events(spark, sf_dir), P.backtest_initial(spark, sf_dir),
+                                ("naive", "minmax"), P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, P.NAIVE_BUFFER_DAYS,
+                                P.MIN_DAYS_SUPPLY, P.MAX_DAYS_SUPPLY, P.HOLDING_COST, P.STOCKOUT_PENALTY)
     daily = lg.daily_kpis(runs, extra_keys=("policy",))
     return round_doubles(lg.summary_kpis(daily, by=("policy",)))

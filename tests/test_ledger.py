@@ -150,3 +150,17 @@ def test_day_slice(spark):
     df = spark.createDataFrame([(0, "S", "A", 1.0), (1, "S", "A", 2.0), (1, "S", "B", 3.0)],
                                "day int, store_id string, item_id string, demand double")
     assert sorted(r.item_id for r in lg.day_slice(df, 1).collect()) == ["A", "B"]
+
+
+def test_backtest_policies_equals_single_runs(spark):
+    rnd = random.Random(4)
+    rows = [("S", f"I{k}", day, float(rnd.randint(0, 9)), float(rnd.randint(0, 8)), rnd.randint(0, 3))
+            for k in range(6) for day in range(30)]
+    ev = spark.createDataFrame(rows, "store_id string, item_id string, day int, demand double, "
+                                     "forecast double, lead_time int")
+    init = spark.createDataFrame([("S", f"I{k}", float(k * 3)) for k in range(6)], STOCK)
+    both = {(r.policy, r.item_id, r.day): (r.end_stock, r.ordered)
+            for r in lg.backtest_policies(ev, init).collect()}
+    for policy in ("naive", "minmax"):
+        for r in lg.backtest_policy(ev, init, policy).collect():
+            assert both[(policy, r.item_id, r.day)] == (r.end_stock, r.ordered)
