@@ -58,10 +58,20 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def encode_words(path: str, words: list) -> list:
-    """Little-endian 32-bit ids of each word, as bytes."""
+def encode_words(path: str, words: list, chunk: int = 2000) -> list:
+    """Little-endian 32-bit ids of each word, as bytes. Words go to the
+    tokenizer many at a time, a line each; offsets tell them apart again."""
     t, _ = _tokenizer(path)
-    return [np.asarray(e.ids, "<u4").tobytes() for e in t.encode_batch(words, add_special_tokens=False)]
+    out = []
+    for i in range(0, len(words), chunk):
+        part = words[i:i + chunk]
+        e = t.encode("\n".join(part), add_special_tokens=False)
+        ids = np.asarray(e.ids, "<u4")
+        ends = np.cumsum([len(w) + 1 for w in part])
+        starts = np.fromiter((x for x, _ in e.offsets), np.int64, len(ids))
+        cut = np.searchsorted(np.searchsorted(ends, starts, "right"), np.arange(len(part) + 1))
+        out += [ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return out
 
 
 def _pack(**columns) -> bytes:
@@ -213,8 +223,9 @@ def digests(docs: DataFrame, params: BpeParams | None = None, id_col: str = "doc
             words = t.split()
             found = [ids(w) for w in words]
             data = b"".join(found)
-            for i in set(found) - decoded.keys():  # each distinct word of the block is decoded once
-                decoded[i] = b" ".join([pieces[k] for k in np.frombuffer(i, "<u4")])
+            for i in set(found):
+                if i not in decoded:  # each distinct word of the block is decoded once
+                    decoded[i] = b" ".join([pieces[k] for k in np.frombuffer(i, "<u4")])
             n.append(len(data) // 4)
             a.append(hashlib.sha256(data).hexdigest())
             b.append(hashlib.sha256(b" ".join([decoded[i] for i in found if i])).hexdigest())

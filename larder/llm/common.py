@@ -45,62 +45,35 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(rows: DataFrame, key: str, per_part: int = 512) -> DataFrame:
-    """``key, parts`` for every key with more than ``per_part`` rows; counted
-    with partial sums per task."""
-    count = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows_"))
-    return count.filter(F.col("rows_") > per_part).select(key, F.ceil(F.col("rows_") / per_part).cast("int").alias("parts"))
-
-
-def split_rows(rows: DataFrame, hot: DataFrame, key: str, part: str, by=None, thin: int = 32) -> DataFrame:
-    """``rows`` with a column ``part``: 0, or for a hot key one of its parts.
-    The small table ``hot`` is looked up over ``thin`` salts, so that the rows
-    of one key don't meet in one task; ``by`` lists the columns that are hashed."""
-    spread = F.shiftrightunsigned(F.xxhash64(F.lit(11), *[F.col(c) for c in by or rows.columns]), 33).cast("int")
-    salted = hot.withColumn("t_", F.explode(F.sequence(F.lit(0), F.lit(thin - 1))))
-    r = rows.withColumn("h_", spread).withColumn("t_", F.col("h_") % thin).join(salted, [key, "t_"], "left")
-    return r.withColumn(part, F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
-        F.shiftright(F.col("h_"), 5) % F.col("parts"))).drop("h_", "t_", "parts")
-
-
-def repeat_rows(table: DataFrame, hot: DataFrame, key: str, part: str) -> DataFrame:
-    """``table`` (one row per key) with each hot key's row once per part."""
-    return table.join(hot, key, "left").withColumn(
-        part, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1))).drop("parts")
-
-
-def spread_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot: DataFrame | None = None,
-                by=None) -> DataFrame:
-    """Join ``rows`` (any number per key, each row distinct) with ``table``
-    (one row per key) so that no hot key's rows meet in one task."""
-    hot = hot_keys(rows, key) if hot is None else hot
-    return (split_rows(rows, hot, key, "s_", by)
-            .join(repeat_rows(table, hot, key, "s_"), [key, "s_"], how).drop("s_"))
+def spread_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` (any number per key, on the left) with ``table`` (one row
+    per key). A plain equi-join on purpose: adaptive execution broadcasts
+    ``table`` after measuring it small, and otherwise splits the rows of a hot
+    key over tasks, each of which reads the key's one row. Nothing that needs a
+    key's rows together may follow without another shuffle."""
+    return rows.join(table, key, how)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of the undirected ``edges (a, b)`` of long ids:
-    ``(node, comp)`` with ``comp`` the smallest id of the component.
-
-    Every round each node takes the smallest label among its neighbours and
-    then the label of its label (pointer jumping), so a path of length n takes
-    about log n rounds. Labels are written to the shared folder each round;
-    hubs are aggregated per task first and looked up over salted parts."""
-    both = materialise(edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-                       .union(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-                       .filter("node <> other").distinct(), "edges")
-    labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("comp"))
-    labels = materialise(labels, "labels")
+    """Connected components of the undirected ``edges (a, b)`` of long ids,
+    already written: ``(node, comp)`` with ``comp`` the smallest id reachable.
+
+    Every round a node takes the smallest of its own label, its neighbours'
+    labels and its label's label (pointer jumping). Labels are written to the
+    shared folder each round; hubs are aggregated per task before a shuffle and
+    looked up by joins that adaptive execution splits."""
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(
+        edges.select(F.col("b").alias("node"), F.col("a").alias("other"))).filter("node <> other")
+    labels = materialise(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("comp"))
+                         .withColumn("moved", F.lit(True)), "labels")
     for _ in range(max_rounds):
-        seen = spread_join(both, labels.select(F.col("node").alias("other"), "comp"), "other")
-        best = seen.groupBy("node").agg(F.min("comp").alias("near"))
-        hooked = materialise(labels.join(best, "node").select(
-            "node", F.least("comp", "near").alias("comp"), F.col("comp").alias("was")), "labels")
-        up = hooked.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
-        jumped = spread_join(hooked, up, "comp", "left").select(
-            "node", F.least("comp", F.coalesce("up", "comp")).alias("comp"), "was")
-        jumped = materialise(jumped, "labels")
-        if jumped.filter(F.col("comp") != F.col("was")).limit(1).count() == 0:
-            return jumped.select("node", "comp")
-        labels = jumped.select("node", "comp")
+        named = labels.select("node", "comp")
+        near = spread_join(both, named.select(F.col("node").alias("other"), "comp"), "other")
+        up = spread_join(named, named.select(F.col("node").alias("comp"), F.col("comp").alias("up")), "comp")
+        best = near.select("node", "comp").union(up.select("node", F.col("up").alias("comp")))
+        best = best.groupBy("node").agg(F.min("comp").alias("best"))
+        labels = materialise(named.join(best, "node").select(
+            "node", F.least("comp", "best").alias("comp"), (F.col("best") < F.col("comp")).alias("moved")), "labels")
+        if not labels.filter("moved").limit(1).count():
+            return labels.select("node", "comp")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import (components, hot_keys, materialise, pick, positional, repeat_rows, split_rows,
-                               spread_join)
+from larder.llm.common import components, materialise, pick, positional, spread_join
 
 
 @dataclass(frozen=True)
@@ -104,14 +103,11 @@ def signatures(docs: DataFrame, p: MinMaxParams) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs (a, b)`` whose full ``sets (node, hashes)`` are similar enough."""
-    pairs = materialise(pairs, "pairs")
-    hot_a, hot_b = hot_keys(pairs, "a", 256), hot_keys(pairs, "b", 256)
-    rows = split_rows(split_rows(pairs, hot_a, "a", "sa", ["b"]), hot_b, "b", "sb", ["a"])
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    rows = rows.join(repeat_rows(right, hot_b, "b", "sb"), ["b", "sb"]).join(repeat_rows(left, hot_a, "a", "sa"), ["a", "sa"])
     both = F.size(F.array_intersect("ha", "hb"))
-    return rows.filter(100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
+    return spread_join(spread_join(pairs, right, "b"), left, "a").filter(
+        100 * both >= percent * (F.size("ha") + F.size("hb") - both)).select("a", "b")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, p: MinMaxParams) -> DataFrame:
@@ -141,10 +137,8 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
                                    F.col("r.bands").alias("bands"), "first", "copies"), "sets")
     members = reps.select("node", "n", F.explode("bands").alias("band"))
     buckets = (members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("c"))
-               .filter("size > 1").select("band", "size", F.col("c.node").alias("a"), F.col("c.n").alias("an")))
-    buckets = materialise(buckets, "buckets")
-    hot = buckets.filter("size > 512").select("band", F.ceil(F.col("size") / 512).cast("int").alias("parts"))
-    members = materialise(spread_join(members, buckets.drop("size"), "band", hot=hot), "members")
+               .filter("size > 1").select("band", F.col("c.node").alias("a"), F.col("c.n").alias("an")))
+    members = materialise(spread_join(members, buckets, "band"), "members")
 
     def close(x, y):
         return 100 * F.least(x, y) >= p.percent * F.greatest(x, y)
@@ -160,24 +154,24 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
     # Members that are not in their centre's component meet the rest of the bucket.
     known = spread_join(members, comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     centre = comp.select(F.col("node").alias("a"), F.col("comp").alias("acomp"))
-    known = spread_join(known, centre, "a", "left").withColumn("acomp", F.coalesce("acomp", "a"))
+    known = spread_join(known.drop("an"), centre, "a", "left").withColumn("acomp", F.coalesce("acomp", "a"))
     known = materialise(known.select("band", "node", "n", "comp", "acomp"), "known")
     odd = known.filter(F.col("comp") != F.col("acomp")).select(
         "band", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("oddcomp"))
-    rest = (odd.join(known, "band").filter((F.col("comp") != F.col("oddcomp")) & close(F.col("n"), F.col("an")))
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-    rest = materialise(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
+    if odd.limit(1).count():
+        rest = (known.join(odd, "band").filter((F.col("comp") != F.col("oddcomp")) & close(F.col("n"), F.col("an")))
+                .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+        rest = materialise(rest.join(star, ["a", "b"], "left_anti"), "rest")
         nodes = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
-        links = links.union(_confirmed(rest, _sets(docs, nodes, p), p.percent))
-        comp = components(links)
+        more = _confirmed(rest, _sets(docs, nodes, p), p.percent)
+        comp = components(materialise(links.union(more), "links"))
 
     # The smallest document of each component, then back to every row.
     of_set = materialise(reps.join(comp, "node", "left").select(
         "set_key", F.coalesce("comp", "node").alias("comp"), "first", "copies"), "of-set")
     of_comp = of_set.groupBy("comp").agg(F.min("first").alias("lead"), F.sum("copies").alias("rows")).filter("rows > 1")
     led = spread_join(of_set.select("set_key", "comp"), of_comp, "comp").select("set_key", "lead")
-    out = spread_join(sig.drop("bands"), materialise(led, "lead"), "set_key", "left")
+    out = spread_join(sig.drop("bands"), led, "set_key", "left")
     alone = F.col("lead").isNull()
     return out.select("rid", "doc_id", "n_shingles", "set_key",
                       F.when(alone, F.col("doc_id")).otherwise(F.col("lead.doc_id")).alias("component_id"),

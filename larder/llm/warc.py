@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import hot_keys, materialise, pick, spread_join
+from larder.llm.common import materialise, pick, spread_join
 from larder.sources.files import scratch_path
 
 MAGIC = b"\x1f\x8b\x08"
@@ -81,9 +81,7 @@ def mark_revisits(pages: DataFrame, p: WarcParams) -> DataFrame:
     marked = pages.withColumn("sum", F.sha1(payload)).withColumn("size", F.octet_length(payload))
     thin = marked.filter(F.col("size") >= p.min_payload).groupBy("sum").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
-    # Hot payloads are known by their checksums alone; the texts move once.
-    hot = materialise(hot_keys(marked.select("sum"), "sum", 256), "hot-payloads")
-    joined = spread_join(marked, materialise(thin, "copied"), "sum", "left", hot, by=["page_id", "url"])
+    joined = spread_join(marked, thin, "sum", "left")
     other = (F.col("size") >= p.min_payload) & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "html", F.when(other, F.col("first")).alias("refers_to"))
 
