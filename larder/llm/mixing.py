@@ -16,12 +16,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import SPACE_REGEX, WORD_REGEX, materialise, pick, positional
+from larder.llm.common import SPACE_REGEX, materialise, pick, positional
 
 
 @dataclass(frozen=True)
@@ -30,13 +30,14 @@ class MixParams:
     ``smoothing``. ``total``: tokens wanted; by default the present total, or
     with ``min_rate`` the least total that no domain has to be cut for.
     ``min_rate``: lower bound of rates (0 or more). ``train_rows``: bound on the
-    labelled rows that the classifier is fitted on; ``max_domains``: at most."""
+    labelled rows that the classifier is fitted on; ``markers``: words per
+    domain that it looks at; ``max_domains``: at most."""
     targets: Mapping[str, float] = field(default_factory=dict)
     smoothing: float = 0.7
     total: float | None = None
     min_rate: float = 0.0
     train_rows: int = 4000
-    features: int = 1 << 12
+    markers: int = 128
     max_domains: int = 64
     tolerance: float = 1e-4
     max_rounds: int = 60
@@ -44,22 +45,34 @@ class MixParams:
 
 
 def _words(text: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SPACE_REGEX, " ")), " ")
+    """Words of a whole text, in lower case; an empty string may stand first or last."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE_REGEX)
 
 
-def n_words(text: Column) -> Column:
-    """Words of a whole text; null: 0."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_REGEX)), F.lit(0)).cast("long")
+def _n_words(words: str) -> Column:
+    last = F.element_at(words, -1) == ""
+    return (F.size(words) - F.when(F.col(words)[0] == "", 1).otherwise(0)
+            - F.when(last & (F.size(words) > 1), 1).otherwise(0)).cast("long")
 
 
-def _featured(df: DataFrame, text: str, p: MixParams) -> DataFrame:
-    df = df.withColumn("mix_words", _words(F.col(text)))
-    df = HashingTF(inputCol="mix_words", outputCol="mix_counts", numFeatures=p.features).transform(df)
-    return Normalizer(inputCol="mix_counts", outputCol="mix_features", p=2.0).transform(df)
+def _markers(rows: DataFrame, p: MixParams) -> list:
+    """The words of the labelled rows that are in the most documents of a domain."""
+    each = rows.select("domain", F.explode(F.array_distinct("mix_words")).alias("word")).filter("word <> ''")
+    count = each.groupBy("domain", "word").count()
+    place = F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("count"), "word"))
+    best = count.withColumn("place", place).filter(F.col("place") <= p.markers)
+    return [r[0] for r in best.select("word").distinct().orderBy("word").collect()]
+
+
+def _featured(df: DataFrame, words: list) -> DataFrame:
+    """Which markers a text holds, as a sparse vector."""
+    held = F.array_intersect(F.col("mix_words"), F.array(*[F.lit(w) for w in words]))
+    known = CountVectorizerModel.from_vocabulary(words, inputCol="mix_held", outputCol="mix_features", minTF=1.0)
+    return known.transform(df.withColumn("mix_held", held)).drop("mix_held")
 
 
 def train_domains(docs: DataFrame, labels: DataFrame, p: MixParams):
-    """(domains, model) from ``docs (doc_id, text, domain)`` whose ids are in
+    """(domains, (marker words, model)) from ``docs (doc_id, text, domain)`` whose ids are in
     ``labels (doc_id)``; the model is None for fewer than two domains."""
     ids = labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id", F.lit(p.seed)), "doc_id").limit(p.train_rows)
@@ -70,20 +83,25 @@ def train_domains(docs: DataFrame, labels: DataFrame, p: MixParams):
         raise ValueError(f"more than {p.max_domains} domains")
     if len(domains) < 2:
         return domains, None
+    rows = materialise(rows.withColumn("mix_words", _words(F.col("text"))).drop("text"), "mix-words")
+    words = _markers(rows, p)
+    if not words:
+        return domains, None
     label = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("double") - 1
-    rows = _featured(rows.withColumn("label", label), "text", p)
+    rows = _featured(rows.withColumn("label", label), words)
     fit = LogisticRegression(featuresCol="mix_features", labelCol="label", family="multinomial", maxIter=30, regParam=1e-4,
                              predictionCol="mix_pred", probabilityCol="mix_prob", rawPredictionCol="mix_raw")
-    return domains, fit.fit(rows)
+    return domains, (words, fit.fit(materialise(rows.select("label", "mix_features"), "mix-features")))
 
 
 def posteriors(df: DataFrame, text: str, domains, model, p: MixParams) -> DataFrame:
     """``df`` with ``mix_tokens`` and ``mix_posterior`` (array in the order of ``domains``)."""
-    df = df.withColumn("mix_tokens", n_words(F.col(text)))
+    df = df.withColumn("mix_words", _words(F.col(text))).withColumn("mix_tokens", _n_words("mix_words"))
     if model is None:
-        return df.withColumn("mix_posterior", F.array(*[F.lit(1.0) for _ in domains]).cast("array<double>"))
-    out = model.transform(_featured(df, text, p)).withColumn("mix_posterior", vector_to_array("mix_prob"))
-    return out.drop("mix_words", "mix_counts", "mix_features", "mix_raw", "mix_prob", "mix_pred")
+        return df.drop("mix_words").withColumn("mix_posterior", F.array(*[F.lit(1.0) for _ in domains]).cast("array<double>"))
+    words, fitted = model
+    out = fitted.transform(_featured(df, words)).withColumn("mix_posterior", vector_to_array("mix_prob"))
+    return out.drop("mix_words", "mix_features", "mix_raw", "mix_prob", "mix_pred")
 
 
 def _rate(steps: list, low: float) -> Column:
