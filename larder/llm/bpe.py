@@ -74,16 +74,49 @@ def encode_words(path: str, words: list, chunk: int = 2000) -> list:
     return out
 
 
-def _pack(**columns) -> bytes:
-    batch = pa.record_batch(list(columns.values()), names=list(columns))
+def _zip(data: bytes) -> bytes:
+    import zstandard
+    return zstandard.compress(data, 6)
+
+
+def _unzip(data: bytes) -> bytes:
+    import zstandard
+    return zstandard.decompress(data)
+
+
+def _pack_rows(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_batch(rows)
+    return _zip(sink.getvalue().to_pybytes())
+
+
+def _unpack_rows(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(_unzip(data)).read_all().combine_chunks().to_batches()[0]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, all first bytes before all second bytes and so on."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _pack_ids(ids: list) -> bytes:
+    """The lists of ids of some words, given as bytes: their lengths, then all ids."""
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    lengths = np.array([len(x) // 4 for x in ids], "<u4")
+    return _zip(len(ids).to_bytes(8, "little") + _planes(lengths) + _planes(flat))
 
 
-def _unpack(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
+def _unpack_ids(data: bytes) -> list:
+    data = _unzip(data)
+    n = int.from_bytes(data[:8], "little")
+    ends = np.cumsum(_numbers(data[8:8 + 4 * n]), dtype=np.int64) * 4
+    flat = _numbers(data[8 + 4 * n:]).tobytes()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
 
 def _texts(column) -> list:
@@ -121,9 +154,13 @@ def _blocks(batches, limit: int):
         yield block(held)
 
 
-def _bucket(word: bytes, n: int) -> int:
+def _dealt(rows: pa.RecordBatch, buckets: int) -> dict:
+    """The distinct words of a block by bucket, in order."""
     import xxhash
-    return xxhash.xxh3_64_intdigest(word) % n
+    dealt: dict = {}
+    for w in sorted(set().union(*[t.split() for t in _texts(rows.column("text"))])):
+        dealt.setdefault(xxhash.xxh3_64_intdigest(w) % buckets, []).append(w)
+    return dealt
 
 
 def encode_blocks(docs: DataFrame, p: BpeParams, finish, schema: str) -> DataFrame:
@@ -135,31 +172,28 @@ def encode_blocks(docs: DataFrame, p: BpeParams, finish, schema: str) -> DataFra
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in _blocks(batches, p.block_bytes):
-            dealt: list = [[] for _ in range(buckets)]
-            for w in set().union(*[t.split() for t in _texts(rows.column("text"))]):
-                dealt[_bucket(w, buckets)].append(w)
-            used = [i for i, x in enumerate(dealt) if x]
-            yield pa.record_batch([pa.array(used, pa.int32()), pa.array([key] * len(used), pa.binary()),
-                                   pa.array([_pack(w=pa.array(sorted(dealt[i]), pa.binary())) for i in used], pa.binary())],
+            dealt = _dealt(rows, buckets)
+            yield pa.record_batch([pa.array(list(dealt), pa.int32()), pa.array([key] * len(dealt), pa.binary()),
+                                   pa.array([_zip(b"\n".join(x)) for x in dealt.values()], pa.binary())],
                                   names=["bucket", "block", "words"])
 
     def encode(table: pa.Table) -> pa.Table:
-        lists = [_unpack(x).column("w").to_pylist() for x in table.column("words").to_pylist()]
+        lists = [_unzip(x).split(b"\n") for x in table.column("words").to_pylist()]
         distinct = sorted(set().union(*lists))
         ids = dict(zip(distinct, encode_words(p.tokenizer, [w.decode() for w in distinct]), strict=True))
-        packed = [_pack(w=pa.array(x, pa.binary()), i=pa.array([ids[w] for w in x], pa.binary())) for x in lists]
-        return pa.table({"block": table.column("block"), "ids": pa.array(packed, pa.binary())})
+        packed = [_pack_ids([ids[w] for w in x]) for x in lists]
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "ids": pa.array(packed, pa.binary())})
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in _blocks(batches, p.block_bytes):
-            data = _pack(**{n: rows.column(n) for n in rows.schema.names})
-            yield pa.record_batch([pa.array([key], pa.binary()), pa.array([data], pa.binary())], names=["block", "data"])
+            yield pa.record_batch([pa.array([key], pa.binary()), pa.array([_pack_rows(rows)], pa.binary())], names=["block", "data"])
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        blocks = [_unpack_rows(x) for x in left.column("data").to_pylist()]  # several: equal blocks
+        words = _dealt(blocks[0], buckets)
         known: dict = {}
-        for x in right.column("ids").to_pylist():
-            t = _unpack(x)
-            known.update(zip(t.column("w").to_pylist(), t.column("i").to_pylist(), strict=True))
+        for bucket, x in zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist(), strict=True):
+            known.update(zip(words[bucket], _unpack_ids(x), strict=True))
 
         class Encoded(dict):  # a block that was cut otherwise when it was read again: its words are encoded here
             def __missing__(self, word):
@@ -167,12 +201,11 @@ def encode_blocks(docs: DataFrame, p: BpeParams, finish, schema: str) -> DataFra
                 return self[word]
 
         ids = Encoded(known)
-        return pa.concat_tables(pa.Table.from_batches([finish(_unpack(x).combine_chunks().to_batches()[0], ids.__getitem__)])
-                                for x in left.column("data").to_pylist())
+        return pa.concat_tables(pa.Table.from_batches([finish(x, ids.__getitem__)]) for x in blocks)
 
     d = docs.select("doc_id", "text")
     dealt = d.mapInArrow(words, "bucket int, block binary, words binary")
-    table = dealt.groupBy("bucket").applyInArrow(encode, "block binary, ids binary")
+    table = dealt.groupBy("bucket").applyInArrow(encode, "block binary, bucket int, ids binary")
     data = d.mapInArrow(texts, "block binary, data binary")
     return data.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(join, schema)
 
