@@ -24,9 +24,10 @@ HEADLINE = [
     "allocation_orders",
     "replay_ledger",
     "daily_kpis",
-    "backtest_minmax",
     "compare_policies",
     "warehouse_drawdown",
+    "gbt_forecast",
+    "gbt_cv_metrics",
 ]
 
 

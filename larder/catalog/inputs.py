@@ -27,8 +27,8 @@ INITIAL_MULTIPLIER = 14.0
 NAIVE_BUFFER_DAYS = 1.0
 MIN_DAYS_SUPPLY = 3.0
 MAX_DAYS_SUPPLY = 7.0
-# Backtests start from a short stock cover so that policies are exercised.
-BACKTEST_MULTIPLIER = 3.0
+# The ledger starts from a short stock cover so that stockouts occur.
+LEDGER_MULTIPLIER = 3.0
 # The one-day policy snapshot is taken this many days before the last day;
 # arrivals after it are the in-transit orders.
 SNAPSHOT_DAYS_BEFORE_END = 7
@@ -100,22 +100,4 @@ def ledger_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     from larder.operators.replenish import initial_stock
     stats = dt.demand_daily(spark, sf_dir).groupBy("store_id", "item_id") \
         .agg(F.avg("demand").alias("avg_demand"))
-    return initial_stock(stats, BACKTEST_MULTIPLIER)
-
-
-def backtest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per series and sales day: demand, forecast = mean of the previous 7
-    rows (0 without history), lead time; ``day`` is 0-based."""
-    from larder.functions.numeric import lead_time
-    from larder.operators.windows import series
-    s = dt.sales_daily(spark, sf_dir)
-    s = s.select("store_id", "item_id", (F.substring("d", 3, 10).cast("int") - 1).alias("day"),
-                 F.col("sales").alias("demand"))
-    fc = F.coalesce(F.avg("demand").over(series("day").rowsBetween(-7, -1)), F.lit(0.0))
-    return s.select("*", fc.alias("forecast"),
-                    lead_time(F.col("day"), F.col("store_id"), LEAD_TIME_MIN, LEAD_TIME_MAX).alias("lead_time"))
-
-
-def backtest_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from larder.operators.replenish import initial_stock
-    return initial_stock(series_stats(spark, sf_dir), BACKTEST_MULTIPLIER)
+    return initial_stock(stats, LEDGER_MULTIPLIER)

@@ -74,7 +74,7 @@ prices AS (
   SELECT store_id, item_id, CAST(year(date) * 100 + weekofyear(date) AS INT) AS wm_yr_wk,
     CAST((2 * sum(CAST(round(l_extendedprice * 100) AS BIGINT)) + sum(CAST(l_quantity AS BIGINT)))
       // nullif(2 * sum(CAST(l_quantity AS BIGINT)), 0) AS DOUBLE) / 100.0 AS sell_price
-  FROM facts WHERE isodow(date) BETWEEN 1 AND 3 GROUP BY 1, 2, 3),
+  FROM facts GROUP BY 1, 2, 3),
 joined AS (
   SELECT s.id, s.item_id, s.dept_id, s.cat_id, s.store_id, s.state_id, s.d, s.sales,
     c.date, c.wm_yr_wk, c.weekday, c.wday, c.month, c.year,
@@ -331,7 +331,8 @@ _LT_SPAN = P.LEAD_TIME_MAX - P.LEAD_TIME_MIN + 1
 
 
 def _lead_time(day: str, store: str) -> str:
-    return f"CAST({P.LEAD_TIME_MIN} + (31 * {day} + 7 * ascii({store}) + 0) % {_LT_SPAN} AS INT)"
+    key = f"md5(concat_ws('|', {day}, {store}, item_id, '0'))"
+    return f"CAST({P.LEAD_TIME_MIN} + CAST('0x' || substr({key}, 1, 8) AS BIGINT) % {_LT_SPAN} AS INT)"
 
 
 ORACLES["in_transit_totals"] = with_prelude(_LEDGER, "SELECT store_id, item_id, round(in_transit, 6) AS in_transit "
@@ -389,7 +390,7 @@ ev AS (
     row_number() OVER (PARTITION BY store_id, item_id ORDER BY day) AS rn
   FROM ev0),
 linit AS (
-  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(demand), 0.0)) * {P.BACKTEST_MULTIPLIER}) AS DOUBLE) AS qty
+  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(demand), 0.0)) * {P.LEDGER_MULTIPLIER}) AS DOUBLE) AS qty
   FROM demand_daily GROUP BY store_id, item_id),
 rec AS (
   SELECT e.store_id, e.item_id, e.rn, e.day, e.demand, e.arrivals, e.has_demand,
@@ -457,67 +458,35 @@ SELECT item_id, day, round(ordered, 6) AS ordered, round(greatest(0.0, start_qty
   round(greatest(0.0, cum - start_qty), 6) AS shortfall FROM dd""")
 
 
-def _backtest(policy: str, tag: str) -> str:
-    """Closed-loop rollout per series as a recursive CTE with a list of open
-    orders (independent of the Spark per-series loop)."""
-    if policy == "naive":
-        qty = f"fc * {_MEAN_LT + P.NAIVE_BUFFER_DAYS} - inv - open_qty"
-    else:
-        qty = (f"CASE WHEN inv + open_qty < fc * {P.MIN_DAYS_SUPPLY} "
-               f"THEN fc * {P.MAX_DAYS_SUPPLY} - (inv + open_qty) ELSE 0.0 END")
-    return f"""
-{tag}_rec AS (
-  SELECT store_id, item_id, CAST(0 AS BIGINT) AS rn, -1 AS day, CAST(0 AS DOUBLE) AS demand,
-    CAST(0 AS DOUBLE) AS forecast, CAST(0 AS DOUBLE) AS ordered, CAST(0 AS DOUBLE) AS arrived,
-    CAST(0 AS DOUBLE) AS sales, CAST(0 AS DOUBLE) AS stockout, CAST(inv0 AS DOUBLE) AS inv,
-    CAST([] AS STRUCT(a INTEGER, q DOUBLE)[]) AS pending
-  FROM bt_init
-  UNION ALL
-  SELECT store_id, item_id, rn, day, demand, fc, ordered, arrived,
-    least(demand, inv + arrived) AS sales, demand - least(demand, inv + arrived) AS stockout,
-    inv + arrived - least(demand, inv + arrived) AS inv, list_filter(pend2, lambda x: x.a > day) AS pending
-  FROM (
-    SELECT *, coalesce(list_sum(list_transform(list_filter(pend2, lambda x: x.a <= day), lambda x: x.q)), 0.0) AS arrived
-    FROM (
-      SELECT *, CASE WHEN ordered > 0 THEN list_append(pending, {{'a': day + lt, 'q': ordered}})
-                ELSE pending END AS pend2
-      FROM (
-        SELECT *, CASE WHEN q > 0 THEN q ELSE 0.0 END AS ordered
-        FROM (
-          SELECT e.store_id, e.item_id, e.rn, e.day, e.demand, e.fc, e.lt, r.inv, r.pending,
-            {qty.replace('open_qty', 'coalesce(list_sum(list_transform(r.pending, lambda x: x.q)), 0.0)').replace('inv', 'r.inv').replace('fc', 'e.fc')} AS q
-          FROM {tag}_rec r JOIN bt e ON e.store_id = r.store_id AND e.item_id = r.item_id AND e.rn = r.rn + 1))))),
-{tag} AS (
-  SELECT store_id, item_id, CAST(day AS INT) AS day, demand, forecast, ordered, arrived, sales, stockout,
-    inv AS end_stock, inv * {P.HOLDING_COST} AS holding_cost, stockout * {P.STOCKOUT_PENALTY} AS stockout_penalty
-  FROM {tag}_rec WHERE rn > 0)"""
-
-
-_BT_BASE = f"""
-bt_ev AS (
-  SELECT store_id, item_id, CAST(substr(d, 3, 10) AS INT) - 1 AS day, sales AS demand FROM sales_daily),
-bt AS (
-  SELECT store_id, item_id, day, demand,
-    coalesce(avg(demand) OVER (PARTITION BY store_id, item_id ORDER BY day
-                               ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0.0) AS fc,
-    {_lead_time('day', 'store_id')} AS lt,
-    row_number() OVER (PARTITION BY store_id, item_id ORDER BY day) AS rn
-  FROM bt_ev),
-bt_init AS (
-  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(sales), 0.0)) * {P.BACKTEST_MULTIPLIER}) AS DOUBLE) AS inv0
-  FROM sales_daily GROUP BY store_id, item_id)"""
-
-_BT_COLS = ("store_id, item_id, day, round(demand, 6) AS demand, round(forecast, 6) AS forecast, "
-            "round(ordered, 6) AS ordered, round(arrived, 6) AS arrived, round(sales, 6) AS sales, "
-            "round(stockout, 6) AS stockout, round(end_stock, 6) AS end_stock, "
-            "round(holding_cost, 6) AS holding_cost, round(stockout_penalty, 6) AS stockout_penalty")
-
-ORACLES["backtest_naive"] = with_prelude(_BT_BASE + "," + _backtest("naive", "btn"), f"SELECT {_BT_COLS} FROM btn")
-ORACLES["backtest_minmax"] = with_prelude(_BT_BASE + "," + _backtest("minmax", "btm"), f"SELECT {_BT_COLS} FROM btm")
-ORACLES["compare_policies"] = with_prelude(
-    _BT_BASE + "," + _backtest("naive", "btn") + "," + _backtest("minmax", "btm") + """,
-runs AS (SELECT 'naive' AS policy, * FROM btn UNION ALL SELECT 'minmax' AS policy, * FROM btm),""" + _daily("runs", "pk", "policy"),
-    _summary("pk", "policy"))
+ORACLES["compare_policies"] = with_prelude(_LEDGER + "," + _ALLOC + f""",
+pdem AS (SELECT store_id, item_id, forecasted_demand * {_MEAN_LT} AS demand FROM position),
+pinv AS (SELECT store_id, item_id, position AS qty FROM position),""" + _alloc_ctes("pdem", "pinv", "wh", "ordered", "al") + f""",
+placed AS (
+  SELECT 'naive' AS policy, store_id, item_id, forecasted_demand * {_MEAN_LT + P.NAIVE_BUFFER_DAYS} - stock - in_transit AS q FROM position
+  UNION ALL SELECT 'minmax', store_id, item_id, CASE WHEN position < forecasted_demand * {P.MIN_DAYS_SUPPLY}
+    THEN forecasted_demand * {P.MAX_DAYS_SUPPLY} - position ELSE 0 END FROM position
+  UNION ALL SELECT 'allocation', store_id, item_id, x FROM al),
+netted AS (
+  SELECT n.policy, greatest(coalesce(p.q, 0.0), 0.0) AS q, greatest(0.0, forecasted_demand * {_MEAN_LT} - position
+    - greatest(coalesce(p.q, 0.0), 0.0)) AS short
+  FROM position o CROSS JOIN (VALUES ('naive'), ('minmax'), ('allocation')) n(policy)
+  LEFT JOIN placed p ON p.policy = n.policy AND p.store_id = o.store_id AND p.item_id = o.item_id)""", f"""
+SELECT policy, CAST(sum(CAST(q > 0 AS BIGINT)) AS BIGINT) AS n_orders, round(sum(q), 4) AS units,
+  round(sum(q) * {P.TRANSPORT_COST}, 4) AS transport_cost, round(sum(short), 4) AS short_units,
+  round(sum(short) * {P.STOCKOUT_PENALTY}, 4) AS shortage_cost
+FROM netted GROUP BY policy""")
+
+ORACLES["read_calendar"] = with_prelude("", """
+SELECT date, wm_yr_wk, weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2, event_type_2,
+  snap_AF AS snap_CA, snap_AM AS snap_TX, snap_AS AS snap_WI FROM calendar""")
+ORACLES["read_prices"] = with_prelude("", "SELECT store_id, item_id, wm_yr_wk, sell_price FROM prices")
+ORACLES["read_sales_wide"] = ORACLES["melt_sales"]
+ORACLES["price_change_pct_padded"] = with_prelude("""
+padded AS (SELECT *, last_value(sell_price IGNORE NULLS) OVER (PARTITION BY store_id, item_id ORDER BY date
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p FROM prepared),
+shifted AS (SELECT *, lag(p, 7) OVER (PARTITION BY store_id, item_id ORDER BY date) AS q FROM padded)""",
+    "SELECT store_id, item_id, date, round(sell_price, 6) AS sell_price, "
+    "round(p / nullif(q, 0) - 1, 6) AS price_change_pct FROM shifted")
 
 ORACLES["date_semi_join"] = with_prelude(_feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS, f"""
 SELECT store_id, item_id, date, round(sales, 6) AS sales, round(lag_7, 6) AS lag_7 FROM fm

@@ -36,20 +36,6 @@ def register(name: str):
     return deco
 
 
-def _featured(spark, sf_dir) -> DataFrame:
-    """All features computed, before sparse-group removal."""
-    df = prepared(spark, sf_dir)
-    df = fe.calendar_features(df)
-    df = fe.event_features(df)
-    df = fe.snap_features(df)
-    df = fe.lag_features(df, P.LAGS)
-    df = fe.rolling_mean(df, P.WINDOWS)
-    df = fe.rolling_std(df, P.WINDOWS)
-    df = fe.price_rel_mean(df)
-    df = fe.price_change_pct(df)
-    return fe.log_price(df)
-
-
 # -- preparation --------------------------------------------------------------
 
 @register("melt_sales")
@@ -128,6 +114,13 @@ def q_price_rel_mean(spark, sf_dir):
     return round_doubles(df.select(*KEYS, "sell_price", "price_rel_mean"))
 
 
+@register("price_change_pct_padded")
+def q_price_change_pct_padded(spark, sf_dir):
+    """Prices padded forward without limit before the change is taken."""
+    df = fe.price_change_pct(prepared(spark, sf_dir), pad=True)
+    return round_doubles(df.select(*KEYS, "sell_price", "price_change_pct"))
+
+
 @register("price_change_pct")
 def q_price_change_pct(spark, sf_dir):
     df = fe.price_change_pct(prepared(spark, sf_dir))
@@ -147,7 +140,7 @@ def q_drop_sparse_groups(spark, sf_dir):
 
 
 def feature_matrix(spark, sf_dir) -> DataFrame:
-    return fe.drop_sparse_groups(_featured(spark, sf_dir), P.MIN_GROUP_ROWS)
+    return fe.add_all_features(prepared(spark, sf_dir), P.LAGS, P.WINDOWS, P.MIN_GROUP_ROWS)
 
 
 @register("feature_matrix")
@@ -160,7 +153,7 @@ def q_feature_job_wide(spark, sf_dir):
     """The reference's feature build from the wide layout: melt over the
     whole calendar (days without sales are 0), calendar, prices + fill,
     features, sparse-group removal - the ``plans.jobs.build_features`` plan."""
-    from larder.plans.jobs import Params, build_features
+    from larder.plans.jobs import build_features
     params = Params(lag_days=P.LAGS, rolling_windows=P.WINDOWS, min_group_rows=P.MIN_GROUP_ROWS,
                     price_ffill_limit=P.FFILL_LIMIT)
     feats = build_features(dt.sales_wide(spark, sf_dir), dt.calendar(spark, sf_dir), dt.prices(spark, sf_dir),
@@ -224,13 +217,11 @@ def q_cv_metrics(spark, sf_dir):
     return round_doubles(fc.cv_average(fc.fold_metrics(scored, _folds(spark, sf_dir, fm))))
 
 
-GBT_NUMERIC = ["lag_7", "lag_14", "lag_28", "rolling_mean_7", "rolling_mean_28", "rolling_std_7",
-               "rolling_std_28", "day_of_week", "is_weekend", "month", "has_event", "event_type_encoded",
-               "snap_active", "sell_price", "price_rel_mean", "price_change_pct"]
-GBT_CATEGORICAL = ["dept_id", "cat_id", "state_id"]
-# The registered query trains a short ensemble so the correctness run stays
-# quick; the training job defaults to the reference's 150 trees.
-GBT_QUERY_TREES = 10
+from larder.plans.jobs import Params  # noqa: E402
+
+_JOB = Params()
+GBT_NUMERIC, GBT_CATEGORICAL = list(_JOB.numeric_features), list(_JOB.categorical_features)
+GBT = dict(max_iter=_JOB.n_estimators, step_size=_JOB.learning_rate, seed=_JOB.seed)
 
 
 @register("gbt_forecast")
@@ -240,7 +231,7 @@ def q_gbt_forecast(spark, sf_dir):
     folds = _folds(spark, sf_dir, fm).filter(F.col("fold") == P.CV_SPLITS)
     train = fc.date_semi_join(fm, folds.filter(F.col("role") == "train"))
     test = fc.date_semi_join(fm, folds.filter(F.col("role") == "test"))
-    model = fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, max_iter=GBT_QUERY_TREES)
+    model = fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, **GBT)
     return round_doubles(fc.predict(model, test, GBT_NUMERIC).select(*KEYS, "sales", "prediction"))
 
 
@@ -261,7 +252,7 @@ def q_gbt_cv_metrics(spark, sf_dir):
     fm = cut_lineage(feature_matrix(spark, sf_dir).select(
         "date", "store_id", "item_id", "sales", *GBT_NUMERIC, *GBT_CATEGORICAL))
     folds = _folds(spark, sf_dir, fm)
-    return round_doubles(fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, max_iter=GBT_QUERY_TREES))
+    return round_doubles(fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, **GBT))
 
 
 # -- allocation ---------------------------------------------------------------
@@ -381,12 +372,12 @@ def q_replay_ledger(spark, sf_dir):
 
 @register("daily_kpis")
 def q_daily_kpis(spark, sf_dir):
-    return round_doubles(lg.daily_kpis(_replay(spark, sf_dir)))
+    return round_doubles(lg.daily_kpis(_replay(spark, sf_dir), dt.n_calendar_days(spark, sf_dir)))
 
 
 @register("summary_kpis")
 def q_summary_kpis(spark, sf_dir):
-    return round_doubles(lg.summary_kpis(lg.daily_kpis(_replay(spark, sf_dir))))
+    return round_doubles(lg.summary_kpis(lg.daily_kpis(_replay(spark, sf_dir), dt.n_calendar_days(spark, sf_dir))))
 
 
 @register("warehouse_drawdown")
@@ -396,26 +387,45 @@ def q_warehouse_drawdown(spark, sf_dir):
     return round_doubles(lg.warehouse_drawdown(orders, warehouse))
 
 
-def _backtest(spark, sf_dir, policy):
-    return lg.backtest_policy(P.backtest_events(spark, sf_dir), P.backtest_initial(spark, sf_dir),
-                              policy, P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, P.NAIVE_BUFFER_DAYS,
-                              P.MIN_DAYS_SUPPLY, P.MAX_DAYS_SUPPLY, P.HOLDING_COST, P.STOCKOUT_PENALTY)
+@register("compare_policies")
+def q_compare_policies(spark, sf_dir):
+    """Naive, min-max and allocation orders for the snapshot position, side by side."""
+    _, warehouse = P.allocation_inputs(spark, sf_dir)
+    position = _position(spark, sf_dir)
+    orders = {"naive": rp.naive_orders(position, P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, P.NAIVE_BUFFER_DAYS),
+              "minmax": rp.minmax_orders(position, P.MIN_DAYS_SUPPLY, P.MAX_DAYS_SUPPLY),
+              "allocation": rp.allocation_orders(position, warehouse, P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, **COSTS)}
+    return round_doubles(lg.compare_policies(orders, position, (P.LEAD_TIME_MIN + P.LEAD_TIME_MAX) / 2.0,
+                                             P.TRANSPORT_COST, P.STOCKOUT_PENALTY), 4)
+
+
+# -- files --------------------------------------------------------------------
 
+from larder.sources import files as fs  # noqa: E402
 
-@register("backtest_naive")
-def q_backtest_naive(spark, sf_dir):
-    return round_doubles(_backtest(spark, sf_dir, "naive"))
 
+def _as_csv(spark, df: DataFrame, name: str) -> str:
+    """``df`` written as CSV under the shared folder, columns in reverse order
+    and with one column more than the reader knows."""
+    path = fs.scratch_path(spark, name)
+    df.select(*reversed(df.columns), F.lit("x").alias("note")).write.csv(path, header=True)
+    return path
 
-@register("backtest_minmax")
-def q_backtest_minmax(spark, sf_dir):
-    return round_doubles(_backtest(spark, sf_dir, "minmax"))
 
+@register("read_calendar")
+def q_read_calendar(spark, sf_dir):
+    cal = dt.calendar(spark, sf_dir)
+    cal = cal.withColumnRenamed("snap_AF", "snap_CA").withColumnRenamed("snap_AM", "snap_TX").withColumnRenamed("snap_AS", "snap_WI")
+    return fs.read_calendar(spark, _as_csv(spark, cal, "csv-calendar"))
 
-@register("compare_policies")
-def q_compare_policies(spark, sf_dir):
-    runs = lg.backtest_policies(P.backtest_events(spark, sf_dir), P.backtest_initial(spark, sf_dir),
-                                ("naive", "minmax"), P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, P.NAIVE_BUFFER_DAYS,
-                                P.MIN_DAYS_SUPPLY, P.MAX_DAYS_SUPPLY, P.HOLDING_COST, P.STOCKOUT_PENALTY)
-    daily = lg.daily_kpis(runs, extra_keys=("policy",))
-    return round_doubles(lg.summary_kpis(daily, by=("policy",)))
+
+@register("read_prices")
+def q_read_prices(spark, sf_dir):
+    return fs.read_prices(spark, _as_csv(spark, dt.prices(spark, sf_dir), "csv-prices"))
+
+
+@register("read_sales_wide")
+def q_read_sales_wide(spark, sf_dir):
+    wide = dt.sales_wide(spark, sf_dir)
+    whole = wide.select(*[F.col(c).cast("int").alias(c) if c.startswith("d_") else F.col(c) for c in wide.columns])
+    return round_doubles(pr.melt_sales(fs.read_sales_wide(spark, _as_csv(spark, whole, "csv-sales"))))

@@ -15,17 +15,10 @@ def clip_non_negative(c: Column) -> Column:
     return F.greatest(c, F.lit(0.0))
 
 
-def lead_time(day: Column, store: Column, lt_min: int, lt_max: int, seed: int = 0) -> Column:
-    """Deterministic lead time in ``[lt_min, lt_max]`` per (day, store).
-
-    Arithmetic on purpose, so any SQL engine reproduces it exactly.
-    """
-    span = lt_max - lt_min + 1
-    return (F.lit(lt_min) + F.pmod(F.lit(31) * day + F.lit(7) * F.ascii(store) + F.lit(seed), F.lit(span))).cast("int")
-
-
-def lead_time_hashed(day: Column, store: Column, item: Column, lt_min: int, lt_max: int,
-                     seed: int = 42) -> Column:
-    """Seeded hash lead time (reproducible, well mixed; Spark-only)."""
-    span = lt_max - lt_min + 1
-    return (F.lit(lt_min) + F.pmod(F.xxhash64(day, store, item, F.lit(seed)), F.lit(span))).cast("int")
+def lead_time(day: Column, store: Column, item: Column, lt_min: int, lt_max: int, seed: int = 0) -> Column:
+    """Deterministic lead time in ``[lt_min, lt_max]`` of one order: the first
+    eight hexadecimal digits of the MD5 of ``day|store|item|seed``, which any
+    SQL engine computes alike."""
+    key = F.concat_ws("|", day.cast("string"), store, item, F.lit(str(seed)))
+    drawn = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    return (F.lit(lt_min) + F.pmod(drawn, F.lit(lt_max - lt_min + 1))).cast("int")

@@ -97,18 +97,16 @@ def price_rel_mean(df: DataFrame, as_of: bool = False) -> DataFrame:
     """sell_price / mean price of the item over all stores and dates (a zero
     mean gives NULL).
 
-    A window partitioned by item: one item holds at most (stores carrying it)
-    x (calendar days) rows, a bound that does not grow with the line volume,
-    and the partitioning is shared with the series windows when the input is
-    already partitioned by item (see ``prepare.join_prices``). A grouped
-    aggregate joined back would recompute the whole upstream plan.
+    The mean is a grouped sum and count per item, combined in each task before
+    the shuffle, and joined back; a hot item is never gathered in one task.
 
     ``as_of=True`` uses only earlier days: running sums per item and day."""
     if "sell_price" not in df.columns:
         return df
     if not as_of:
-        mean = F.avg("sell_price").over(Window.partitionBy("item_id"))
-        return df.withColumn("price_rel_mean", safe_div(F.col("sell_price"), mean))
+        mean = df.groupBy("item_id").agg(F.avg("sell_price").alias("_item_mean"))
+        out = df.join(mean, "item_id", "left")
+        return out.withColumn("price_rel_mean", safe_div(F.col("sell_price"), F.col("_item_mean"))).drop("_item_mean")
     per_day = (df.groupBy("item_id", "date")
                .agg(F.sum("sell_price").alias("_s"), F.count("sell_price").alias("_n")))
     w = Window.partitionBy("item_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +125,7 @@ def price_change_pct(df: DataFrame, periods: int = 7, pad: bool = False) -> Data
     w = series()
     p = F.col("sell_price")
     if pad:
-        p = F.last("sell_price", ignorenulls=True).over(w.rowsBetween(-(1 << 30), 0))
+        p = F.last("sell_price", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         df = df.withColumn("_p", p)
         p = F.col("_p")
     out = df.withColumn("price_change_pct", safe_div(p, F.lag(p, periods).over(w)) - 1)
@@ -176,20 +174,18 @@ def feature_null_counts(df: DataFrame, columns: Sequence[str] | None = None) ->
 def quality_checks(df: DataFrame, keys: Sequence[str] = ("store_id", "item_id", "date"),
                    flags: Sequence[str] = ("is_weekend", "has_event", "snap_active")) -> DataFrame:
     """One row of data checks: row count, duplicated keys, price NULL rate,
-    negative sales rows and rows whose 0/1 flags hold another value."""
-    dup = (df.groupBy(*keys).count().filter(F.col("count") > 1)
-             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_keys")))
+    negative sales rows and rows whose 0/1 flags hold another value. The input
+    is read once: sums per key, then over the keys."""
     bad_flag = F.lit(False)
     for f in flags:
         if f in df.columns:
             bad_flag = bad_flag | ~F.col(f).isin(0, 1)
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg(F.col("sell_price").isNull().cast("double")).alias("price_null_rate")
-        if "sell_price" in df.columns else F.lit(None).cast("double").alias("price_null_rate"),
-        F.sum((F.col("sales") < 0).cast("long")).alias("negative_sales"),
-        F.sum(bad_flag.cast("long")).alias("bad_flags"),
-    )
-    # Both sides are single-row aggregates: joining them on a constant key is a
-    # one-row join.
-    return stats.withColumn("_k", F.lit(1)).join(dup.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    no_price = F.col("sell_price").isNull() if "sell_price" in df.columns else F.lit(None).cast("boolean")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(no_price.cast("long")).alias("_no_price"),
+                                    F.sum((F.col("sales") < 0).cast("long")).alias("_negative"),
+                                    F.sum(bad_flag.cast("long")).alias("_bad"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        safe_div(F.sum("_no_price").cast("double"), F.sum("_n").cast("double")).alias("price_null_rate"),
+        F.sum("_negative").alias("negative_sales"), F.sum("_bad").alias("bad_flags"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_keys"))

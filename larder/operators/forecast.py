@@ -116,6 +116,8 @@ def train_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
 
 def predict(model, df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """Score rows; predictions clipped at 0; helper columns dropped."""
+    if model is None:
+        raise ValueError("model is not fitted")
     scored = model.transform(_prepare_ml(df, numeric))
     helper = [c for c in scored.columns if c.endswith(("__v", "__missing", "__idx")) or c == "features"]
     return scored.withColumn("prediction", clip_non_negative(F.col("prediction"))).drop(*helper)

@@ -1,9 +1,8 @@
 """Stock ledgers over time: one-day fulfilment, open-loop replay with window
-functions, closed-loop policy back-tests, warehouse drawdown and KPIs."""
+functions, warehouse drawdown, KPIs and the comparison of ordering policies."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,115 +142,22 @@ def warehouse_drawdown(orders: DataFrame, warehouse: DataFrame) -> DataFrame:
                     F.greatest(F.lit(0.0), cum - F.col("start_qty")).alias("shortfall"))
 
 
-# -- closed-loop back-test ----------------------------------------------------
-
-ROLLOUT_SCHEMA = ("store_id string, item_id string, day int, demand double, forecast double, "
-                  "ordered double, arrived double, sales double, stockout double, end_stock double, "
-                  "holding_cost double, stockout_penalty double")
-
-
-def _rollout_fn(policy: str, mean_lt: float, buffer_days: float, min_days: float, max_days: float,
-                holding_cost: float, stockout_penalty: float):
-    """Per-series day loop (a small helper run inside ``applyInPandas``).
-
-    Per day, in the reference order: position = stock + open orders; place
-    the policy's order (arrival = day + lead time); receive everything due;
-    serve demand. Open orders never exceed lead_time_max entries."""
-
-    naive = policy == "naive"
-    if policy not in ("naive", "minmax"):
-        raise ValueError(f"unknown policy {policy!r}")
-    cover = mean_lt + buffer_days
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("day", kind="stable")
-        days, dems = pdf["day"].tolist(), pdf["demand"].tolist()
-        fcs, lts = pdf["forecast"].tolist(), pdf["lead_time"].tolist()
-        inv = float(pdf["inv0"].iloc[0])
-        pending: list[tuple[int, float]] = []
-        n = len(days)
-        ordered_l, arrived_l, sales_l, short_l, stock_l = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
-        for i in range(n):
-            day, dem, fc = days[i], dems[i], fcs[i]
-            open_qty = sum(q for _, q in pending)
-            if naive:
-                qty = fc * cover - inv - open_qty
-            else:
-                pos = inv + open_qty
-                qty = fc * max_days - pos if pos < fc * min_days else 0.0
-            if qty > 0:
-                pending.append((day + lts[i], qty))
-                ordered_l[i] = qty
-            arrived = 0.0
-            if pending:
-                keep = []
-                for a, q in pending:
-                    if a <= day:
-                        arrived += q
-                    else:
-                        keep.append((a, q))
-                pending = keep
-            inv += arrived
-            sales = dem if dem < inv else inv
-            inv -= sales
-            arrived_l[i], sales_l[i], short_l[i], stock_l[i] = arrived, sales, dem - sales, inv
-        res = pd.DataFrame({"day": pd.array(days, dtype="int32"), "demand": dems, "forecast": fcs,
-                            "ordered": ordered_l, "arrived": arrived_l, "sales": sales_l,
-                            "stockout": short_l, "end_stock": stock_l})
-        res["holding_cost"] = res["end_stock"] * holding_cost
-        res["stockout_penalty"] = res["stockout"] * stockout_penalty
-        res.insert(0, "item_id", pdf["item_id"].iloc[0])
-        res.insert(0, "store_id", pdf["store_id"].iloc[0])
-        return res
-
-    return run
-
-
-def backtest_policy(events: DataFrame, initial: DataFrame, policy: str = "minmax", lt_min: int = 2,
-                    lt_max: int = 5, buffer_days: float = 1.0, min_days: float = 3.0,
-                    max_days: float = 7.0, holding_cost: float = 1.0,
-                    stockout_penalty: float = 100.0) -> DataFrame:
-    """Feed a naive or min-max policy back day by day per series.
-
-    ``events``: store_id, item_id, day, demand, forecast, lead_time (one row
-    per series and day; a NULL demand or forecast counts as 0). Series are
-    independent (these policies ignore the warehouse), so Spark shuffles by
-    series and runs one small loop per series; a series has at most one row
-    per calendar day, so a group is bounded by the horizon."""
-    inv0 = initial.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inv0"))
-    e = (events.join(inv0, KEYS, "left")
-               .select(*KEYS, F.col("day").cast("int").alias("day"),
-                       F.coalesce(F.col("demand").cast("double"), F.lit(0.0)).alias("demand"),
-                       F.coalesce(F.col("forecast").cast("double"), F.lit(0.0)).alias("forecast"),
-                       F.col("lead_time").cast("int").alias("lead_time"),
-                       F.coalesce("inv0", F.lit(0.0)).alias("inv0")))
-    fn = _rollout_fn(policy, (lt_min + lt_max) / 2.0, buffer_days, min_days, max_days,
-                     holding_cost, stockout_penalty)
-    return e.groupBy(*KEYS).applyInPandas(fn, ROLLOUT_SCHEMA)
-
-
-def backtest_policies(events: DataFrame, initial: DataFrame, policies=("naive", "minmax"), lt_min: int = 2,
-                      lt_max: int = 5, buffer_days: float = 1.0, min_days: float = 3.0, max_days: float = 7.0,
-                      holding_cost: float = 1.0, stockout_penalty: float = 100.0) -> DataFrame:
-    """Several policies in one pass: every event row is repeated once per
-    policy (an explode of the fixed policy list), and one ``applyInPandas``
-    grouped by (policy, store, item) runs each group's loop, so the events are
-    shuffled once and Python starts once for all policies."""
-    inv0 = initial.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inv0"))
-    e = (events.join(inv0, KEYS, "left")
-               .select(F.explode(F.array(*[F.lit(p) for p in policies])).alias("policy"), *KEYS,
-                       F.col("day").cast("int").alias("day"),
-                       F.coalesce(F.col("demand").cast("double"), F.lit(0.0)).alias("demand"),
-                       F.coalesce(F.col("forecast").cast("double"), F.lit(0.0)).alias("forecast"),
-                       F.col("lead_time").cast("int").alias("lead_time"),
-                       F.coalesce("inv0", F.lit(0.0)).alias("inv0")))
-    fns = {p: _rollout_fn(p, (lt_min + lt_max) / 2.0, buffer_days, min_days, max_days, holding_cost,
-                          stockout_penalty) for p in policies}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        policy = pdf["policy"].iloc[0]
-        out = fns[policy](pdf.drop(columns="policy"))
-        out.insert(0, "policy", policy)
-        return out
-
-    return e.groupBy("policy", *KEYS).applyInPandas(run, "policy string, " + ROLLOUT_SCHEMA)
+def compare_policies(orders: dict, position: DataFrame, mean_lead_time: float, transport_cost: float = 2.0,
+                     stockout_penalty: float = 100.0) -> DataFrame:
+    """One row per policy for the same stock positions: ``policy, n_orders,
+    units, transport_cost, short_units, shortage_cost``. Short units are what the
+    forecast over the mean lead time needs beyond position and order. ``orders``
+    maps a policy's name to its orders ``(store_id, item_id, qty)``."""
+    each = None
+    for name, placed in orders.items():
+        rows = placed.select(*KEYS, "qty").withColumn("policy", F.lit(name))
+        each = rows if each is None else each.unionByName(rows)
+    names = F.explode(F.array(*[F.lit(n) for n in orders]))
+    need = position.select(names.alias("policy"), *KEYS, (
+        F.col("forecasted_demand") * F.lit(mean_lead_time) - F.col("position")).alias("_need"))
+    j = need.join(each, ["policy", *KEYS], "left").withColumn("qty", F.coalesce("qty", F.lit(0.0)))
+    short = F.greatest(F.lit(0.0), F.col("_need") - F.col("qty"))
+    out = j.groupBy("policy").agg(F.sum((F.col("qty") > 0).cast("long")).alias("n_orders"), F.sum("qty").alias("units"),
+                                  F.sum(short).alias("short_units"))
+    return out.select("policy", "n_orders", "units", (F.col("units") * transport_cost).alias("transport_cost"),
+                      "short_units", (F.col("short_units") * stockout_penalty).alias("shortage_cost"))

@@ -37,14 +37,13 @@ def join_prices(long: DataFrame, prices: DataFrame, co_partition: bool = True) -
 
     Prices grow with stores x items x weeks, so this stays a shuffle join
     unless AQE measures the price side under the broadcast threshold. With
-    ``co_partition`` both sides are hash-partitioned by ``item_id`` first:
-    with ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
-    ``build_session``) the join uses that partitioning, and so do every later
-    series window (clustered by store and item) and the item-level price
-    mean - one shuffle of the long table for the whole feature stage."""
+    ``co_partition``, and where the session lets a join use a partitioning by
+    some of its keys (``build_session`` does), both sides are hash-partitioned
+    by series first, which the later series windows use again."""
     keys = ["store_id", "item_id", "wm_yr_wk"]
-    if co_partition:
-        long, prices = long.repartition("item_id"), prices.repartition("item_id")
+    partly = long.sparkSession.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "false"
+    if co_partition and partly:
+        long, prices = long.repartition("store_id", "item_id"), prices.repartition("store_id", "item_id")
     return long.join(prices, keys, "left")
 
 

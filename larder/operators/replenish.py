@@ -37,7 +37,7 @@ def initial_stock(stats: DataFrame, multiplier: float = 14.0) -> DataFrame:
 def schedule_orders(orders: DataFrame, lt_min: int = 2, lt_max: int = 5, seed: int = 0) -> DataFrame:
     """Keep positive orders, attach a lead time in [lt_min, lt_max] and the
     arrival day ``day + lead_time``."""
-    lt = lead_time(F.col("day"), F.col("store_id"), lt_min, lt_max, seed)
+    lt = lead_time(F.col("day"), F.col("store_id"), F.col("item_id"), lt_min, lt_max, seed)
     return (orders.filter(F.col("qty") > 0).withColumn("lead_time", lt)
                   .withColumn("arrival_day", F.col("day") + F.col("lead_time")))
 

@@ -69,6 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    master = sc.master if sc is not None else ""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="larder-ckpt-", dir=os.environ.get("LARDER_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:

@@ -7,9 +7,9 @@ Mapping (stated once, used by every query):
 * item   = part brand (``p_brand``); department and category are derived from
   the brand number
 * daily unit sales = ``sum(l_quantity)`` per (store, item, ship date)
-* weekly price = revenue per unit in whole cents over lines
-  shipped Monday to Wednesday, per (store, item, week key) - this leaves real
-  gaps for the forward fill to bridge
+* weekly price = revenue per unit in whole cents over all lines of the week, per
+  (store, item, week key); on the dense day grid, weeks without sales are gaps
+  for the forward fill to bridge
 * returned lines (``l_returnflag = 'R'``) are stock arrivals in the ledger,
   all other lines are demand
 
@@ -213,11 +213,10 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly prices ``(store_id, item_id, wm_yr_wk, sell_price)`` over days
-    Monday to Wednesday: revenue per unit, rounded half-up to whole cents with
+    """Weekly prices ``(store_id, item_id, wm_yr_wk, sell_price)`` over all
+    lines of the week: revenue per unit, rounded half-up to whole cents with
     integer arithmetic (exact, so every engine gets the same value)."""
-    days = daily_facts(spark, sf_dir).filter(F.dayofweek("date").between(2, 4))
-    agg = (days.groupBy("store_id", "item_id", week_key(F.col("date")).alias("wm_yr_wk"))
+    agg = (daily_facts(spark, sf_dir).groupBy("store_id", "item_id", week_key(F.col("date")).alias("wm_yr_wk"))
            .agg(F.sum("cents").alias("_cents"), F.sum("units").alias("_units")))
     cents = F.expr("(2 * _cents + _units) div nullif(2 * _units, 0)")
     return agg.select("store_id", "item_id", "wm_yr_wk",

@@ -39,31 +39,46 @@ PRICES_SCHEMA = T.StructType([
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first line (reads one line, not the file)."""
-    first = spark.read.text(path).limit(1).collect()
-    return first[0][0].split(",") if first else []
+    """Column names of a CSV file by Spark's own header handling (reads the
+    first line of a file; quotes and a byte-order mark are taken care of)."""
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    return [n.lstrip("\ufeff") for n in names]
+
+
+def _read_named(spark: SparkSession, path: str, types: dict, other: T.DataType) -> DataFrame:
+    """A CSV file whose columns are typed by name, in whatever order they come."""
+    names = _header(spark, path)
+    schema = T.StructType([T.StructField(n, types.get(n, other)) for n in names])
+    return spark.read.csv(path, header=True, schema=schema, dateFormat="yyyy-MM-dd")
+
+
+def _wanted(df: DataFrame, schema: T.StructType, needed: Sequence[str], path: str) -> DataFrame:
+    missing = [c for c in needed if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return df.select(*[f.name for f in schema.fields if f.name in df.columns])
 
 
 def read_sales_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Wide sales CSV: the id columns as strings and every ``d_*`` column as
-    an integer. The schema is built from the header, never inferred."""
-    fields = [T.StructField(c, T.IntegerType() if c.startswith("d_") else T.StringType())
-              for c in _header(spark, path)]
-    return spark.read.csv(path, header=True, schema=T.StructType(fields))
+    """Wide sales CSV: the id columns as strings and every ``d_*`` column as an
+    integer, by name and in any order; other columns are left out."""
+    names = _header(spark, path)
+    days = sorted((c for c in names if c.startswith("d_")), key=lambda c: (len(c), c))
+    df = _read_named(spark, path, {c: T.IntegerType() for c in days}, T.StringType())
+    return df.select(*[c for c in SALES_ID_COLUMNS if c in names], *days)
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
-    """Calendar CSV with an explicit schema (all-empty event columns have no
-    inferable type); columns absent from the file are simply not selected."""
-    present = set(_header(spark, path))
-    schema = T.StructType([f for f in CALENDAR_SCHEMA.fields if f.name in present])
-    df = spark.read.csv(path, header=True, schema=schema, dateFormat="yyyy-MM-dd",
-                        enforceSchema=False)
-    return df
+    """Calendar CSV by column name; columns that the calendar does not know
+    are ignored, absent optional ones are left out."""
+    df = _read_named(spark, path, {f.name: f.dataType for f in CALENDAR_SCHEMA.fields}, T.StringType())
+    return _wanted(df, CALENDAR_SCHEMA, ("date", "wm_yr_wk", "d"), path)
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=PRICES_SCHEMA)
+    """Weekly prices CSV by column name; other columns are ignored."""
+    df = _read_named(spark, path, {f.name: f.dataType for f in PRICES_SCHEMA.fields}, T.StringType())
+    return _wanted(df, PRICES_SCHEMA, [f.name for f in PRICES_SCHEMA.fields], path)
 
 
 def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("store_id",)) -> None:

@@ -80,3 +80,10 @@ def test_date_semi_join_and_wmape(spark, feats):
     assert fc.wmape(df, "y", "p").first()[0] == pytest.approx((2 + 4 + 0) / 20)
     zero = spark.createDataFrame([(0.0, 1.0)], "y double, p double")
     assert fc.wmape(zero, "y", "p").first()[0] == 0.0
+
+
+def test_predict_without_a_model(spark):
+    import pytest
+    from larder.operators import forecast
+    with pytest.raises(ValueError):
+        forecast.predict(None, spark.range(1), [])

@@ -55,21 +55,6 @@ def test_daily_kpis_day_without_demand(spark):
     assert s.n_days == 3 and s.total_stockouts == 2.0
 
 
-def test_rollout_case(spark):
-    """3 days of demand 10 and forecast 10, lead time 1, min 2 / max 5 days,
-    start stock 0 -> stockouts 10 then 0, day-1 holding 40, total 10."""
-    ev = spark.createDataFrame([("S", "I", d, 10.0, 10.0, 1) for d in range(3)],
-                               "store_id string, item_id string, day int, demand double, forecast double, lead_time int")
-    init = spark.createDataFrame([("S", "I", 0.0)], STOCK)
-    hist = lg.backtest_policy(ev, init, "minmax", 1, 1, min_days=2.0, max_days=5.0, holding_cost=1.0,
-                              stockout_penalty=10.0)
-    days = lg.daily_kpis(hist).orderBy("day").collect()
-    assert len(days) == 3
-    assert days[0].stockouts == 10.0 and days[1].stockouts == 0.0
-    assert days[1].holding_cost == 40.0
-    assert lg.summary_kpis(lg.daily_kpis(hist)).first().total_stockouts == 10.0
-
-
 def _loop_ledger(inv0, rows):
     inv, out = inv0, []
     for day, d, a in rows:
@@ -98,46 +83,6 @@ def test_replay_matches_day_loop(spark):
         assert (r.end_stock, r.stockout) == want[(r.item_id, r.day)]
 
 
-def _loop_policy(inv0, rows, policy, mean_lt, buffer, lo, hi):
-    """Plain dictionary simulation in the reference's order of operations."""
-    inv, transit, out = inv0, [], []
-    for day, dem, fc, lt in rows:
-        open_qty = sum(q for _, q in transit)
-        if policy == "naive":
-            q = fc * (mean_lt + buffer) - inv - open_qty
-        else:
-            q = fc * hi - (inv + open_qty) if inv + open_qty < fc * lo else 0.0
-        if q > 0:
-            transit.append((day + lt, q))
-        inv += sum(q for a, q in transit if a <= day)
-        transit = [(a, q) for a, q in transit if a > day]
-        sales = min(dem, inv)
-        inv -= sales
-        out.append((day, inv, dem - sales))
-    return out
-
-
-@pytest.mark.parametrize("policy", ["naive", "minmax"])
-def test_backtest_matches_loop(spark, policy):
-    rnd = random.Random(2)
-    data, init, want = [], [], {}
-    for k in range(20):
-        inv0 = float(rnd.randint(0, 30))
-        rows = [(day, float(rnd.randint(0, 12)), float(rnd.randint(0, 10)), rnd.randint(0, 4))
-                for day in sorted(rnd.sample(range(80), 40))]
-        init.append(("S", f"I{k}", inv0))
-        data += [("S", f"I{k}", *r) for r in rows]
-        for day, inv, so in _loop_policy(inv0, rows, policy, 3.5, 1.0, 3.0, 7.0):
-            want[(f"I{k}", day)] = (inv, so)
-    ev = spark.createDataFrame(data, "store_id string, item_id string, day int, demand double, "
-                                     "forecast double, lead_time int")
-    got = lg.backtest_policy(ev, spark.createDataFrame(init, STOCK), policy, 2, 5, 1.0, 3.0, 7.0).collect()
-    assert len(got) == len(want)
-    for r in got:
-        inv, so = want[(r.item_id, r.day)]
-        assert r.end_stock == pytest.approx(inv) and r.stockout == pytest.approx(so)
-
-
 def test_warehouse_drawdown(spark):
     orders = spark.createDataFrame([(0, "S1", "A", 30.0), (0, "S2", "A", 30.0), (1, "S1", "A", 50.0),
                                     (0, "S1", "Z", 5.0)], "day int, store_id string, item_id string, qty double")
@@ -152,15 +97,10 @@ def test_day_slice(spark):
     assert sorted(r.item_id for r in lg.day_slice(df, 1).collect()) == ["A", "B"]
 
 
-def test_backtest_policies_equals_single_runs(spark):
-    rnd = random.Random(4)
-    rows = [("S", f"I{k}", day, float(rnd.randint(0, 9)), float(rnd.randint(0, 8)), rnd.randint(0, 3))
-            for k in range(6) for day in range(30)]
-    ev = spark.createDataFrame(rows, "store_id string, item_id string, day int, demand double, "
-                                     "forecast double, lead_time int")
-    init = spark.createDataFrame([("S", f"I{k}", float(k * 3)) for k in range(6)], STOCK)
-    both = {(r.policy, r.item_id, r.day): (r.end_stock, r.ordered)
-            for r in lg.backtest_policies(ev, init).collect()}
-    for policy in ("naive", "minmax"):
-        for r in lg.backtest_policy(ev, init, policy).collect():
-            assert both[(policy, r.item_id, r.day)] == (r.end_stock, r.ordered)
+def test_compare_policies(spark):
+    pos = spark.createDataFrame([("S", "A", 10.0, 5.0), ("S", "B", 2.0, 50.0)],
+                                "store_id string, item_id string, forecasted_demand double, position double")
+    orders = {"none": spark.createDataFrame([], STOCK), "some": spark.createDataFrame([("S", "A", 20.0)], STOCK)}
+    got = {r.policy: (r.n_orders, r.units, r.transport_cost, r.short_units, r.shortage_cost)
+           for r in lg.compare_policies(orders, pos, 3.0, 2.0, 10.0).collect()}
+    assert got == {"none": (0, 0.0, 0.0, 25.0, 250.0), "some": (1, 20.0, 40.0, 5.0, 50.0)}

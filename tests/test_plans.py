@@ -23,12 +23,13 @@ def test_fixed_dimensions_broadcast(spark):
     assert re.search(r"BroadcastHashJoin \[s_nationkey", plan)
 
 
-def test_feature_stage_shares_one_item_partitioning(spark):
-    """Price join, forward fill, series windows and the item price mean all run
-    on the item partitioning: no exchange by (store_id, item_id) is planned."""
+def test_feature_stage_is_partitioned_by_series(spark):
+    """The long table is never dealt out or windowed by item alone; only the
+    item mean's partial sums are."""
     plan = _plan(QUERIES["feature_matrix"](spark, SF_SMOKE))
-    assert not re.search(r"Exchange hashpartitioning\(store_id#\d+, item_id#\d+, \d+\)", plan)
-    assert len(re.findall(r"Exchange hashpartitioning\(item_id#\d+, \d+\)", plan)) == 2
+    assert re.search(r"Exchange hashpartitioning\(store_id#\d+, item_id#\d+, \d+\), REPARTITION_BY_COL", plan)
+    assert not re.search(r"Exchange hashpartitioning\(item_id#\d+, \d+\), REPARTITION_BY_COL", plan)
+    assert not re.search(r"windowspecdefinition\(item_id#\d+, specified", plan)
 
 
 def test_one_pass_over_line_items(spark):

@@ -48,8 +48,8 @@ def test_all_empty_event_column_is_typed(spark, paths):
 
 
 def test_store_filter(spark, long):
-    only = pr.filter_stores_items(long, stores=["CA_1"])
-    assert only.select("store_id").distinct().collect()[0][0] == "CA_1"
+    only = pr.filter_stores_items(long, stores=["CA_7"])
+    assert only.select("store_id").distinct().collect()[0][0] == "CA_7"
     assert only.count() == len(fx.ITEMS) * fx.N_DAYS
     assert pr.filter_stores_items(long, stores=[], items=None).count() == long.count()
 
@@ -81,3 +81,26 @@ def test_filter_reaches_scan(spark, tmp_root):
     plan = df._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters: ["):].split("]", 1)[0]
     assert "EqualTo(store_id,S1)" in pushed or "In(store_id, [S1]" in pushed
+
+
+def test_csv_columns_by_name(spark, tmp_root):
+    """Reordered and extra columns change nothing; a missing one is an error."""
+    import pytest
+
+    def write(name, text):
+        path = f"{tmp_root}/{name}.csv"
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(text)
+        return path
+
+    from larder.sources import files
+    p = files.read_prices(spark, write("p", 'sell_price,"item_id",extra,store_id,wm_yr_wk\n1.5,A,x,S,202101\n')).first()
+    assert (p.store_id, p.item_id, p.wm_yr_wk, p.sell_price) == ("S", "A", 202101, 1.5)
+    c = files.read_calendar(spark, write("c", "d,note,date,wm_yr_wk,event_name_1\nd_1,x,2021-03-03,202109,\n"))
+    assert c.columns == ["date", "wm_yr_wk", "d", "event_name_1"] and str(c.first().date) == "2021-03-03"
+    w = files.read_sales_wide(spark, write("w", "d_2,store_id,item_id,d_1,note\n5,S,A,3,x\n"))
+    assert w.columns == ["item_id", "store_id", "d_1", "d_2"] and (w.first().d_1, w.first().d_2) == (3, 5)
+    with pytest.raises(ValueError):
+        files.read_prices(spark, write("m", "store_id,item_id\nS,A\n"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_prices(spark, f"{tmp_root}/absent.csv")

@@ -56,3 +56,12 @@ def test_schedule_split_post(spark):
     inv = spark.createDataFrame([("S", "B", 4.0)], "store_id string, item_id string, qty double")
     got = {(r.store_id, r.item_id): r.qty for r in rp.post_arrivals(inv, due).collect()}
     assert got == {("S", "A"): 5.0, ("S", "B"): 4.0}
+
+
+def test_lead_time_differs_between_stores_and_items(spark):
+    orders = spark.createDataFrame([(10, f"S{s}", f"I{i}", 1.0) for s in range(25) for i in range(4)],
+                                   "day int, store_id string, item_id string, qty double")
+    rows = rp.schedule_orders(orders, 2, 5).collect()
+    assert {r.lead_time for r in rows} == {2, 3, 4, 5}
+    assert len({r.lead_time for r in rows if r.item_id == "I0"}) > 1
+    assert len({r.lead_time for r in rows if r.store_id == "S0"}) > 1
