@@ -150,6 +150,12 @@ def _listed(kind: str, column: str) -> Column:
     return F.transform(F.col(column), lambda x: F.concat_ws(":", F.lit(kind), x["s"].cast("string"), x["e"].cast("string")))
 
 
+def _tagged(kind: str, column: str) -> Column:
+    """Spans as (start, negated end, placeholder): of equal starts the longest comes first."""
+    return F.transform(F.col(column), lambda x: F.struct(
+        x["s"].alias("s"), (-x["e"]).alias("e"), F.lit(f"<{kind.upper()}>").alias("tag")))
+
+
 def find_pii(docs: DataFrame, params: BootstrapParams = BootstrapParams(), id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_email, n_ip, n_card, n_phone,
@@ -186,9 +192,7 @@ def redact(docs: DataFrame, params: BootstrapParams = BootstrapParams(), text_co
     found = materialise(found.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"), "mentions"), "pii")
     marked = base_spans(flat.withColumn("text_key", key), text)
     marked = spread_join(marked, _extras(found, params), "text_key", "left")
-    spans = F.sort_array(F.concat(*[F.transform(F.col(c), lambda x, k=k: F.struct(
-        x["s"].alias("s"), (-x["e"]).alias("e"), F.lit(f"<{k.upper()}>").alias("tag")))
-        for k, c in [*((k, f"b_{k}") for k in KINDS), (EXTRA, "more")]]))
+    spans = F.sort_array(F.concat(*[_tagged(k, f"b_{k}") for k in KINDS], _tagged(EXTRA, "more")))
     marked = marked.withColumn("more", F.coalesce("extra", F.array().cast("array<struct<s: int, e: int>>"))).withColumn("spans", spans)
     cut = f"""aggregate(spans, named_struct('p', 0, 'r', cast(array() AS array<string>)),
         (a, x) -> CASE WHEN x.s < a.p THEN named_struct('p', greatest(a.p, -x.e), 'r', a.r)

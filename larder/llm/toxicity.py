@@ -25,13 +25,14 @@ class ChainParams:
     """``categories``: (name, SQL condition over the labels' columns) in chain
     order; ``verdict``: the category that decides; ``threshold``: its least
     probability; ``train_rows``: bound on the labelled rows of each class of the
-    verdict that the models are fitted on; ``vocabulary``: words looked at;
-    ``folds``: for out-of-fold predictions."""
+    verdict that the models are fitted on; ``vocabulary``: most words
+    looked at; ``evidence``: least standard errors of a word; ``folds``: for out-of-fold predictions."""
     categories: tuple = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
     verdict: str = "toxic"
     threshold: float = 0.5
     train_rows: int = 3000
     vocabulary: int = 1024
+    evidence: float = 3.0
     folds: int = 3
     iterations: int = 25
     seed: int = 7
@@ -42,8 +43,8 @@ def _words(text: Column) -> Column:
 
 
 def _vocabulary(rows: DataFrame, p: ChainParams) -> list:
-    """The words whose presence tells most about a category: log odds of its
-    share of documents, weighted by how many documents hold the word."""
+    """The words whose presence tells most about a category: the log odds of
+    their shares of documents with and without it, in standard errors."""
     names = [n for n, _ in p.categories]
     totals = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in names]).first()
     each = rows.select(*names, F.explode(F.array_distinct("words")).alias("word")).filter("word <> ''")
@@ -51,10 +52,11 @@ def _vocabulary(rows: DataFrame, p: ChainParams) -> list:
 
     def told(n):
         yes, no = float(totals[n] or 0), float((totals["n"] or 0) - (totals[n] or 0))
-        return F.abs(F.log((F.col(n) + 0.5) / (yes + 1)) - F.log((F.col("n") - F.col(n) + 0.5) / (no + 1))) * F.sqrt("n")
+        a, b = F.col(n) + 0.5, F.col("n") - F.col(n) + 0.5
+        return F.abs(F.log(a / (yes + 1)) - F.log(b / (no + 1))) / F.sqrt(1 / a + 1 / b)
 
     best = count.select("word", F.greatest(F.lit(0.0), *[told(n) for n in names]).alias("score"))
-    return [r[0] for r in best.orderBy(F.desc("score"), "word").limit(p.vocabulary).collect()]
+    return [r[0] for r in best.filter(F.col("score") >= p.evidence).orderBy(F.desc("score"), "word").limit(p.vocabulary).collect()]
 
 
 def _held(df: DataFrame, words: list) -> DataFrame:
@@ -76,6 +78,7 @@ class _Link:
         self.constant = None if n and 0 < (yes or 0) < n else (yes or 0) / max(n, 1)
         if self.constant is None:
             self.model = LogisticRegression(featuresCol="chain_x", labelCol=self.name, maxIter=self.p.iterations, regParam=1e-3,
+                                            standardization=False,
                                             probabilityCol="chain_p", rawPredictionCol="chain_r", predictionCol="chain_y"
                                             ).fit(self.gather.transform(rows))
         return self
