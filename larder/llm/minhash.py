@@ -6,14 +6,16 @@ signature propose pairs; every link is confirmed on the full shingle sets.
 
 No pairs are emitted inside a group of copies. Equal sets collapse to one
 representative. In each band bucket the members are paired with the bucket's
-smallest one (a star), and only members that the confirmed links leave in
-another component than that centre are compared with the rest of the bucket.
+most central one (a star), and only members that the confirmed links leave in
+another component than that centre are compared with the rest of the bucket,
+where they share enough bands with it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,19 @@ class MinMaxParams:
     permutations: int = 48
     rows: int = 4
     seed: int = 20240601
+    miss: float = 1e-5
+
+    def least_bands(self) -> int:
+        """The most bands that a pair can be asked to share so that one at the
+        threshold is missed with a probability of at most ``miss``."""
+        n, q = 2 * (self.permutations // self.rows), (self.percent / 100) ** self.rows
+        below, least = 0.0, 1
+        for k in range(n):
+            below += comb(n, k) * q ** k * (1 - q) ** (n - k)
+            if below > self.miss:
+                break
+            least = k + 1
+        return max(1, least)
 
 
 _U = np.uint64
@@ -135,10 +150,16 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
                                          F.count(F.lit(1)).alias("copies"))
     reps = materialise(reps.select("set_key", F.col("r.rid").alias("node"), F.col("r.n_shingles").alias("n"),
                                    F.col("r.bands").alias("bands"), "first", "copies"), "sets")
+    # A bucket's centre is its member with the most company over all bands: of a
+    # group of edited copies, the one that the others are closest to.
     members = reps.select("node", "n", F.explode("bands").alias("band"))
-    buckets = (members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("c"))
-               .filter("size > 1").select("band", F.col("c.node").alias("a"), F.col("c.n").alias("an")))
-    members = materialise(spread_join(members, buckets, "band"), "members")
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialise(spread_join(members, shared, "band"), "members")
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    ranked = members.join(company, "node").groupBy("band").agg(
+        F.max(F.struct("company", (-F.col("node")).alias("first"), "n")).alias("c"))
+    centres = ranked.select("band", (-F.col("c.first")).alias("a"), F.col("c.n").alias("an"))
+    members = materialise(spread_join(members.drop("size"), centres, "band"), "centred")
 
     def close(x, y):
         return 100 * F.least(x, y) >= p.percent * F.greatest(x, y)
@@ -160,7 +181,8 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
         "band", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("oddcomp"))
     if odd.limit(1).count():
         rest = (known.join(odd, "band").filter((F.col("comp") != F.col("oddcomp")) & close(F.col("n"), F.col("an")))
-                .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+                .select("band", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+                .groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")).filter(F.col("bands") >= p.least_bands()).drop("bands"))
         rest = materialise(rest.join(star, ["a", "b"], "left_anti"), "rest")
         nodes = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
         more = _confirmed(rest, _sets(docs, nodes, p), p.percent)
