@@ -27,7 +27,6 @@ HEADLINE = [
     "compare_policies",
     "warehouse_drawdown",
     "gbt_forecast",
-    "gbt_cv_metrics",
 ]
 
 
