@@ -97,11 +97,11 @@ def _unpack_rows(data: bytes) -> pa.RecordBatch:
 
 def _planes(values: np.ndarray) -> bytes:
     """32-bit numbers, all first bytes before all second bytes and so on."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return values.astype("<u4").view(np.uint8).reshape(len(values), 4).T.tobytes()
 
 
 def _numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, len(data) // 4).T).view("<u4").ravel()
 
 
 def _pack_ids(ids: list) -> bytes:
@@ -116,7 +116,7 @@ def _unpack_ids(data: bytes) -> list:
     n = int.from_bytes(data[:8], "little")
     ends = np.cumsum(_numbers(data[8:8 + 4 * n]), dtype=np.int64) * 4
     flat = _numbers(data[8 + 4 * n:]).tobytes()
-    return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    return [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
 
 
 def _texts(column) -> list:

@@ -24,7 +24,7 @@ class BandParams:
     ``chunk_bytes``: chunk length; ``chunk_band``: allowed ratio of a chunk;
     ``max_bad_chunks``: largest share of chunks outside the band;
     ``level``: zstandard level; ``min_words`` and ``max_repeat_percent``: base rules."""
-    bands: tuple = ((0, 0.0, 4.0), (256, 1.05, 3.5), (1024, 1.2, 4.0), (8192, 1.3, 5.0), (65536, 1.3, 6.0))
+    bands: tuple = ((0, 0.0, 4.0), (256, 1.05, 3.5), (1024, 1.3, 4.0), (8192, 1.4, 5.0), (65536, 1.4, 6.0))
     chunk_bytes: int = 4096
     chunk_band: tuple = (1.2, 4.5)
     max_bad_chunks: float = 0.25
