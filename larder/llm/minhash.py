@@ -7,15 +7,14 @@ signature propose pairs; every link is confirmed on the full shingle sets.
 No pairs are emitted inside a group of copies. Equal sets collapse to one
 representative. In each band bucket the members are paired with the bucket's
 most central one (a star), and only members that the confirmed links leave in
-another component than that centre are compared with the rest of the bucket,
-where they share enough bands with it.
+another component than that centre are compared with the rest of its buckets,
+in blocks of full sets that return links between components and no pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,25 +29,15 @@ class MinMaxParams:
     """``shingle``: words per shingle; ``percent``: least Jaccard similarity in
     percent; ``permutations``: hash evaluations (the signature has twice as
     many values); ``rows``: values per band. With 48 permutations and 4 rows,
-    24 bands miss a pair at 0.85 with probability 2e-8, at 0.8 with 4e-6."""
+    24 bands miss a pair at 0.85 with probability 2e-8, at 0.8 with 4e-6.
+    ``block_rows``, ``block_shingles``: sets and shingles of a block."""
     shingle: int = 3
     percent: int = 85
     permutations: int = 48
     rows: int = 4
     seed: int = 20240601
-    miss: float = 1e-5
-
-    def least_bands(self) -> int:
-        """The most bands that a pair can be asked to share so that one at the
-        threshold is missed with a probability of at most ``miss``."""
-        n, q = 2 * (self.permutations // self.rows), (self.percent / 100) ** self.rows
-        below, least = 0.0, 1
-        for k in range(n):
-            below += comb(n, k) * q ** k * (1 - q) ** (n - k)
-            if below > self.miss:
-                break
-            least = k + 1
-        return max(1, least)
+    block_rows: int = 512
+    block_shingles: int = 200_000
 
 
 _U = np.uint64
@@ -138,6 +127,60 @@ def _sets(docs: DataFrame, nodes: DataFrame, p: MinMaxParams) -> DataFrame:
     return materialise(wanted.mapInArrow(run, "node long, hashes array<long>"), "sets")
 
 
+def _shared(sets: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with those at ``right``."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    twice = count > 1  # a shingle of one set is in no intersection
+    at = twice[column]
+    owner, column = owner[at], (np.cumsum(twice) - 1)[column[at]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for first in range(0, int(twice.sum()), 4096):
+        i, j = np.searchsorted(column, [first, first + 4096])
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[owner[i:j], column[i:j] - first] = 1
+        both += (has[left] @ has[right].T).astype(np.int64)
+    return both
+
+
+def _group_links(groups: DataFrame, sets: DataFrame, p: MinMaxParams) -> DataFrame:
+    """Links ``a, b`` that join different components ``comp`` among the members
+    of a centre's buckets, ``groups (a, node, n, comp, odd)``. Odd members are
+    compared with all others, block against block, on the full ``sets``. A pair
+    of blocks returns a spanning forest of its links, never its pairs."""
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / p.block_rows, F.sum("n") / p.block_shingles)).cast("int")
+    sizes = groups.groupBy("a").pivot("odd", [True, False]).agg(blocks).toDF("a", "odds", "evens").fillna(0)
+    dealt = spread_join(groups, sizes, "a")
+    place = F.when(F.col("odd"), F.pmod(F.xxhash64("node"), F.col("odds"))).otherwise(
+        F.col("odds") + F.pmod(F.xxhash64("node"), F.greatest("evens", F.lit(1))))
+    last = F.when(F.col("odd"), F.col("odds") + F.col("evens")).otherwise(F.col("odds")) - 1
+    dealt = dealt.withColumn("own", place.cast("int")).withColumn("last", last)
+    dealt = spread_join(dealt, sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    dealt = dealt.select("a", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp", "hashes")
+
+    def compare(table: pa.Table) -> pa.Table:
+        t = table.sort_by("node")
+        node, own = t.column("node").to_numpy(), t.column("own").to_numpy()
+        hashes = [x.values.to_numpy() for x in t.column("hashes")]
+        left, right = (np.flatnonzero(own == t.column(x)[0].as_py()) for x in ("lo", "hi"))
+        size = np.array([len(x) for x in hashes], np.int64)
+        both = _shared(hashes, left, right)
+        linked = 100 * both >= p.percent * (size[left][:, None] + size[right][None, :] - both)
+        label = np.unique(t.column("comp").to_numpy(), return_inverse=True)[1]
+        out: list = [[], []]
+        for k, i in enumerate(left):
+            near = right[linked[k]]
+            while len(near := near[label[near] != label[i]]):
+                out[0].append(node[i])
+                out[1].append(node[near[0]])
+                label[label == label[near[0]]] = label[i]
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return dealt.groupBy("a", "lo", "hi").applyInArrow(compare, "a long, b long")
+
+
 def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
     """``rid, doc_id, n_shingles, set_key, component_id, first_rid`` per row of
     ``docs (rid, doc_id, text)``; ``rid`` is unique. ``first_rid`` is the row
@@ -172,20 +215,16 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
     links = materialise(_confirmed(star, sets, p.percent), "links")
     comp = components(links)
 
-    # Members that are not in their centre's component meet the rest of the bucket.
+    # Members that are not in their centre's component meet the rest of its buckets.
     known = spread_join(members, comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     centre = comp.select(F.col("node").alias("a"), F.col("comp").alias("acomp"))
-    known = spread_join(known.drop("an"), centre, "a", "left").withColumn("acomp", F.coalesce("acomp", "a"))
-    known = materialise(known.select("band", "node", "n", "comp", "acomp"), "known")
-    odd = known.filter(F.col("comp") != F.col("acomp")).select(
-        "band", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("oddcomp"))
-    if odd.limit(1).count():
-        rest = (known.join(odd, "band").filter((F.col("comp") != F.col("oddcomp")) & close(F.col("n"), F.col("an")))
-                .select("band", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-                .groupBy("a", "b").agg(F.count(F.lit(1)).alias("bands")).filter(F.col("bands") >= p.least_bands()).drop("bands"))
-        rest = materialise(rest.join(star, ["a", "b"], "left_anti"), "rest")
-        nodes = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
-        more = _confirmed(rest, _sets(docs, nodes, p), p.percent)
+    known = spread_join(known.drop("an"), centre, "a", "left").withColumn("odd", F.col("comp") != F.coalesce("acomp", "a"))
+    known = materialise(known.select("band", "a", "node", "n", "comp", "odd"), "known")
+    bands = known.filter("odd").select("band").distinct()
+    if bands.limit(1).count():
+        groups = known.join(bands, "band", "left_semi").groupBy("a", "node", "n", "comp").agg(F.max("odd").alias("odd"))
+        groups = materialise(groups, "groups")
+        more = materialise(_group_links(groups, _sets(docs, groups.select("node").distinct(), p), p), "links")
         comp = components(materialise(links.union(more), "links"))
 
     # The smallest document of each component, then back to every row.
