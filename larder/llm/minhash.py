@@ -210,8 +210,7 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
     star = members.filter(close(F.col("n"), F.col("an")) & (F.col("node") != F.col("a"))).select(
         "a", F.col("node").alias("b")).distinct()
     star = materialise(star, "star")
-    nodes = star.select(F.col("a").alias("node")).union(star.select(F.col("b").alias("node"))).distinct()
-    sets = _sets(docs, nodes, p)
+    sets = _sets(docs, members.select("node").distinct(), p)  # once for both steps: the texts are shuffled for it
     links = materialise(_confirmed(star, sets, p.percent), "links")
     comp = components(links)
 
@@ -224,7 +223,7 @@ def cluster(docs: DataFrame, p: MinMaxParams = MinMaxParams()) -> DataFrame:
     if bands.limit(1).count():
         groups = known.join(bands, "band", "left_semi").groupBy("a", "node", "n", "comp").agg(F.max("odd").alias("odd"))
         groups = materialise(groups, "groups")
-        more = materialise(_group_links(groups, _sets(docs, groups.select("node").distinct(), p), p), "links")
+        more = materialise(_group_links(groups, sets, p), "links")
         comp = components(materialise(links.union(more), "links"))
 
     # The smallest document of each component, then back to every row.
