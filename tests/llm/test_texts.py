@@ -136,3 +136,28 @@ def test_null_and_repeated_ids(spark):
                                  minhash.near_duplicates, minhash.keep_one])
 def test_empty_tables(spark, run):
     assert run(h.frame(spark, [])).collect() == []
+
+
+def test_blocks_link_what_the_stars_leave(spark):
+    """Edited copies around the threshold, far more than a block holds."""
+    import random
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for at in rng.sample(range(60), 1 + i % 3):
+            words[at] = f"e{rng.randrange(4)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k:k + 3]) for k in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    comp = list(range(60))
+    for a in range(60):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((comp[a], comp[b]))
+                comp = [low if c == high else c for c in comp]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = minhash.near_duplicates(docs, minhash.MinMaxParams(block_rows=4, block_shingles=500)).collect()
+    assert len(set(comp)) > 3
+    assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(comp))
