@@ -5,8 +5,11 @@ nodes that are close in random projections and is refined by joins of
 neighbours of neighbours. Edges of at least the threshold, recomputed in double
 precision, are links. A node whose whole list is links is saturated: its list
 is enlarged to its connected group, whose members are compared block by block
-and counted without writing the pairs out. An audit against brute force
-measures recall and starts another pass with longer lists where it is short.
+and counted without writing the pairs out. Before that, saturated nodes of
+different groups are compared wherever balls around them can hold a link, so
+groups that link with each other become one. An audit against brute force
+measures every pass's recall per node and starts another one with longer lists
+where it is short; a short last pass is an error.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ class DescentParams:
     ``projections``: orderings that start the graph; ``block``: nodes compared
     at once; ``rounds``: refinement rounds at most; ``settled``: share of new
     list entries at which refining ends; ``audit_rows``: nodes checked against
-    all others; ``recall``: least recall; ``attempts``: passes at most, each
-    with twice the neighbours and projections."""
+    all others; ``recall``: least mean recall of a node's links; ``attempts``:
+    passes at most, each with twice the neighbours and projections."""
     threshold: float = 0.9
     neighbours: int = 6
     projections: int = 4
@@ -221,9 +224,83 @@ def _group_counts(members: DataFrame, p: DescentParams) -> DataFrame:
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"), F.sum("distinct_linked").alias("distinct_linked"))
 
 
+def _bridges(members: DataFrame, p: DescentParams) -> DataFrame:
+    """Links ``a, b`` between groups of ``members (comp, node, unit)``: one for
+    every two cells (up to about 512 nodes of one group) that have any. Cells
+    lie in balls around their centres; by the triangle inequality of angles
+    only balls close enough, and in them only nodes close enough to the other
+    ball, can hold a link, and these are all compared."""
+    reach = float(np.arccos(min(1.0, p.threshold))) + 1e-6
+    sizes = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / 512).cast("int").alias("g"))
+    cells = spread_join(members, sizes, "comp").select("comp", F.concat_ws(":", "comp", F.pmod(F.xxhash64("node"), F.col("g"))).alias("cell"),
+                                                       "node", "unit")
+    cells = materialise(cells, "vector-cells")
+
+    def ball(table: pa.Table) -> pa.Table:
+        m = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(table.num_rows, -1)
+        centre = m.sum(0)
+        size = np.sqrt(centre @ centre)
+        centre = centre / size if size > 1e-9 else m[0]
+        angle = float(np.arccos(np.clip(m @ centre, -1, 1)).max())
+        return pa.table({"cell": [table.column("cell")[0].as_py()], "comp": pa.array([table.column("comp")[0].as_py()], pa.int64()),
+                         "centre": pa.array([centre.tobytes()], pa.binary()), "angle": [angle]})
+
+    balls = materialise(cells.groupBy("cell").applyInArrow(ball, "cell string, comp long, centre binary, angle double"), "vector-balls")
+    parts = -(-balls.count() // 512)
+    dealt = balls.withColumn("i", F.pmod(F.xxhash64("cell"), F.lit(parts)).cast("int")).withColumn(
+        "o", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = dealt.withColumns({"lo": F.least("i", "o"), "hi": F.greatest("i", "o")}).drop("o")
+
+    def meet(table: pa.Table) -> pa.Table:
+        side, comp, angle = (table.column(x).to_numpy() for x in ("i", "comp", "angle"))
+        cell, centres = table.column("cell").to_pylist(), table.column("centre").to_pylist()
+        size = np.array([len(c) for c in centres])
+        same = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
+        out: list = [[], []]
+        for s in np.unique(size):
+            at = np.flatnonzero(size == s)
+            m = np.frombuffer(b"".join(centres[k] for k in at), np.float64).reshape(len(at), -1)
+            near = np.arccos(np.clip(m @ m.T, -1, 1)) <= angle[at][:, None] + angle[at][None, :] + reach
+            near &= comp[at][:, None] != comp[at][None, :]
+            if not same:
+                near &= side[at][:, None] != side[at][None, :]
+            x, y = np.nonzero(near)
+            out[0] += [cell[k] for k in at[x]]
+            out[1] += [cell[k] for k in at[y]]
+        return pa.table({"cell": pa.array(out[0], pa.string()), "other": pa.array(out[1], pa.string())})
+
+    close = dealt.groupBy("lo", "hi").applyInArrow(meet, "cell string, other string")
+    close = spread_join(close, balls.select(F.col("cell").alias("other"), "centre", "angle"), "other")
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cos = np.array([np.frombuffer(u, np.float64) @ np.frombuffer(c, np.float64)
+                            for u, c in zip(b.column("unit").to_pylist(), b.column("centre").to_pylist(), strict=True)], float)
+            good = np.arccos(np.clip(cos, -1, 1)) <= b.column("angle").to_numpy() + reach
+            yield b.select(["cell", "other", "node", "unit"]).filter(pa.array(good, pa.bool_()))
+
+    asked = close.join(cells.select("cell", "node", "unit"), "cell").select("cell", "other", "node", "unit", "centre", "angle")
+    asked = asked.mapInArrow(within, "cell string, other string, node long, unit binary").select(
+        F.least("cell", "other").alias("lo"), F.greatest("cell", "other").alias("hi"), (F.col("cell") < F.col("other")).alias("first"),
+        "node", "unit")
+
+    def link(table: pa.Table) -> pa.Table:
+        first, node = table.column("first").to_numpy(), table.column("node").to_numpy()
+        units = table.column("unit").to_pylist()
+        x, y = np.flatnonzero(first), np.flatnonzero(~first)
+        a, b = np.empty(0, np.int64), np.empty(0, np.int64)
+        if len(x) and len(y):
+            m, q = (np.frombuffer(b"".join(units[k] for k in at), np.float64).reshape(len(at), -1) for at in (x, y))
+            hit = np.flatnonzero((m @ q.T >= p.threshold).ravel())[:1]
+            a, b = node[x[hit // len(y)]], node[y[hit % len(y)]]
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return asked.groupBy("lo", "hi").applyInArrow(link, "a long, b long")
+
+
 def _audit(nodes: DataFrame, found: DataFrame, p: DescentParams) -> float:
-    """Share of the true links of ``audit_rows`` nodes that were found; the
-    sample is compared with every node."""
+    """Mean share of a node's true links that were found, over those of
+    ``audit_rows`` nodes that have any; the sample is compared with every node."""
     sample = nodes.orderBy(F.xxhash64("node", F.lit(p.seed))).limit(p.audit_rows).select("node", "unit").collect()
     if not sample:
         return 1.0
@@ -248,9 +325,9 @@ def _audit(nodes: DataFrame, found: DataFrame, p: DescentParams) -> float:
         yield pa.record_batch([pa.array(list(count), pa.int64()), pa.array(list(count.values()), pa.int64())], names=["node", "links"])
 
     true = nodes.select("node", "unit").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
-    row = true.join(found.select("node", "distinct_linked"), "node", "left").agg(
-        F.sum("links"), F.sum(F.least("links", F.coalesce("distinct_linked", F.lit(0))))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    share = F.least("links", F.coalesce("distinct_linked", F.lit(0))) / F.col("links")
+    mean = true.filter("links > 0").join(found.select("node", "distinct_linked"), "node", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def _links(nodes: DataFrame, p: DescentParams) -> tuple:
@@ -267,8 +344,13 @@ def _links(nodes: DataFrame, p: DescentParams) -> tuple:
     links = materialise(_exact(pairs, nodes, p.threshold), "vector-links")
     comp = components(links)
     full = near.groupBy("a").count().filter(F.col("count") >= p.neighbours).select(F.col("a").alias("node"))
+    full = materialise(comp.join(full, "node", "left_semi"), "full-lists")
+    if full.select("comp").distinct().limit(2).count() > 1:
+        bridges = materialise(_bridges(full.join(nodes.select("node", "unit"), "node").select("comp", "node", "unit"), p), "vector-bridges")
+        if bridges.limit(1).count():
+            comp = components(links.union(bridges))
     sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    dense = sizes.join(comp.join(full, "node", "left_semi").select("comp").distinct(), "comp", "left_semi")
+    dense = sizes.join(comp.join(full.select("node"), "node", "left_semi").select("comp").distinct(), "comp", "left_semi")
     dense = materialise(dense, "dense-groups")
     thin = spread_join(comp, dense, "comp").select("comp", "node", "size")
     exact = _group_counts(thin.join(nodes.select("node", "unit", "copies"), "node"), p)
@@ -297,8 +379,11 @@ def similar_vectors(vectors: DataFrame, params: DescentParams = DescentParams(),
     nodes = materialise(_with_floats(nodes), "nodes")
     for attempt in range(p.attempts):
         counts, comp = _links(nodes, p)
-        if attempt + 1 == p.attempts or _audit(nodes, counts, p) >= p.recall:
+        recall = _audit(nodes, counts, p)
+        if recall >= p.recall:
             break
+        if attempt + 1 == p.attempts:
+            raise RuntimeError(f"recall {recall:.4f} of links after {p.attempts} passes, below {p.recall}")
         p = replace(p, neighbours=2 * p.neighbours, projections=2 * p.projections, rounds=p.rounds + 2)
     info = nodes.drop("unit", "unit32").join(counts, "node", "left").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     info = materialise(info, "vector-info")

@@ -113,6 +113,28 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.similar_vectors(df.filter("false")).count() == 0
 
 
+def test_vectors_of_dense_groups_link_across(spark):
+    rnd = np.random.default_rng(3)
+    axes = np.linalg.qr(rnd.standard_normal((16, 16)))[0]
+    at = lambda cos: cos * axes[0] + np.sqrt(1 - cos * cos) * axes[1]
+    centres = [axes[0], at(0.92), -axes[0], axes[2]]
+    ok = np.concatenate([c + 0.001 * rnd.standard_normal((80, 16)) for c in centres])
+    unit = ok / np.linalg.norm(ok, axis=1, keepdims=True)
+    hit = unit @ unit.T >= 0.9
+    np.fill_diagonal(hit, False)
+    df = spark.createDataFrame(list(enumerate(ok.tolist())), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.similar_vectors(df, vectors.DescentParams(block=32)).collect()}
+    assert hit.sum() == 160 * 159 + 2 * 80 * 79 and [got[i].n_links for i in range(320)] == hit.sum(1).tolist()
+    assert [got[i].component_id for i in range(320)] == [0] * 160 + [160] * 80 + [240] * 80
+
+
+def test_vectors_raise_when_the_last_pass_is_short(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "_audit", lambda *_: 0.5)
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(20)], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall"):
+        vectors.similar_vectors(df, vectors.DescentParams(attempts=1))
+
+
 def test_urls(spark):
     listed = ["http://a.net/x", "HTTP://WWW.Example.NET/en/1?q", "https://example.net", "ftp://é.Example.com/de/", "x://org/fr/#z",
               "no scheme", None, "", "http://", "http://a.com:80/p?x://y", "a://b://c/d"]
