@@ -12,6 +12,7 @@ DataFrame expressions and Spark ML.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -30,8 +31,10 @@ class MixParams:
     ``smoothing``. ``total``: tokens wanted; by default the present total, or
     with ``min_rate`` the least total that no domain has to be cut for.
     ``min_rate``: lower bound of rates (0 or more). ``train_rows``: bound on the
-    labelled rows that the classifier is fitted on; ``markers``: words per
-    domain that it looks at; ``max_domains``: at most."""
+    labelled ids that the classifier is fitted on, dealt evenly to the domains; ``markers``: words per
+    domain that it looks at; ``max_domains``: at most; ``tolerance``: share of
+    the total that a met target may be off; ``slack``: share of a target beyond
+    which missing it is an error."""
     targets: Mapping[str, float] = field(default_factory=dict)
     smoothing: float = 0.7
     total: float | None = None
@@ -40,6 +43,7 @@ class MixParams:
     markers: int = 128
     max_domains: int = 64
     tolerance: float = 1e-4
+    slack: float = 0.05
     max_rounds: int = 60
     seed: int = 7
 
@@ -71,27 +75,55 @@ def _featured(df: DataFrame, words: list) -> DataFrame:
     return known.transform(df.withColumn("mix_held", held)).drop("mix_held")
 
 
+def _quota(counts: list, bound: int) -> int:
+    """The most that each may give so that all together give at most ``bound``;
+    what small counts leave over goes to the larger ones."""
+    left = bound
+    for i, c in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if c > share:
+            return max(1, share)
+        left -= c
+    return max(counts)
+
+
 def train_domains(docs: DataFrame, labels: DataFrame, p: MixParams):
     """(domains, (marker words, model)) from ``docs (doc_id, text, domain)`` whose ids are in
-    ``labels (doc_id)``; the model is None for fewer than two domains."""
+    ``labels (doc_id)``; the model is None for fewer than two domains. The
+    domains are those of all labelled rows. The model is fitted on a bounded
+    number of rows per domain, weighted to the domains' shares of all of them."""
     ids = labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id", F.lit(p.seed)), "doc_id").limit(p.train_rows)
-    rows = docs.filter(F.col("domain").isNotNull()).join(F.broadcast(ids), "doc_id").select("text", "domain")
-    rows = materialise(rows.limit(2 * p.train_rows), "mix-train")  # repeated ids cannot outgrow the bound
-    domains = [r[0] for r in rows.select("domain").distinct().orderBy("domain").limit(p.max_domains + 1).collect()]
+    known = docs.filter(F.col("domain").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "domain")
+    known = materialise(known.join(ids, "doc_id", "left_semi").groupBy("doc_id", "domain").agg(F.count(F.lit(1)).alias("rows")), "mix-known")
+    totals = known.groupBy("domain").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("ids"))
+    totals = totals.orderBy("domain").limit(p.max_domains + 1).collect()
+    domains = [r["domain"] for r in totals]
     if len(domains) > p.max_domains:
         raise ValueError(f"more than {p.max_domains} domains")
+    missing = sorted(d for d, w in p.targets.items() if w > 0 and d not in domains)
+    if missing:
+        raise ValueError(f"targets without labelled rows: {missing}")
     if len(domains) < 2:
         return domains, None
+    quota = _quota([r["ids"] for r in totals], max(p.train_rows, len(domains)))
+    place = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain"))
+    least = F.array(*[F.lit(min(1.0, (2 * quota + 64) / r["ids"])) for r in totals])  # enough for the quota, and bounded at any scale
+    u = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / float(1 << 30)
+    first = Window.partitionBy("domain").orderBy(u, F.xxhash64("doc_id"), "doc_id")
+    sample = known.filter(u < F.get(least, (place - 1).cast("int"))).withColumn("place", F.row_number().over(first)).filter(F.col("place") <= quota).select("doc_id", "domain")
+    rows = docs.join(F.broadcast(sample), ["doc_id", "domain"]).select("text", "domain")
+    first = Window.partitionBy("domain").orderBy(F.xxhash64("text", F.lit(p.seed)), "text")  # repeated ids cannot outgrow the bound
+    rows = materialise(rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= 2 * quota).drop("place"), "mix-train")
     rows = materialise(rows.withColumn("mix_words", _words(F.col("text"))).drop("text"), "mix-words")
     words = _markers(rows, p)
     if not words:
         return domains, None
-    label = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("double") - 1
-    rows = _featured(rows.withColumn("label", label), words)
-    fit = LogisticRegression(featuresCol="mix_features", labelCol="label", family="multinomial", maxIter=30, regParam=1e-4,
+    taken = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
+    shares = F.array(*[F.lit(r["rows"] / taken[r["domain"]]) for r in totals])
+    rows = _featured(rows.withColumn("label", place.cast("double") - 1).withColumn("share", F.get(shares, (place - 1).cast("int"))), words)
+    fit = LogisticRegression(featuresCol="mix_features", labelCol="label", weightCol="share", family="multinomial", maxIter=30, regParam=1e-4,
                              predictionCol="mix_pred", probabilityCol="mix_prob", rawPredictionCol="mix_raw")
-    return domains, (words, fit.fit(materialise(rows.select("label", "mix_features"), "mix-features")))
+    return domains, (words, fit.fit(materialise(rows.select("label", "share", "mix_features"), "mix-features")))
 
 
 def posteriors(df: DataFrame, text: str, domains, model, p: MixParams) -> DataFrame:
@@ -142,6 +174,21 @@ def fit_rates(scored: DataFrame, domains: list, p: MixParams) -> tuple:
     return steps, {"domains": domains, "present": present, "wanted": wanted, "expected": tokens(_rate(steps, p.min_rate))}
 
 
+def _fitted(scored: DataFrame, domains: list, p: MixParams) -> list:
+    """The steps of ``fit_rates``. Targets that are not met (soft membership and
+    ``min_rate`` can put them out of reach) are told by a warning, and are an
+    error where one is off by more than the share ``p.slack`` of itself."""
+    steps, report = fit_rates(scored, domains, p)
+    total = sum(report["wanted"])
+    off = {d: (g, w) for d, g, w in zip(domains, report["expected"], report["wanted"], strict=True) if abs(g - w) > p.tolerance * total}
+    if off:
+        told = f"targets not met after {len(steps)} rounds (expected and wanted tokens): {off}"
+        if any(abs(g - w) > p.slack * (w or total) for g, w in off.values()):
+            raise RuntimeError(told)
+        warnings.warn(told, stacklevel=3)
+    return steps
+
+
 def _copies(doc_id: str, p: MixParams) -> Column:
     """The rate rounded up or down at random, always alike for one id."""
     u = F.pmod(F.xxhash64(F.col(doc_id), F.lit(p.seed)), F.lit(1 << 30)) / float(1 << 30)
@@ -158,13 +205,14 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, params: MixParams = MixPara
     to probability)``, rate, copies`` (the rate rounded, the expectation kept).
 
     Null and empty texts have no tokens and take the rate that their
-    probabilities give; without any labelled domain every rate is 1. Null ids
-    and repeated rows keep their rows; rows of one id round alike."""
+    probabilities give; without any labelled domain every rate is 1. A target
+    without labelled rows is an error, and so is one that is off by more than
+    ``slack`` after the last round (a warning above ``tolerance``). Null ids and repeated rows keep their rows; rows of one id round alike."""
     p = params
     d = pick(docs, doc_id=id_col, text=text_col, domain=domain_col)
     domains, model = train_domains(d, _label_ids(labels), p)
     scored = materialise(posteriors(d.select("doc_id", "text"), "text", domains, model, p).drop("text"), "mix-scored")
-    steps, _ = fit_rates(scored, domains, p)
+    steps = _fitted(scored, domains, p)
     names = F.array(*[F.lit(x) for x in domains]).cast("array<string>")
     out = scored.withColumn("rate", _rate(steps, p.min_rate))
     return out.select("doc_id", F.col("mix_tokens").alias("n_tokens"), F.map_from_arrays(names, "mix_posterior").alias("posterior"),
@@ -180,7 +228,7 @@ def mix(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams(), id_
     d = flat.select(F.col(at(id_col)).alias("doc_id"), F.col(at(text_col)).alias("text"), F.col(at(domain_col)).alias("domain"))
     domains, model = train_domains(d, _label_ids(labels), p)
     thin = posteriors(d.select("text"), "text", domains, model, p).drop("text")
-    steps, _ = fit_rates(materialise(thin, "mix-scored"), domains, p)
+    steps = _fitted(materialise(thin, "mix-scored"), domains, p)
     out = posteriors(flat, at(text_col), domains, model, p).withColumn("rate", _rate(steps, p.min_rate))
     out = out.withColumn("copies", _copies(at(id_col), p)).filter("copies > 0")
     return restore(out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))

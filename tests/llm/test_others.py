@@ -83,6 +83,20 @@ def test_mixing_equals_plain_projected_gradient(spark):
     assert len(steps) == 7 and np.allclose(report["expected"], a @ r, rtol=1e-6)
 
 
+def test_mixing_knows_rare_domains(spark):
+    rows = [(i, f"a{i % 7} a{i % 5} a1", "a") for i in range(400)] + [(1000 + i, "r1 r2 r3", "rare") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = mixing.MixParams(targets={"a": 0.9, "rare": 0.1}, train_rows=8)
+    got = mixing.mixing_rates(docs, docs, p).collect()
+    assert all(set(r.posterior) == {"a", "rare"} for r in got)
+    assert sum(r.rate * r.n_tokens * r.posterior["rare"] for r in got) == pytest.approx(1209 * 0.1, rel=1e-2)
+    with pytest.raises(ValueError, match="none"):
+        mixing.mixing_rates(docs, docs, mixing.MixParams(targets={"a": 0.5, "none": 0.5}))
+    with pytest.raises(RuntimeError, match="not met"):
+        mixing.mixing_rates(docs, docs, mixing.MixParams(targets={"a": 0.1, "rare": 0.9}, total=100.0, min_rate=1.0))
+    assert [mixing._quota(c, 10) for c in ([3, 100], [2, 3, 4], [50, 50])] == [7, 4, 5]
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs, none = _mixed(spark), spark.createDataFrame([], LABELS)
     assert {r.rate for r in mixing.mixing_rates(docs, none).collect()} == {1.0}
