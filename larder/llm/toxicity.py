@@ -25,7 +25,7 @@ class ChainParams:
     """``categories``: (name, SQL condition over the labels' columns) in chain
     order; ``verdict``: the category that decides; ``threshold``: its least
     probability; ``train_rows``: bound on the labelled rows of each class of the
-    verdict that the models are fitted on; ``vocabulary``: most words
+    verdict that the models are fitted on, weighted to the classes' shares of all labels; ``vocabulary``: most words
     looked at; ``evidence``: least standard errors of a word; ``folds``: for out-of-fold predictions."""
     categories: tuple = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
     verdict: str = "toxic"
@@ -74,10 +74,10 @@ class _Link:
         self.gather = VectorAssembler(inputCols=["chain_words", *[f"prob_{e}" for e in earlier]], outputCol="chain_x")
 
     def fit(self, rows: DataFrame) -> _Link:
-        n, yes = rows.agg(F.count(F.lit(1)), F.sum(self.name)).first()
-        self.constant = None if n and 0 < (yes or 0) < n else (yes or 0) / max(n, 1)
+        n, yes, low, high = rows.agg(F.sum("share"), F.sum(F.col("share") * F.col(self.name)), F.min(self.name), F.max(self.name)).first()
+        self.constant = None if low != high else yes / n if n else 0.0
         if self.constant is None:
-            self.model = LogisticRegression(featuresCol="chain_x", labelCol=self.name, maxIter=self.p.iterations, regParam=1e-3,
+            self.model = LogisticRegression(featuresCol="chain_x", labelCol=self.name, weightCol="share", maxIter=self.p.iterations, regParam=1e-3,
                                             standardization=False,
                                             probabilityCol="chain_p", rawPredictionCol="chain_r", predictionCol="chain_y"
                                             ).fit(self.gather.transform(rows))
@@ -95,10 +95,13 @@ def train_chain(docs: DataFrame, labels: DataFrame, p: ChainParams) -> tuple:
     marked = labels.select("doc_id", *[F.coalesce(F.expr(c), F.lit(False)).cast("double").alias(n) for n, c in p.categories])
     marked = marked.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(*[F.max(n).alias(n) for n, _ in p.categories])
     order = [F.xxhash64("doc_id", F.lit(p.seed)), F.col("doc_id")]
+    sizes = {r[0]: r[1] for r in marked.groupBy(p.verdict).count().collect()}  # a sampled row stands for this many of its class
+    share = [sizes.get(v, 0) / max(1, min(sizes.get(v, 0), p.train_rows)) for v in (0.0, 1.0)]
+    marked = marked.withColumn("share", F.when(F.col(p.verdict) == 1.0, F.lit(share[1])).otherwise(F.lit(share[0])))
     ids = reduce(DataFrame.union, [marked.filter(F.col(p.verdict) == v).orderBy(*order).limit(p.train_rows) for v in (0.0, 1.0)])
     rows = docs.join(F.broadcast(ids), "doc_id").limit(4 * p.train_rows)  # repeated ids cannot outgrow the bound
     fold = F.pmod(F.xxhash64("doc_id", F.lit(p.seed + 1)), F.lit(p.folds)).alias("fold")
-    rows = materialise(rows.select(*[n for n, _ in p.categories], fold, _words(F.col("text")).alias("words")).repartition(4), "chain-rows")
+    rows = materialise(rows.select(*[n for n, _ in p.categories], "share", fold, _words(F.col("text")).alias("words")).repartition(4), "chain-rows")
     words = _vocabulary(rows, p)
     rows = materialise(_held(rows, words), "chain-train")
     links: list = []

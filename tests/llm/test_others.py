@@ -185,6 +185,18 @@ def test_toxicity_on_held_out_documents(spark):
     assert kept.columns == docs.columns and 180 < kept.count() < 215
 
 
+def test_toxicity_probabilities_do_not_depend_on_the_bound(spark):
+    rnd = random.Random(9)
+    texts = [h.words(rnd, 5) + (" hint" if i % 10 == 0 or i % 4 == 1 else "") for i in range(1000)]
+    docs = h.frame(spark, [*texts, "hint"])
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 0), "x") for i in range(1000)], LABELS)
+    full, cut = ({r.doc_id: r.prob_toxic for r in toxicity.toxicity(docs, labels, toxicity.ChainParams(train_rows=n)).collect()}
+                 for n in (1000, 100))
+    for got in (full, cut):  # 100 of 350 documents with the word are toxic
+        assert got[1000] == pytest.approx(100 / 350, abs=0.1)
+        assert sum(got[i] for i in range(1000)) == pytest.approx(100, abs=25)
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, none = h.frame(spark, ["a b", None]), spark.createDataFrame([], LABELS)
     assert [(r.prob_toxic, r.is_toxic) for r in toxicity.toxicity(docs, none).collect()] == [(0.0, False)] * 2
