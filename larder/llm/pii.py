@@ -1,12 +1,14 @@
 """Personal data: exact base detectors and bootstrapped contextual extraction.
 
 Base detectors find e-mail addresses, IP addresses, card and phone numbers by
-pattern and validity. They seed a bootstrap: every word with digits is a
-mention in a lexical context (the words around it). Contexts that mostly hold
-known entities become trusted patterns, instances seen in trusted patterns
-become known, and so on for a few rounds over the pattern-instance graph.
-Mentions of accepted instances in trusted patterns are added as spans of kind
-``id``. Everything is DataFrame expressions.
+pattern and validity. They seed a bootstrap: every base span and every other
+word with digits is a mention in a lexical context (the words around it).
+Contexts that hold known entities become trusted patterns, instances seen in
+trusted patterns become known, and so on for a few rounds over the
+pattern-instance graph. Unseen instances don't count against a context as
+clearly non-personal words do (dates, times, amounts, few digits), but it needs
+a share of known ones that rises with the rounds. Mentions of accepted instances in
+trusted patterns are added as spans of kind ``id``. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -37,10 +39,15 @@ _WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 @dataclass(frozen=True)
 class BootstrapParams:
-    """``min_digits``: least digits of a mention; ``context``: characters looked
-    at on either side; ``min_known``: least known instances of a pattern;
-    ``pattern_confidence`` / ``instance_score``: thresholds; ``rounds``: at most."""
+    """``min_digits``: least digits of an identifier that no base pattern finds;
+    ``context``: characters looked at on either side; ``min_known``: least
+    known instances of a pattern; ``first_share`` / ``last_share``: least share
+    of known ones in the first and the last round; ``pattern_confidence`` (known
+    ones against clearly non-personal ones) / ``instance_score``: thresholds;
+    ``rounds``: at most."""
     min_digits: int = 4
+    first_share: float = 0.3
+    last_share: float = 0.7
     context: int = 64
     min_known: int = 5
     pattern_confidence: float = 0.9
@@ -57,9 +64,10 @@ def _hits(text: Column, pattern: str, hint: str) -> tuple:
 
 
 def _placed(hits: str, gaps: str) -> str:
-    """SQL for the hits with start and end in code points, from the gaps' lengths."""
+    """SQL for the hits with start and end in code points, from the gaps' lengths.
+    No array is named only inside a lambda, where Spark would make it anew for each element."""
     return f"""aggregate(
-        transform({hits}, (m, i) -> named_struct('g', length({gaps}[i]), 'm', m)),
+        filter(zip_with({hits}, {gaps}, (m, g) -> named_struct('g', length(g), 'm', m)), x -> x.m IS NOT NULL),
         named_struct('p', 0, 'r', cast(array() AS array<struct<s: int, e: int, m: string>>)),
         (a, x) -> named_struct('p', a.p + x.g + length(x.m), 'r', concat(a.r, array(named_struct(
             's', a.p + x.g, 'e', a.p + x.g + length(x.m), 'm', x.m)))),
@@ -89,21 +97,38 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
     return df.drop(*[f"{x}_{k}" for k in KINDS for x in "hgp"])
 
 
+# Words with digits that are clearly no identifiers: years, dates, times, amounts.
+_PLAIN = (r"^(?:(?:1[5-9]|20)[0-9]{2}s?|[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2,4}"
+          r"|[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?|[0-9]{1,3}(?:[,.][0-9]{3})+(?:[,.][0-9]{1,2})?|[0-9]+[,.][0-9]{1,2})$")
+_BLOCK = 1024
+
+
 def _mentions(df: DataFrame, text: str, p: BootstrapParams) -> DataFrame:
-    """``df`` with ``mentions``: words with digits, their place, instance, the
-    contexts they stand in and whether a base span covers part of them."""
-    h, g = _hits(F.coalesce(F.col(text), F.lit("")), _WORD, "")
-    df = df.withColumns({"h_w": h, "g_w": g}).withColumn("p_w", F.expr(_placed("h_w", "g_w")))
-    n = p.context
-    last = lambda k: f"regexp_extract(lower(right(g_w[i], {n})), '([^\\\\x20\\\\x09-\\\\x0D]+)(?:[\\\\x20\\\\x09-\\\\x0D]+[^\\\\x20\\\\x09-\\\\x0D]+){{{k}}}[\\\\x20\\\\x09-\\\\x0D]+$', 1)"
-    first = f"regexp_extract(lower(left(g_w[i + 1], {n})), '^[\\\\x20\\\\x09-\\\\x0D]+([^\\\\x20\\\\x09-\\\\x0D]+)', 1)"
+    """``df`` with ``mentions``: base spans, and words with digits that none of
+    them touches, with their place, instance, the words around them, whether
+    they are base spans (``seed``) and whether they are clearly non-personal (``bad``)."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    h, g = _hits(t, _WORD, "")
     spans = "concat(" + ", ".join(f"b_{k}" for k in KINDS) + ")"
+    df = df.withColumns({"h_w": h, "g_w": g, "s_b": F.expr(spans)}).withColumn("p_w", F.expr(_placed("h_w", "g_w")))
     core = "regexp_replace(lower(x.m), '^[^a-z0-9+]+|[^a-z0-9]+$', '')"
-    made = f"""filter(transform(p_w, (x, i) -> named_struct('s', x.s, 'e', x.e, 'inst', {core},
-        'l1', {last(0)}, 'l2', {last(1)}, 'r1', {first},
-        'seed', exists({spans}, y -> y.s < x.e AND y.e > x.s))),
-        x -> length(regexp_replace(x.inst, '[^0-9]', '')) >= {p.min_digits})"""
-    return df.withColumn("mentions", F.expr(made)).drop("h_w", "g_w", "p_w")
+    words = f"""transform(filter(p_w, x -> NOT exists(s_b, y -> y.s < x.e AND y.e > x.s)),
+        x -> named_struct('s', x.s, 'e', x.e, 'inst', {core}, 'seed', false))"""
+    df = df.withColumn("m_w", F.expr(f"concat(transform(s_b, x -> named_struct('s', x.s, 'e', x.e, 'inst', lower(x.m), 'seed', true)), {words})"))
+    # Blocks of equal length in code points: a place is found without reading the text up to it.
+    df = df.withColumn("k_w", F.when(F.size("m_w") > 0, F.regexp_extract_all(t, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)))
+                       .otherwise(F.array().cast("array<string>")))
+    n, block = p.context, lambda at: f"coalesce(get(k_w, cast({at} AS int)), '')"
+    before = f"lower(right(concat({block(f'x.s div {_BLOCK} - 1')}, left({block(f'x.s div {_BLOCK}')}, x.s % {_BLOCK})), {n}))"
+    after = f"lower(left(concat(substr({block(f'x.e div {_BLOCK}')}, x.e % {_BLOCK} + 1), {block(f'x.e div {_BLOCK} + 1')}), {n}))"
+    word, space = r"[^\\x20\\x09-\\x0D]", r"[\\x20\\x09-\\x0D]"
+    tidy = lambda e: f"regexp_replace({e}, '[0-9]+', '#')"
+    last = lambda k: tidy(f"regexp_extract(x.b, '({word}+)(?:{space}+{word}+){{{k}}}{space}+{word}*$', 1)")
+    first = tidy(f"regexp_extract(x.a, '^{word}*{space}+({word}+)', 1)")
+    made = f"""transform(transform(m_w, x -> named_struct('s', x.s, 'e', x.e, 'inst', x.inst, 'seed', x.seed, 'b', {before}, 'a', {after})),
+        x -> named_struct('s', x.s, 'e', x.e, 'inst', x.inst, 'l1', {last(0)}, 'l2', {last(1)}, 'r1', {first}, 'seed', x.seed,
+        'bad', NOT x.seed AND (length(regexp_replace(x.inst, '[^0-9]', '')) < {p.min_digits} OR x.inst RLIKE '{_PLAIN}')))"""
+    return df.withColumn("mentions", F.expr(made.replace("{_PLAIN}", _PLAIN))).drop("h_w", "g_w", "p_w", "s_b", "m_w", "k_w")
 
 
 def _trusted(mentions: DataFrame, p: BootstrapParams) -> DataFrame:
@@ -141,8 +166,8 @@ def _patterns_of(mentions: DataFrame) -> DataFrame:
 def _extras(found: DataFrame, p: BootstrapParams) -> DataFrame:
     """``text_key, extra`` (array of (s, e)) from ``found (text_key, mentions)``."""
     each = _patterns_of(found.select("text_key", F.explode("mentions").alias("x")).select("text_key", "x.*"))
-    trusted = _trusted(each.select("pattern", "inst", "seed"), p)
-    new = each.filter(~F.col("seed")).join(trusted, ["pattern", "inst"]).select("text_key", "s", "e").distinct()
+    trusted = _trusted(each.filter(~F.col("bad")).select("pattern", "inst", "seed"), p)
+    new = each.filter(~F.col("seed") & ~F.col("bad")).join(trusted, ["pattern", "inst"]).select("text_key", "s", "e").distinct()
     return materialise(new.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("extra")), "pii-extra")
 
 

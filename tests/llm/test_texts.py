@@ -102,6 +102,15 @@ def test_bootstrap_finds_identifiers_in_trusted_contexts(spark):
     assert got[0][0] == "please call us at <PHONE> any time 100" or got[0][0].startswith("please call us at <PHONE>")
 
 
+def test_every_base_span_is_a_mention(spark):
+    texts = ["write mail to (joe@a.org) or call", "é dial us at +1 (017) 555-7713 any time", "x" * 1020 + " my new ip: 10.0.0.7 ok 12345"]
+    d = pii.base_spans(h.frame(spark, texts), "text")
+    got = {r.doc_id: [tuple(x) for x in r.mentions] for r in pii._mentions(d, "text", pii.BootstrapParams()).collect()}
+    assert got[0] == [(15, 24, "joe@a.org", "to", "mail", "or", True, False)]
+    assert got[1] == [(13, 30, "+1 (017) 555-7713", "at", "us", "any", True, False)]
+    assert got[2] == [(1032, 1040, "10.0.0.7", "ip:", "new", "ok", True, False), (1044, 1049, "12345", "ok", "#.#.#.#", "", False, False)]
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rnd = random.Random(9)
     texts = h.odd_texts()
