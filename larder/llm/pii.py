@@ -133,24 +133,25 @@ def _mentions(df: DataFrame, text: str, p: BootstrapParams) -> DataFrame:
 
 def _trusted(mentions: DataFrame, p: BootstrapParams) -> DataFrame:
     """``pattern, inst`` of accepted instances in trusted patterns, from
-    ``mentions (pattern, inst, seed)``."""
-    edges = materialise(mentions.groupBy("pattern", "inst").agg(F.max("seed").alias("seed")), "pii-graph")
+    ``mentions (pattern, inst, seed, bad)``."""
+    edges = materialise(mentions.groupBy("pattern", "inst").agg(F.max("seed").alias("seed"), F.min("bad").alias("bad")), "pii-graph")
     known = edges.groupBy("inst").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for _ in range(p.rounds):
+    for turn in range(p.rounds):
         known = materialise(known, "pii-instances")
         held = spread_join(edges, known, "inst").groupBy("pattern").agg(
-            F.sum("score").alias("known"), F.count(F.lit(1)).alias("all"))
-        patterns = held.filter(F.col("known") >= p.min_known).select(
-            "pattern", (F.col("known") / (F.col("all") + 0.25)).alias("conf")).filter(F.col("conf") >= p.pattern_confidence)
+            F.sum("score").alias("known"), F.count(F.lit(1)).alias("all"), F.sum(F.col("bad").cast("double")).alias("bad"))
+        share = p.first_share + (p.last_share - p.first_share) * turn / max(1, p.rounds - 1)
+        patterns = held.filter((F.col("known") >= p.min_known) & (F.col("known") >= share * F.col("all"))).select(
+            "pattern", (F.col("known") / (F.col("known") + F.col("bad") + 0.25)).alias("conf")).filter(F.col("conf") >= p.pattern_confidence)
         patterns = materialise(patterns, "pii-patterns")
-        seen = spread_join(edges, patterns, "pattern")
+        seen = spread_join(edges.filter(~F.col("bad")), patterns, "pattern")
         found = seen.groupBy("inst").agg(F.max("seed").alias("seed"), (1 - F.exp(F.sum(F.log(F.greatest(
             1 - F.col("conf"), F.lit(1e-9)))))).alias("score")).select(
             "inst", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("score")).alias("score"))
         known = known.withColumnRenamed("score", "old").join(found, "inst", "left").select(
             "inst", F.greatest("old", F.when(F.col("score") >= p.instance_score, F.col("score")).otherwise(0.0)).alias("score"))
     accepted = materialise(known, "pii-instances").filter(F.col("score") >= p.instance_score)
-    fresh = spread_join(edges.filter(~F.col("seed")), patterns, "pattern").select("pattern", "inst")
+    fresh = spread_join(edges.filter(~F.col("seed") & ~F.col("bad")), patterns, "pattern").select("pattern", "inst")
     return spread_join(fresh, accepted.select("inst"), "inst")
 
 
@@ -166,8 +167,8 @@ def _patterns_of(mentions: DataFrame) -> DataFrame:
 def _extras(found: DataFrame, p: BootstrapParams) -> DataFrame:
     """``text_key, extra`` (array of (s, e)) from ``found (text_key, mentions)``."""
     each = _patterns_of(found.select("text_key", F.explode("mentions").alias("x")).select("text_key", "x.*"))
-    trusted = _trusted(each.filter(~F.col("bad")).select("pattern", "inst", "seed"), p)
-    new = each.filter(~F.col("seed") & ~F.col("bad")).join(trusted, ["pattern", "inst"]).select("text_key", "s", "e").distinct()
+    trusted = _trusted(each.select("pattern", "inst", "seed", "bad"), p)
+    new = each.filter(~F.col("seed")).join(trusted, ["pattern", "inst"]).select("text_key", "s", "e").distinct()
     return materialise(new.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("extra")), "pii-extra")
 
 

@@ -111,6 +111,17 @@ def test_every_base_span_is_a_mention(spark):
     assert got[2] == [(1032, 1040, "10.0.0.7", "ip:", "new", "ok", True, False), (1044, 1049, "12345", "ok", "#.#.#.#", "", False, False)]
 
 
+def test_bootstrap_trusts_contexts_that_hold_many_unseen(spark):
+    known = [f"please send mail to u{chr(97 + k)}@a.org right now" for k in range(20)]
+    unseen = [f"please send mail to user-{5000 + k}-x right now" for k in range(20)]
+    plain = [f"they met in town on 20{k:02d}-05-17 or so" for k in range(20)]
+    mixed = [f"they met in town on {k}{k}{k}.1.2.3 or so" for k in range(1, 3)]
+    rare = [f"your order number is {70000 + k} in all" for k in range(60)] + [f"your order number is 10.0.0.{k} in all" for k in range(6)]
+    texts = [*known, *unseen, *plain, *mixed, *rare]
+    out = [r.spans for r in pii.find_pii(h.frame(spark, texts)).orderBy("doc_id").collect()]
+    assert out[20:40] == ["id:20:31"] * 20 and set(out[40:60]) == {""} and set(out[62:122]) == {""}
+
+
 def test_near_duplicates_equal_brute_force(spark):
     rnd = random.Random(9)
     texts = h.odd_texts()
