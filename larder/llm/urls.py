@@ -1,6 +1,7 @@
 """URL filters: fixed host and path rules, and association rules mined from labels.
 
-Spark's FP-growth finds combinations of URL tokens that go with bad labels.
+Tokens frequent enough with bad labels are kept first; those that are rules by
+themselves are done, and Spark's FP-growth finds combinations of the others.
 Rules pruned by support and confidence are matched through an inverted index
 from token to rule. Everything is DataFrame expressions and Spark ML.
 """
@@ -10,10 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialise, pick
+from larder.llm.common import materialise, pick, spread_join
 
 # Verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -27,9 +28,10 @@ class UrlParams:
     least share of bad ones among those with its tokens; ``max_tokens``: tokens
     of a rule; ``train_rows``: bound on the labelled URLs that are mined.
 
-    A URL has at most ten tokens, so at most 2 ** 11 / support item sets are
-    frequent and at most 175 / support rules have up to three tokens: the index
-    that is broadcast has a fixed bound."""
+    Every host label, path segment and query part is a token. What bounds the
+    rules is pruning: a token of a rule is frequent with bad labels by itself,
+    one that is a rule alone needs no other, and tokens that always stand
+    together are mined as one."""
     rules: tuple = RULES
     support: float = 0.01
     confidence: float = 0.9
@@ -47,21 +49,24 @@ def host_path(url: Column) -> tuple:
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """At most ten distinct tokens: scheme, the last four host labels by place,
-    first path segment, file ending, first two query keys and a fragment mark.
-    Digits become #."""
-    labels = F.reverse(F.split(host, r"\."))
-    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
-    keys = F.transform(F.split(query, "&"), lambda x: F.concat(F.lit("q:"), F.substring_index(x, "=", 1)))
-    named = [
+    """Distinct tokens: scheme, every host label by place, every path segment,
+    file ending, every query key, alone and with its value, and a fragment
+    mark. Digits become #."""
+    labels = F.transform(F.reverse(F.split(host, r"\.")), lambda x, i: F.when(x != "", F.concat(F.lit("h"), (i + 1).cast("string"), F.lit("="), x)))
+    segments = F.transform(F.split(path, "/"), lambda x: F.when(x != "", F.concat(F.lit("p:"), x)))
+    query = F.split(F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1), "&")
+    keys = F.transform(query, lambda x: F.when(x != "", F.concat(F.lit("q:"), F.substring_index(x, "=", 1))))
+    values = F.transform(query, lambda x: F.when(x.contains("="), F.concat(F.lit("v:"), x)))
+    ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
+    named = F.array(
         F.concat(F.lit("s:"), F.lower(F.substring_index(url, "://", 1))),
-        *[F.concat(F.lit(f"h{i + 1}:"), F.get(labels, F.lit(i))) for i in range(4)],
-        F.concat(F.lit("p:"), F.regexp_extract(path, r"^/([^/]*)", 1)),
-        F.concat(F.lit("e:"), F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)),
-        F.when(url.contains("#"), F.lit("f:"))]
-    tokens = F.transform(F.concat(F.array(*named), F.slice(keys, 1, 2)), lambda x: F.regexp_replace(x, "[0-9]+", "#"))
+        F.when(ending != "", F.concat(F.lit("e:"), ending)),
+        F.when(url.contains("#"), F.lit("f:")))
+    plain = F.transform(F.concat(named, segments, keys, values), lambda x: F.regexp_replace(x, "[0-9]+", "#"))
+    hosts = F.transform(labels, lambda x: F.concat(F.regexp_extract(x, "^h[0-9]+=", 0), F.regexp_replace(
+        F.regexp_replace(x, "^h[0-9]+=", ""), "[0-9]+", "#")))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.filter(tokens, lambda x: x.isNotNull() & ~x.rlike("^[a-gi-z]:$|^h[0-9]:$") | (x == "f:"))))
+        F.array_distinct(F.filter(F.concat(plain, hosts), lambda x: x.isNotNull())))
 
 
 def fixed_rule(host: Column, path: Column, rules) -> tuple:
@@ -77,25 +82,42 @@ def fixed_rule(host: Column, path: Column, rules) -> tuple:
 
 
 def mine_rules(labelled: DataFrame, p: UrlParams) -> DataFrame:
-    """``rule_id, tokens, confidence, support`` from ``labelled (tokens, bad)``."""
+    """``rule_id, slot, token`` from ``labelled (tokens, bad)``: a URL meets a
+    rule with a token for each of its ``needs`` slots."""
     spark = labelled.sparkSession
-    empty = "rule_id long, tokens array<string>, confidence double, support double"
-    items = F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
-    baskets = materialise(labelled.filter(F.size("tokens") > 0).select(items.alias("items")).limit(p.train_rows), "url-baskets")
-    if not baskets.filter(F.array_contains("items", BAD)).limit(1).count():
+    empty = "rule_id string, slot string, token string, needs int"
+    rows = labelled.filter(F.size("tokens") > 0).limit(p.train_rows).withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows, "url-baskets")
+    n = rows.count()
+    least = p.support * n
+    if not n:
         return spark.createDataFrame([], empty)
+    each = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    seen = lambda k: F.sum(F.xxhash64("row", F.lit(k)).cast("decimal(38,0)"))
+    single = each.groupBy("token").agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("bad").cast("long")).alias("bad"),
+                                       seen(1).alias("x"), seen(2).alias("y")).filter((F.col("bad") >= least) & (F.col("bad") > 0))
+    single = materialise(single, "url-tokens")
+    sure = F.col("bad") >= p.confidence * F.col("all")
+    alone = single.filter(sure).select(F.col("token").alias("rule_id"), F.col("token").alias("slot"), "token", F.lit(1).alias("needs"))
+    # Tokens of the same rows stand for each other; one in every row tells nothing.
+    group = single.filter(~sure & (F.col("all") < n)).withColumn("slot", F.min("token").over(Window.partitionBy("all", "x", "y")))
+    group = materialise(group.select("slot", "token"), "url-groups")
+    kept = each.join(group, "token").groupBy("row").agg(F.collect_set("slot").alias("slots"))
+    items = F.concat(F.coalesce("slots", F.array().cast("array<string>")), F.when(F.col("bad"), F.array(F.lit(BAD)))
+                     .otherwise(F.array().cast("array<string>")))
+    baskets = materialise(rows.select("row", "bad").join(kept, "row", "left").select(items.alias("items")), "url-items")
     found = FPGrowth(itemsCol="items", minSupport=p.support, minConfidence=p.confidence).fit(baskets).associationRules
     found = found.filter((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= p.max_tokens))
-    return materialise(found.select(F.monotonically_increasing_id().alias("rule_id"), F.col("antecedent").alias("tokens"),
-                                    "confidence", "support"), "url-rules")
+    found = found.select(F.array_join(F.sort_array("antecedent"), " ").alias("rule_id"), F.size("antecedent").alias("needs"),
+                         F.explode("antecedent").alias("slot"))
+    return materialise(alone.unionByName(found.join(group, "slot").select("rule_id", "slot", "token", "needs")), "url-rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``rid`` of the ``urls (rid, tokens)`` that hold all tokens of a rule."""
-    index = rules.select("rule_id", F.size("tokens").alias("needs"), F.explode("tokens").alias("token"))
     each = urls.select("rid", F.explode("tokens").alias("token"))
-    held = each.join(F.broadcast(index), "token").groupBy("rid", "rule_id").agg(
-        F.count(F.lit(1)).alias("has"), F.first("needs").alias("needs"))
+    held = spread_join(each, rules, "token").select("rid", "rule_id", "needs", "slot").distinct()
+    held = held.groupBy("rid", "rule_id", "needs").agg(F.count(F.lit(1)).alias("has"))
     return held.filter(F.col("has") == F.col("needs")).select("rid").distinct()
 
 

@@ -169,6 +169,22 @@ def test_urls(spark):
     assert [r.verdict for r in none] == ["allow"] and urls.judge_urls(pages.filter("false"), labels).count() == 0
 
 
+def test_urls_block_by_any_part(spark):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(8))
+    deep = "/".join(f"part{chr(97 + k)}" for k in range(24))
+    bad = [f"http://{word()}.org/en/casino/{k}?a=1&b=2&c=3" for k in range(30)]
+    bad += [f"http://{word()}.org/en/{k}?a=1&b=2&spam=3" for k in range(30)] + [f"http://bad.a.b.c.{word()}.org/en/{k}" for k in range(30)]
+    bad += [f"http://{word()}.org/en/{k}?a=buy" for k in range(30)] + [f"http://{word()}.org/{deep}/{k}?z=1" for k in range(30)]
+    good = [f"http://{word()}.org/en/{k}?a=1&b=2&c=3" for k in range(80)] + [f"http://{word()}.org/{deep}/{k}" for k in range(20)]
+    new = ["http://new.org/x/casino/", "http://new.org/en/1?x=1&y=2&spam=9", "http://bad.a.b.c.new.org/", "http://new.org/en/2?a=buy",
+           f"http://new.org/{deep}/7?z=2", "http://new.org/en/7?a=1&b=2&c=3", f"http://new.org/{deep}/7"]
+    pages = spark.createDataFrame(list(enumerate([*bad, *good, *new])), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 150), 0, "x") for i in range(250)], LABELS)
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, labels, urls.UrlParams(rules=())).collect()}
+    assert [got[250 + i] for i in range(7)] == ["block"] * 5 + ["allow"] * 2
+
+
 def test_toxicity_on_held_out_documents(spark):
     rnd = random.Random(6)
     bad = ["grobian", "schuft", "unhold", "flegel"]
