@@ -70,6 +70,7 @@ OTHER = ("All rights reserved.", "A driver's license is required to rent a car."
          "Public libraries in general are free of charge to any person.", "The use of source and binary data is described below.")
 UNKNOWN = "unknown"
 _WORD = re.compile(r"\w+")
+_STOP = re.compile(r"(?<=[.!?;:])\s+(?=[^\W\da-z])")
 
 
 @dataclass(frozen=True)
@@ -96,6 +97,12 @@ def _tokens(paragraph: str) -> list:
     return _WORD.findall(paragraph.lower())
 
 
+def _pieces(paragraph: str) -> list:
+    """The paragraph, and its sentences where it has several."""
+    parts = [x for x in _STOP.split(paragraph) if x]
+    return [paragraph, *parts] if len(parts) > 1 else [paragraph]
+
+
 def templates() -> dict:
     """Family -> its wordings."""
     made = {f: [lead.format(n) for n in names for lead in LEADS] for f, names in NAMES.items()}
@@ -139,7 +146,10 @@ class LicenseModel:
         return e / e.sum()
 
     def judge(self, paragraph: str) -> tuple:
-        """(family or None, probability) of one paragraph."""
+        """(family or None, probability) of one paragraph: its best piece's."""
+        return max(map(self.judge_piece, _pieces(paragraph)), key=lambda x: (x[0] is not None, x[1]))
+
+    def judge_piece(self, paragraph: str) -> tuple:
         words = _tokens(paragraph)
         grams = _grams(words)
         if not any(g in self.index for g in grams):
@@ -183,7 +193,7 @@ def train(spark: SparkSession, docs: DataFrame, params: LicenseParams = LicenseP
     fitted = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial").fit(frame)
     shapes = {f: [_grams(_tokens(x)) for x in xs] for f, xs in templates().items()}
     model = LicenseModel(tuple(families), index, fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray(), shapes, 0.0, p.overlap)
-    wrong = [float(model.probabilities(_grams(_tokens(x)))[:-1].max()) for x in [*held, *OTHER]]
+    wrong = [max(float(model.probabilities(_grams(_tokens(y)))[:-1].max()) for y in _pieces(x)) for x in [*held, *OTHER]]
     threshold = max(p.least, float(np.quantile(wrong, 1 - p.false_positives)) if wrong else p.least)
     return LicenseModel(model.families, index, model.weights, model.bias, shapes, min(threshold, 0.999), p.overlap)
 

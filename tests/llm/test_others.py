@@ -234,6 +234,14 @@ def test_licences(spark):
     assert licenses.scan_licenses(h.frame(spark, [])).count() == 0
 
 
+def test_licence_sentence_in_a_long_line(spark):
+    rnd = random.Random(12)
+    plain = [f"{h.words(rnd, 60)}. Then {h.words(rnd, 60)}." for _ in range(60)]
+    text = f"{plain[0]} Released under the MIT License. And {h.words(rnd, 200)}."
+    got = {r.doc_id: r for r in licenses.scan_licenses(h.frame(spark, [*plain, text])).collect()}
+    assert got[60].families == "MIT" and got[60].spans == f"MIT:0:{len(text)}" and all(got[i].n_licenses == 0 for i in range(60))
+
+
 def test_pipeline_runs_its_stages(spark):
     from tests.conftest import SF_SMOKE
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near-duplicates", "personal data", "source mixing", "BPE encoding"]
