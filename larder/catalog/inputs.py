@@ -101,3 +101,28 @@ def ledger_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = dt.demand_daily(spark, sf_dir).groupBy("store_id", "item_id") \
         .agg(F.avg("demand").alias("avg_demand"))
     return initial_stock(stats, LEDGER_MULTIPLIER)
+
+
+# How the recorded policies order. Each orders a share of what was
+# sold over a number of days, on the last of these days.
+RECORDED_POLICIES = {"daily": (1, 1.0), "weekly": (7, 1.0), "lean": (1, 0.5)}
+
+
+def demand_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders for each day's demand, with lead times: ``store_id, item_id, day,
+    qty, lead_time, arrival_day``."""
+    from larder.operators.replenish import schedule_orders
+    orders = dt.demand_daily(spark, sf_dir).withColumnRenamed("demand", "qty")
+    return schedule_orders(orders, LEAD_TIME_MIN, LEAD_TIME_MAX)
+
+
+def recorded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as ``RECORDED_POLICIES`` place them, with lead times: ``policy,
+    store_id, item_id, day, qty, lead_time, arrival_day``."""
+    from larder.operators.replenish import schedule_orders
+    rules = F.explode(F.array(*[F.struct(F.lit(name).alias("policy"), F.lit(days).alias("days"), F.lit(share).alias("share"))
+                                for name, (days, share) in RECORDED_POLICIES.items()])).alias("r")
+    each = dt.demand_daily(spark, sf_dir).select("store_id", "item_id", "day", "demand", rules).select("store_id", "item_id", "day", "demand", "r.*")
+    placed = each.groupBy("policy", "store_id", "item_id", F.expr("CAST((day div days) * days + days - 1 AS INT)").alias("day")).agg(
+        F.floor(F.sum(F.col("demand") * F.col("share"))).cast("double").alias("qty"))
+    return schedule_orders(placed, LEAD_TIME_MIN, LEAD_TIME_MAX)

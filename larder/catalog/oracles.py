@@ -514,3 +514,92 @@ def _dense_feature_query() -> str:
 
 
 ORACLES["feature_job_wide"] = _dense_feature_query()
+
+ORACLES["read_prices_folder"] = ORACLES["read_prices"]
+ORACLES["csv_rejects"] = with_prelude("", """
+SELECT store_id, count(*) FILTER (NOT bad) AS n_rows, CAST(coalesce(sum(cents) FILTER (NOT bad), 0) AS BIGINT) AS cents,
+  count(*) FILTER (bad) AS n_rejected
+FROM (SELECT store_id, CAST(round(sell_price * 100) AS BIGINT) AS cents,
+        coalesce(CAST(round(sell_price * 100) AS BIGINT) % 5 = 0 OR CAST(round(sell_price * 100) AS BIGINT) % 7 = 0, FALSE) AS bad FROM prices)
+GROUP BY store_id""")
+
+
+def _recursive_ledger(tag: str, demand: str, arrivals: str, keys: tuple, initial: str = "linit") -> str:
+    """CTE ``tag``: a stock ledger walked row by row, from ``demand (keys, day,
+    demand)`` and ``arrivals (keys, day, qty)``, one row a day each."""
+    on = lambda x, y: " AND ".join(f"{x}.{k} = {y}.{k}" for k in keys)
+    cols = ", ".join(f"coalesce(d.{k}, a.{k}) AS {k}" for k in keys)
+    listed = ", ".join(f"e.{k}" for k in keys)
+    stock = lambda prior: f"{prior} + e.arrivals - least(e.demand, {prior} + e.arrivals)"
+    return f"""
+{tag}_ev AS (
+  SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY day) AS rn FROM (
+    SELECT {cols}, coalesce(d.day, a.day) AS day, coalesce(d.demand, 0.0) AS demand, coalesce(a.qty, 0.0) AS arrivals,
+      CAST(d.demand IS NOT NULL AS INT) AS has_demand
+    FROM {demand} d FULL JOIN {arrivals} a ON {on('d', 'a')} AND d.day = a.day)),
+{tag}_rec AS (
+  SELECT {listed}, e.rn, e.day, e.demand, e.has_demand, least(e.demand, coalesce(i.qty, 0.0) + e.arrivals) AS sales,
+    {stock('coalesce(i.qty, 0.0)')} AS end_stock
+  FROM {tag}_ev e LEFT JOIN {initial} i ON e.store_id = i.store_id AND e.item_id = i.item_id WHERE e.rn = 1
+  UNION ALL
+  SELECT {listed}, e.rn, e.day, e.demand, e.has_demand, least(e.demand, r.end_stock + e.arrivals), {stock('r.end_stock')}
+  FROM {tag}_rec r JOIN {tag}_ev e ON {on('e', 'r')} AND e.rn = r.rn + 1),
+{tag} AS (
+  SELECT {', '.join(keys)}, day, demand, sales, demand - sales AS stockout, end_stock,
+    end_stock * {P.HOLDING_COST} * has_demand AS holding_cost, (demand - sales) * {P.STOCKOUT_PENALTY} AS stockout_penalty
+  FROM {tag}_rec)"""
+
+
+_INITIAL = f"""
+linit AS (
+  SELECT store_id, item_id, CAST(ceil(greatest(0.0, coalesce(avg(demand), 0.0)) * {P.LEDGER_MULTIPLIER}) AS DOUBLE) AS qty
+  FROM demand_daily GROUP BY store_id, item_id),
+horizon AS (SELECT CAST(date_diff('day', lo, hi) + 1 AS INT) AS n FROM bounds)"""
+
+# Interval join of the mornings with the orders open on them; stock as of the evening before.
+ORACLES["open_positions"] = with_prelude(_LEDGER + "," + _INITIAL + f""",
+placed AS (
+  SELECT store_id, item_id, day, demand AS qty, day + {_lead_time('day', 'store_id')} AS arrival_day
+  FROM demand_daily WHERE demand > 0),
+came AS (SELECT store_id, item_id, arrival_day AS day, sum(qty) AS qty FROM placed
+         WHERE arrival_day < (SELECT n FROM horizon) GROUP BY ALL),""" + _recursive_ledger("lg", "demand_daily", "came", ("store_id", "item_id")) + """,
+series AS (SELECT store_id, item_id FROM placed UNION SELECT store_id, item_id FROM demand_daily UNION SELECT store_id, item_id FROM linit),
+mornings AS (SELECT store_id, item_id, CAST(unnest(range(0, (SELECT n FROM horizon))) AS INT) AS day FROM series),
+opened AS (
+  SELECT m.store_id, m.item_id, m.day, sum(p.qty) AS in_transit
+  FROM mornings m JOIN placed p ON p.store_id = m.store_id AND p.item_id = m.item_id AND p.day < m.day AND p.arrival_day >= m.day
+  GROUP BY ALL),
+held AS (
+  SELECT m.store_id, m.item_id, m.day, coalesce(l.end_stock, i.qty, 0.0) AS stock
+  FROM mornings m ASOF LEFT JOIN lg l ON m.store_id = l.store_id AND m.item_id = l.item_id AND m.day > l.day
+  LEFT JOIN linit i ON m.store_id = i.store_id AND m.item_id = i.item_id)""", """
+SELECT h.store_id, h.item_id, h.day, round(coalesce(o.in_transit, 0.0), 6) AS in_transit, round(h.stock, 6) AS stock,
+  round(h.stock + coalesce(o.in_transit, 0.0), 6) AS position
+FROM held h LEFT JOIN opened o ON h.store_id = o.store_id AND h.item_id = o.item_id AND h.day = o.day""")
+
+_POLICY_ROWS = ", ".join(f"('{name}', {days}, {share})" for name, (days, share) in P.RECORDED_POLICIES.items())
+
+
+def _recorded() -> str:
+    due = _lead_time("day", "store_id")
+    return f"""
+rules AS (SELECT * FROM (VALUES {_POLICY_ROWS}) r(policy, days, share)),
+placed AS (
+  SELECT policy, store_id, item_id, day, qty, day + {due} AS arrival_day FROM (
+    SELECT policy, store_id, item_id, CAST((day // days) * days + days - 1 AS INT) AS day, CAST(floor(sum(demand * share)) AS DOUBLE) AS qty
+    FROM demand_daily CROSS JOIN rules GROUP BY ALL) WHERE qty > 0),
+came AS (SELECT policy, store_id, item_id, arrival_day AS day, sum(qty) AS qty FROM placed
+         WHERE arrival_day < (SELECT n FROM horizon) GROUP BY ALL),
+asked AS (SELECT policy, store_id, item_id, day, demand FROM demand_daily CROSS JOIN rules)"""
+
+
+ORACLES["policy_kpis"] = with_prelude(
+    _LEDGER + "," + _INITIAL + "," + _recorded() + "," + _recursive_ledger("lg", "asked", "came", ("policy", "store_id", "item_id")) + """,
+agg AS (SELECT policy, day, sum(demand) AS d, sum(sales) AS s, sum(stockout) AS so, sum(stockout_penalty) AS sp, sum(holding_cost) AS hc
+        FROM lg GROUP BY ALL),
+mornings AS (SELECT policy, CAST(unnest(range(0, (SELECT n FROM horizon))) AS INT) AS day FROM rules),
+dk AS (
+  SELECT m.policy, m.day, CASE WHEN coalesce(a.d, 0.0) > 0 THEN a.s / a.d ELSE 1.0 END AS fulfillment_rate,
+    coalesce(a.so, 0.0) AS stockouts, coalesce(a.sp, 0.0) AS stockout_penalty, coalesce(a.hc, 0.0) AS holding_cost,
+    coalesce(a.hc, 0.0) + coalesce(a.sp, 0.0) AS total_cost
+  FROM mornings m LEFT JOIN agg a ON m.policy = a.policy AND m.day = a.day)""", _summary("dk", "policy"))

@@ -380,6 +380,20 @@ def q_summary_kpis(spark, sf_dir):
     return round_doubles(lg.summary_kpis(lg.daily_kpis(_replay(spark, sf_dir), dt.n_calendar_days(spark, sf_dir))))
 
 
+@register("open_positions")
+def q_open_positions(spark, sf_dir):
+    """Open orders, stock and position of every series on every day."""
+    return round_doubles(lg.open_positions(P.demand_orders(spark, sf_dir), dt.demand_daily(spark, sf_dir),
+                                           P.ledger_initial(spark, sf_dir), dt.n_calendar_days(spark, sf_dir)))
+
+
+@register("policy_kpis")
+def q_policy_kpis(spark, sf_dir):
+    """Recorded policies by fulfilment, stockouts and costs over the whole span."""
+    return round_doubles(lg.policy_kpis(P.recorded_orders(spark, sf_dir), dt.demand_daily(spark, sf_dir), P.ledger_initial(spark, sf_dir),
+                                        list(P.RECORDED_POLICIES), dt.n_calendar_days(spark, sf_dir), P.HOLDING_COST, P.STOCKOUT_PENALTY))
+
+
 @register("warehouse_drawdown")
 def q_warehouse_drawdown(spark, sf_dir):
     _, warehouse = P.allocation_inputs(spark, sf_dir)
@@ -429,3 +443,36 @@ def q_read_sales_wide(spark, sf_dir):
     wide = dt.sales_wide(spark, sf_dir)
     whole = wide.select(*[F.col(c).cast("int").alias(c) if c.startswith("d_") else F.col(c) for c in wide.columns])
     return round_doubles(pr.melt_sales(fs.read_sales_wide(spark, _as_csv(spark, whole, "csv-sales"))))
+
+
+def _price_folder(spark, sf_dir) -> str:
+    """Weekly prices as a folder of CSV files in three column orders, one of
+    them with a column more; stores are dealt to the orders by their name."""
+    prices = dt.prices(spark, sf_dir).withColumn("note", F.lit('x, "y"'))
+    path = fs.scratch_path(spark, "csv-folder")
+    orders = (("store_id", "item_id", "wm_yr_wk", "sell_price"), ("note", "sell_price", "wm_yr_wk", "item_id", "store_id"),
+              ("item_id", "wm_yr_wk", "store_id", "sell_price"))
+    for k, columns in enumerate(orders):
+        prices.filter(F.length("store_id") % len(orders) == k).select(*columns).write.mode("append").csv(path, header=True)
+    return path
+
+
+@register("read_prices_folder")
+def q_read_prices_folder(spark, sf_dir):
+    return fs.read_prices(spark, _price_folder(spark, sf_dir))
+
+
+@register("csv_rejects")
+def q_csv_rejects(spark, sf_dir):
+    """Good and rejected rows per store of price files in which some weeks and
+    some prices are no numbers."""
+    path = fs.scratch_path(spark, "csv-bad")
+    cents = F.round(F.col("sell_price") * 100).cast("long")
+    week = F.when(cents % 5 == 0, F.concat(F.lit("w"), F.col("wm_yr_wk"))).otherwise(F.col("wm_yr_wk").cast("string"))
+    price = F.when(cents % 7 == 0, F.lit("n/a")).otherwise(F.col("sell_price").cast("string"))
+    dt.prices(spark, sf_dir).select("store_id", "item_id", week.alias("wm_yr_wk"), price.alias("sell_price")).write.csv(path, header=True)
+    good = fs.read_prices(spark, path, bad_rows="drop").groupBy("store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.round(F.col("sell_price") * 100).cast("long")).alias("cents"))
+    bad = fs.csv_rejects(spark, path, {f.name: f.dataType for f in fs.PRICES_SCHEMA.fields})
+    bad = bad.groupBy(F.split("record", ",")[0].alias("store_id")).agg(F.count(F.lit(1)).alias("n_rejected"))
+    return good.join(bad, "store_id", "full").select("store_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "cents", "n_rejected")])

@@ -3,6 +3,8 @@ functions, warehouse drawdown, KPIs and the comparison of ordering policies."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,36 +100,110 @@ def summary_kpis(daily: DataFrame, by: tuple = ()) -> DataFrame:
     return out.filter(F.col("n_days") > 0)
 
 
-def replay_ledger(events: DataFrame, initial: DataFrame, holding_cost: float = 1.0,
-                  stockout_penalty: float = 100.0) -> DataFrame:
-    """Open-loop stock ledger: arrivals are added before demand each day and
-    stock never goes below 0, inv_t = max(0, inv_{t-1} + a_t - d_t).
+def _with_stock(e: DataFrame, keys: list) -> DataFrame:
+    """``e (keys, day, demand, arrivals, inv0)``, one row per key and day, with
+    ``start_stock`` (before the day's arrivals), ``end_stock`` and ``stockout``.
 
-    Closed form with S_t = inv_0 + sum_{k<=t}(a_k - d_k) and
-    M_t = min(0, min_{k<=t} S_k): inv_t = S_t - M_t and
-    stockout_t = M_{t-1} - M_t. Three running windows on one sort per series
-    (bounded by the series' days), no loop. ``events``: store_id, item_id,
-    day, demand, arrivals (rows of a pair and day are summed); ``initial``:
-    store_id, item_id, qty (>= 0). Holding cost is charged on rows with demand."""
-    e = (events.groupBy(*KEYS, "day")
-               .agg(F.sum(F.coalesce(F.col("demand").cast("double"), F.lit(0.0))).alias("demand"),
-                    F.sum(F.coalesce(F.col("arrivals").cast("double"), F.lit(0.0))).alias("arrivals"),
-                    F.max(F.col("demand").isNotNull().cast("int")).alias("has_demand")))
-    inv0 = initial.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inv0"))
-    e = e.join(inv0, KEYS, "left").withColumn("inv0", F.coalesce("inv0", F.lit(0.0)))
-    w = Window.partitionBy(*KEYS).orderBy("day")
+    Closed form of inv_t = max(0, inv_{t-1} + a_t - d_t): with
+    S_t = inv_0 + sum_{k<=t}(a_k - d_k) and M_t = min(0, min_{k<=t} S_k),
+    inv_t = S_t - M_t and stockout_t = M_{t-1} - M_t. Running windows on one
+    sort per series (bounded by the series' days), no loop."""
+    w = Window.partitionBy(*keys).orderBy("day")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     e = e.withColumn("_s", F.col("inv0") + F.sum(F.col("arrivals") - F.col("demand")).over(run))
     e = e.withColumn("_m", F.least(F.lit(0.0), F.min("_s").over(run)))
     e = e.withColumn("_m_prev", F.coalesce(F.lag("_m", 1).over(w), F.lit(0.0)))
     e = e.withColumn("end_stock", F.col("_s") - F.col("_m"))
-    e = e.withColumn("stockout", F.col("_m_prev") - F.col("_m"))
+    e = e.withColumn("start_stock", F.coalesce(F.lag("end_stock", 1).over(w), F.col("inv0")))
+    return e.withColumn("stockout", F.col("_m_prev") - F.col("_m")).drop("_s", "_m", "_m_prev")
+
+
+def _first_stock(e: DataFrame, initial: DataFrame) -> DataFrame:
+    """``e`` with the series' initial stock ``inv0``, 0 where there is none."""
+    inv0 = initial.groupBy(*KEYS).agg(F.sum(F.col("qty").cast("double")).alias("inv0"))
+    return e.join(inv0, KEYS, "left").withColumn("inv0", F.coalesce("inv0", F.lit(0.0)))
+
+
+def replay_ledger(events: DataFrame, initial: DataFrame, holding_cost: float = 1.0,
+                  stockout_penalty: float = 100.0, extra_keys: tuple = ()) -> DataFrame:
+    """Open-loop stock ledger: arrivals are added before demand each day and
+    stock never goes below 0 (``_with_stock``). ``events``: store_id, item_id,
+    day, demand, arrivals (rows of a pair and day are summed); ``initial``:
+    store_id, item_id, qty (>= 0). ``extra_keys`` keep ledgers apart that start
+    from the same stock, one per policy for instance. Holding cost is charged
+    on rows with demand."""
+    keys = [*extra_keys, *KEYS]
+    e = (events.groupBy(*keys, "day")
+               .agg(F.sum(F.coalesce(F.col("demand").cast("double"), F.lit(0.0))).alias("demand"),
+                    F.sum(F.coalesce(F.col("arrivals").cast("double"), F.lit(0.0))).alias("arrivals"),
+                    F.max(F.col("demand").isNotNull().cast("int")).alias("has_demand")))
+    e = _with_stock(_first_stock(e, initial), keys)
     e = e.withColumn("sales", F.col("demand") - F.col("stockout"))
-    return e.select(*KEYS, "day", "demand", "arrivals", "sales", "stockout", "end_stock",
+    return e.select(*keys, "day", "demand", "arrivals", "sales", "stockout", "end_stock",
                     (F.col("end_stock") * F.lit(holding_cost) * F.col("has_demand")).alias("holding_cost"),
                     (F.col("stockout") * F.lit(stockout_penalty)).alias("stockout_penalty"))
 
 
+def open_positions(orders: DataFrame, demand: DataFrame, initial: DataFrame, horizon: int) -> DataFrame:
+    """What an ordering policy sees on the morning of every day 0 .. horizon - 1,
+    for every series: ``store_id, item_id, day, in_transit, stock, position``.
+
+    An order is in transit on the mornings after its day up to that of its
+    arrival day (it is added to the stock later that day; with lead time 0 it
+    never is). A sweep line: plus its quantity on the first such morning, minus
+    it after the last one, and a running sum over the series' days; no order is
+    repeated per day it is open. ``stock`` is what the ledger of ``demand`` and
+    the orders' arrivals leaves of ``initial`` the evening before.
+
+    ``orders``: store_id, item_id, day, qty, arrival_day; quantities that are
+    null or not positive are no orders. Orders from before day 0 count; arrivals
+    from before it are taken to be in ``initial``. A series is in the result if
+    any of the three tables names it. Everything is one aggregation per series
+    and day and windows on its partitioning."""
+    o = orders.select(*KEYS, F.col("day").cast("int").alias("day"), F.col("qty").cast("double").alias("qty"),
+                      F.col("arrival_day").cast("int").alias("arrival_day")).filter("qty > 0")
+    none = F.lit(0.0)
+    changes = o.select(*KEYS, F.explode(F.array(
+        F.struct(F.greatest(F.col("day") + 1, F.lit(0)).alias("day"), F.col("qty").alias("opened"), none.alias("arrivals")),
+        F.struct(F.greatest(F.col("arrival_day") + 1, F.lit(0)).alias("day"), (-F.col("qty")).alias("opened"), none.alias("arrivals")),
+        F.struct(F.col("arrival_day").alias("day"), none.alias("opened"), F.col("qty").alias("arrivals")))).alias("x"))
+    changes = changes.select(*KEYS, "x.day", "x.opened", "x.arrivals", none.alias("demand"))
+    asked = demand.select(*KEYS, F.col("day").cast("int").alias("day"), none.alias("opened"), none.alias("arrivals"),
+                          F.coalesce(_demand_col(demand).cast("double"), none).alias("demand"))
+    series = orders.select(*KEYS).union(demand.select(*KEYS)).union(initial.select(*KEYS)).distinct()
+    days = F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))) if horizon > 0 else F.explode(F.array().cast("array<int>"))
+    spine = series.select(*KEYS, days.alias("day"), none.alias("opened"), none.alias("arrivals"), none.alias("demand"))
+    rows = spine.unionByName(changes).unionByName(asked).filter((F.col("day") >= 0) & (F.col("day") < horizon))
+    e = rows.groupBy(*KEYS, "day").agg(*[F.sum(c).alias(c) for c in ("opened", "arrivals", "demand")])
+    e = _with_stock(_first_stock(e, initial), KEYS)
+    run = Window.partitionBy(*KEYS).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("in_transit", F.sum("opened").over(run))
+    return e.select(*KEYS, "day", "in_transit", F.col("start_stock").alias("stock"),
+                    (F.col("start_stock") + F.col("in_transit")).alias("position"))
+
+
+def policy_kpis(orders: DataFrame, demand: DataFrame, initial: DataFrame, policies: Sequence[str], horizon: int,
+                holding_cost: float = 1.0, stockout_penalty: float = 100.0) -> DataFrame:
+    """Policies by what their recorded orders would have led to: ``policy,
+    avg_fulfillment_rate, total_stockouts, total_stockout_penalty,
+    total_holding_cost, total_cost, n_days`` over days 0 .. horizon - 1.
+
+    ``orders``: policy, store_id, item_id, arrival_day, qty, as each policy
+    placed them. All policies face the same ``demand (store_id, item_id, day,
+    demand)`` and start from the same ``initial`` stock; one windowed ledger
+    keyed by policy and series serves all of them. Policies without orders have
+    a row too; orders of policies that are not named are left out."""
+    names = F.array(*[F.lit(p) for p in policies]).cast("array<string>")
+    asked = demand.select(F.explode(names).alias("policy"), *KEYS, "day", _demand_col(demand).cast("double").alias("demand"),
+                          F.lit(None).cast("double").alias("arrivals"))
+    came = orders.filter(F.col("policy").isin(list(policies)) & (F.col("qty") > 0)).select(
+        "policy", *KEYS, F.col("arrival_day").alias("day"), F.lit(None).cast("double").alias("demand"),
+        F.col("qty").cast("double").alias("arrivals"))
+    events = asked.unionByName(came).filter((F.col("day") >= 0) & (F.col("day") < horizon))
+    rows = replay_ledger(events, initial, holding_cost, stockout_penalty, ("policy",))
+    return summary_kpis(daily_kpis(rows, horizon, ("policy",)), ("policy",))
+
+
 def warehouse_drawdown(orders: DataFrame, warehouse: DataFrame) -> DataFrame:
     """Warehouse stock per item after each day's orders, floored at 0; items
     without warehouse stock are ignored. Also reports the cumulative shortfall.
