@@ -496,10 +496,10 @@ ORACLES["day_slice"] = with_prelude(_LEDGER, """
 SELECT store_id, item_id, day, demand FROM demand_daily WHERE day = (SELECT t FROM snap_day)""")
 
 
-def _dense_feature_query() -> str:
-    """Features over the dense grid (every series x every calendar day, 0
-    sales where none): the wide -> melt path."""
-    base = prelude().replace(
+def _dense_prelude() -> str:
+    """The shared prelude over the dense grid: every series x every calendar day,
+    0 sales where none."""
+    return prelude().replace(
         "joined AS (\n  SELECT s.id,",
         "dense AS (\n  SELECT s.id, s.item_id, s.dept_id, s.cat_id, s.store_id, s.state_id, c.d,\n"
         "    coalesce(sd.sales, 0.0) AS sales\n"
@@ -507,9 +507,13 @@ def _dense_feature_query() -> str:
         "  CROSS JOIN calendar c LEFT JOIN sales_daily sd ON sd.id = s.id AND sd.d = c.d),\n"
         "joined AS (\n  SELECT s.id,").replace("FROM sales_daily s LEFT JOIN calendar c ON s.d = c.d",
                                                  "FROM dense s LEFT JOIN calendar c ON s.d = c.d")
+
+
+def _dense_feature_query() -> str:
+    """Features over the dense grid: the wide -> melt path."""
     cols = KEYS + ["sales", "sell_price", "lag_7", "lag_28", "rolling_mean_7", "rolling_std_28",
                    "price_rel_mean", "price_change_pct", "snap_active", "event_type_encoded"]
-    return (f"WITH RECURSIVE{base},\n{_feature_ctes()}\n"
+    return (f"WITH RECURSIVE{_dense_prelude()},\n{_feature_ctes()}\n"
             f"SELECT {_cols(cols)} FROM featured WHERE n_obs >= {P.MIN_GROUP_ROWS}")
 
 
@@ -603,3 +607,55 @@ dk AS (
     coalesce(a.so, 0.0) AS stockouts, coalesce(a.sp, 0.0) AS stockout_penalty, coalesce(a.hc, 0.0) AS holding_cost,
     coalesce(a.hc, 0.0) + coalesce(a.sp, 0.0) AS total_cost
   FROM mornings m LEFT JOIN agg a ON m.policy = a.policy AND m.day = a.day)""", _summary("dk", "policy"))
+
+_LAST = f"cvf WHERE fold = {P.CV_SPLITS} AND role = 'test'"
+ORACLES["model_roundtrip"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS,
+    f"SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_diff, CAST(0 AS BIGINT) AS n_null FROM fm WHERE date IN (SELECT date FROM {_LAST})")
+ORACLES["training_job"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM + "," + _DATES + "," + _FOLDS,
+    "SELECT CAST((SELECT count(DISTINCT fold) FROM cvf) AS INT) AS n_folds, count(*) AS n_scored, count(*) AS n_predicted, TRUE AS measured FROM fm")
+ORACLES["gbt_training_check"] = ORACLES["cv_metrics"].replace(
+    "SELECT round(avg(rmse), 6) AS rmse, round(avg(wmape), 6) AS wmape, count(*) AS n_folds ",
+    "SELECT count(*) AS n_folds, round(avg(wmape), 6) AS wmape_average, TRUE AS trees_better, TRUE AS loss_falls ")
+
+_CODED = ("dept_id", "cat_id", "state_id")
+
+
+def _codes(column: str) -> str:
+    """Codes of the four stores' values: most frequent first, ties by name."""
+    stores = ", ".join(repr(x) for x in P.FILTER_STORES)
+    return f"""
+code_{column} AS (
+  SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS INT) AS code, CAST(count(*) OVER () AS INT) AS unseen
+  FROM (SELECT {column} AS v, count(*) AS n FROM fm WHERE store_id IN ({stores}) AND {column} IS NOT NULL GROUP BY 1))"""
+
+
+_NUMERIC = ["sell_price", "day_of_week", "month", "week_of_year", "day_of_month", "is_weekend", "quarter", "year", "has_event",
+            "event_type_encoded", "snap_active", *_NULL_COLS]
+ORACLES["feature_target_split"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM + "," + ",".join(_codes(c) for c in _CODED),
+    "SELECT store_id, item_id, date, round(sales, 6) AS target, "
+    + " + ".join(f"CAST({c} IS NULL AS INT)" for c in _NUMERIC) + " AS n_missing, "
+    + ", ".join(f"coalesce((SELECT code FROM code_{c} WHERE v = fm.{c}), (SELECT coalesce(max(unseen), 0) FROM code_{c})) AS {c}_code" for c in _CODED)
+    + " FROM fm")
+
+ORACLES["price_rel_mean_as_of"] = with_prelude("""
+per_day AS (SELECT item_id, date, sum(sell_price) AS s, count(sell_price) AS n FROM prepared GROUP BY item_id, date),
+before AS (
+  SELECT a.item_id, a.date, sum(b.s) / nullif(sum(b.n), 0) AS mean
+  FROM per_day a LEFT JOIN per_day b ON a.item_id = b.item_id AND b.date < a.date GROUP BY a.item_id, a.date)""", """
+SELECT p.store_id, p.item_id, p.date, round(p.sell_price, 6) AS sell_price, round(p.sell_price / nullif(b.mean, 0), 6) AS price_rel_mean
+FROM prepared p JOIN before b ON p.item_id = b.item_id AND p.date = b.date""")
+
+ORACLES["feature_job_report"] = with_prelude(
+    _feature_ctes() + ",\n" + _FM,
+    "SELECT (SELECT count(*) FROM featured) AS rows_in, (SELECT count(*) FROM featured) - count(*) AS rows_dropped, count(*) AS n_rows, "
+    + ", ".join(f"CAST(coalesce(sum(CAST({c} IS NULL AS BIGINT)), 0) AS BIGINT) AS null_{c}" for c in _NULL_COLS) + " FROM fm")
+
+ORACLES["feature_job_files"] = f"""WITH RECURSIVE{_dense_prelude()},
+{_feature_ctes()},
+bare AS (SELECT count(*) AS n FROM joined WHERE store_id = '{P.FILTER_STORES[0]}' AND sell_price IS NULL)
+SELECT store_id, count(*) AS n_rows, round(sum(sales), 6) AS total_sales, round(sum(lag_28), 6) AS total_lag_28,
+  CASE WHEN store_id = '{P.FILTER_STORES[0]}' THEN (SELECT n FROM bare) ELSE count(*) FILTER (sell_price IS NULL) END AS null_prices
+FROM featured WHERE n_obs >= {P.MIN_GROUP_ROWS} GROUP BY store_id"""

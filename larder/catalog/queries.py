@@ -8,6 +8,7 @@ the same name in ``larder.catalog.oracles``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,6 +115,13 @@ def q_price_rel_mean(spark, sf_dir):
     return round_doubles(df.select(*KEYS, "sell_price", "price_rel_mean"))
 
 
+@register("price_rel_mean_as_of")
+def q_price_rel_mean_as_of(spark, sf_dir):
+    """Price against the item's mean price on earlier days only."""
+    df = fe.price_rel_mean(prepared(spark, sf_dir), as_of=True)
+    return round_doubles(df.select(*KEYS, "sell_price", "price_rel_mean"))
+
+
 @register("price_change_pct_padded")
 def q_price_change_pct_padded(spark, sf_dir):
     """Prices padded forward without limit before the change is taken."""
@@ -168,6 +176,18 @@ def q_feature_null_counts(spark, sf_dir):
     return fe.feature_null_counts(feature_matrix(spark, sf_dir))
 
 
+@register("feature_job_report")
+def q_feature_job_report(spark, sf_dir):
+    """Rows in, dropped and out and NULLs per feature, as the feature write
+    itself counts them."""
+    from larder.plans.jobs import write_observed
+    from larder.sources.files import scratch_path, write_features
+    path = scratch_path(spark, "features")
+    done = write_observed(lambda seen: fe.add_all_features(prepared(spark, sf_dir), P.LAGS, P.WINDOWS, P.MIN_GROUP_ROWS, seen),
+                          lambda feats: write_features(feats, path))
+    return spark.createDataFrame([tuple(done.values())], ", ".join(f"{k} long" for k in done))
+
+
 @register("quality_checks")
 def q_quality_checks(spark, sf_dir):
     return round_doubles(fe.quality_checks(feature_matrix(spark, sf_dir)))
@@ -224,17 +244,87 @@ GBT_NUMERIC, GBT_CATEGORICAL = list(_JOB.numeric_features), list(_JOB.categorica
 GBT = dict(max_iter=_JOB.n_estimators, step_size=_JOB.learning_rate, seed=_JOB.seed)
 
 
+def _assembled(spark, sf_dir) -> DataFrame:
+    """The feature matrix with its numeric features as one vector, written once
+    to the checkpoint folder; folds, training and scoring read it from there."""
+    from larder.plans.lineage import cut_lineage
+    fm = feature_matrix(spark, sf_dir).select(*KEYS, "sales", "rolling_mean_28", *GBT_CATEGORICAL, *[
+        c for c in GBT_NUMERIC if c != "rolling_mean_28"])
+    return cut_lineage(fc.assemble_numeric(fm, GBT_NUMERIC).select(*KEYS, "sales", "rolling_mean_28", *GBT_CATEGORICAL, fc.NUMERIC_VECTOR))
+
+
+def _last_fold(spark, sf_dir, fm) -> tuple:
+    folds = _folds(spark, sf_dir, fm).filter(F.col("fold") == P.CV_SPLITS)
+    return tuple(fc.date_semi_join(fm, folds.filter(F.col("role") == role)) for role in ("train", "test"))
+
+
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
     """Fit on the train dates of the last fold, score its test dates."""
-    fm = feature_matrix(spark, sf_dir)
-    folds = _folds(spark, sf_dir, fm).filter(F.col("fold") == P.CV_SPLITS)
-    train = fc.date_semi_join(fm, folds.filter(F.col("role") == "train"))
-    test = fc.date_semi_join(fm, folds.filter(F.col("role") == "test"))
+    train, test = _last_fold(spark, sf_dir, _assembled(spark, sf_dir))
     model = fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, **GBT)
     return round_doubles(fc.predict(model, test, GBT_NUMERIC).select(*KEYS, "sales", "prediction"))
 
 
+# Trees of the queries that check saving, loading and jobs, not the forecast.
+FEW_TREES = 12
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Save and load a model in the shared folder: test rows scored by both."""
+    from larder.plans.jobs import reload_check
+    from larder.sources.files import scratch_path
+    train, test = _last_fold(spark, sf_dir, _assembled(spark, sf_dir))
+    model = fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, **{**GBT, "max_iter": FEW_TREES})
+    return reload_check(spark, model, scratch_path(spark, "model"), test, GBT_NUMERIC)
+
+
+@register("training_job")
+def q_training_job(spark, sf_dir):
+    """The training job from written features: folds evaluated, model saved,
+    every row scored by the loaded model."""
+    from larder.plans.jobs import training_job
+    from larder.sources.files import load_model, read_features, scratch_path, write_features
+    path = scratch_path(spark, "features")
+    write_features(feature_matrix(spark, sf_dir), path)
+    done = training_job(spark, path, scratch_path(spark, "model"), Params(n_estimators=FEW_TREES))
+    scored = fc.predict(load_model(done["model_path"]), read_features(spark, path), GBT_NUMERIC)
+    measured = F.lit(done["rmse"]).isNotNull() & (F.lit(done["wmape"]) > 0)
+    return scored.agg(F.lit(done["n_folds"]).alias("n_folds"), F.count(F.lit(1)).alias("n_scored"),
+                      F.sum((F.col("prediction") >= 0).cast("long")).alias("n_predicted"), F.max(measured).alias("measured"))
+
+
+@register("gbt_training_check")
+def q_gbt_training_check(spark, sf_dir):
+    """The trees against the moving average over the same folds, all trees of
+    the production setting: WMAPE of both, whether the trees are better, and
+    whether the loss on the training rows falls with every tree."""
+    fm = _assembled(spark, sf_dir)
+    folds = _folds(spark, sf_dir, fm)
+    trees = fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, **GBT).first()
+    average = fc.cv_average(fc.fold_metrics(fc.moving_average_forecast(fm, 28), folds))
+    train, _ = _last_fold(spark, sf_dir, fm)
+    losses = fc.training_losses(fc.train_model(train, GBT_NUMERIC, GBT_CATEGORICAL, **{**GBT, "max_iter": FEW_TREES}), train, GBT_NUMERIC)
+    falls = all(b < a for a, b in zip(losses, losses[1:], strict=False))
+    return average.select("n_folds", F.round("wmape", 6).alias("wmape_average"), (F.lit(trees["wmape"]) < F.col("wmape")).alias("trees_better"),
+                          F.lit(falls).alias("loss_falls"))
+
+
+@register("feature_target_split")
+def q_feature_target_split(spark, sf_dir):
+    """Target, category codes and missing numeric features per row. The codes are
+    fitted on the rows of four stores, so values of the others are unseen."""
+    fm = feature_matrix(spark, sf_dir)
+    fm = fm.select(*KEYS, "sales", *GBT_NUMERIC, *GBT_CATEGORICAL)
+    numeric, categorical = fc.feature_target_split(fm)
+    known = fm.filter(F.col("store_id").isin(list(P.FILTER_STORES)))
+    coded = fc.category_index(categorical).fit(known.select(*categorical)).transform(fm)
+    missing = sum((F.col(c).isNull().cast("int") for c in numeric), F.lit(0))
+    return round_doubles(coded.select(*KEYS, F.col("sales").alias("target"), missing.alias("n_missing"),
+                                      *[F.col(f"{c}__idx").cast("int").alias(f"{c}_code") for c in categorical]))
+
+
 @register("date_semi_join")
 def q_date_semi_join(spark, sf_dir):
     """Feature rows on the test dates of the last fold."""
@@ -245,14 +335,10 @@ def q_date_semi_join(spark, sf_dir):
 
 @register("gbt_cv_metrics")
 def q_gbt_cv_metrics(spark, sf_dir):
-    """Expanding-window CV of the tree model: one distributed fit per fold on
-    the feature matrix, written once to the checkpoint folder and re-read
-    by every fold."""
-    from larder.plans.lineage import cut_lineage
-    fm = cut_lineage(feature_matrix(spark, sf_dir).select(
-        "date", "store_id", "item_id", "sales", *GBT_NUMERIC, *GBT_CATEGORICAL))
-    folds = _folds(spark, sf_dir, fm)
-    return round_doubles(fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, **GBT))
+    """Expanding-window CV of the tree model: one distributed fit per fold, side
+    by side, on vectors written once."""
+    fm = _assembled(spark, sf_dir)
+    return round_doubles(fc.cross_validate(fm, _folds(spark, sf_dir, fm), GBT_NUMERIC, GBT_CATEGORICAL, **GBT))
 
 
 # -- allocation ---------------------------------------------------------------
@@ -476,3 +562,20 @@ def q_csv_rejects(spark, sf_dir):
     bad = fs.csv_rejects(spark, path, {f.name: f.dataType for f in fs.PRICES_SCHEMA.fields})
     bad = bad.groupBy(F.split("record", ",")[0].alias("store_id")).agg(F.count(F.lit(1)).alias("n_rejected"))
     return good.join(bad, "store_id", "full").select("store_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "cents", "n_rejected")])
+
+
+@register("feature_job_files")
+def q_feature_job_files(spark, sf_dir):
+    """The feature job from CSV files to Parquet files, then once more for one
+    store without price fill: only that store's partition changes."""
+    from larder.plans.jobs import feature_job
+    wide = dt.sales_wide(spark, sf_dir)
+    whole = wide.select(*[F.col(c).cast("int").alias(c) if c.startswith("d_") else F.col(c) for c in wide.columns])
+    paths = (_as_csv(spark, whole, "csv-sales"), _as_csv(spark, dt.calendar(spark, sf_dir), "csv-calendar"),
+             _as_csv(spark, dt.prices(spark, sf_dir), "csv-prices"), fs.scratch_path(spark, "features"))
+    params = Params(lag_days=P.LAGS, rolling_windows=P.WINDOWS, min_group_rows=P.MIN_GROUP_ROWS, price_ffill_limit=P.FFILL_LIMIT)
+    feature_job(spark, *paths, params)
+    feats = feature_job(spark, *paths, replace(params, price_ffill_limit=0, stores_filter=list(P.FILTER_STORES[:1])))
+    return round_doubles(feats.groupBy("store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("sales").alias("total_sales"), F.sum("lag_28").alias("total_lag_28"),
+        F.sum(F.col("sell_price").isNull().cast("long")).alias("null_prices")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from larder.functions.calendar import day_of_week
@@ -138,18 +138,27 @@ def log_price(df: DataFrame) -> DataFrame:
     return df.withColumn("log_price", F.log1p("sell_price"))
 
 
-def drop_sparse_groups(df: DataFrame, min_rows: int = 30, column: str = "sales") -> DataFrame:
+def drop_sparse_groups(df: DataFrame, min_rows: int = 30, column: str = "sales",
+                       observation: Observation | None = None) -> DataFrame:
     """Keep series with at least ``min_rows`` non-NULL ``column`` values. The
     count is a window on the series partitioning, shared with the other
-    series windows (no extra shuffle)."""
-    n = F.count(column).over(series_unordered())
-    return df.withColumn("_n", n).filter(F.col("_n") >= min_rows).drop("_n")
+    series windows (no extra shuffle).
 
+    An ``observation`` gets ``rows_in`` and ``rows_dropped`` from the job that
+    runs the plan. It looks at the rows after the count, in the stage that
+    writes them, where a task that runs again is counted once."""
+    df = df.withColumn("_n", F.count(column).over(series_unordered()))
+    sparse = F.col("_n") < min_rows
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows_in"),
+                        F.coalesce(F.sum(sparse.cast("long")), F.lit(0)).alias("rows_dropped"))
+    return df.filter(~sparse).drop("_n")
 
-def add_all_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS,
-                     windows: Sequence[int] = DEFAULT_WINDOWS, min_rows: int = 30) -> DataFrame:
+
+def add_all_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS, windows: Sequence[int] = DEFAULT_WINDOWS,
+                     min_rows: int = 30, observation: Observation | None = None) -> DataFrame:
     """The full feature step in the reference order: calendar, events, SNAP,
-    lags, rolling, price, then sparse-group removal."""
+    lags, rolling, price, then sparse-group removal (and its ``observation``)."""
     df = calendar_features(df)
     df = event_features(df)
     df = snap_features(df)
@@ -159,16 +168,25 @@ def add_all_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS,
     df = price_rel_mean(df)
     df = price_change_pct(df)
     df = log_price(df)
-    return drop_sparse_groups(df, min_rows)
+    return drop_sparse_groups(df, min_rows, observation=observation)
 
 
-def feature_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: total rows and NULL count per feature column."""
+def _null_counts(df: DataFrame, columns: Sequence[str] | None) -> list:
     if columns is None:
         columns = [c for c in df.columns if c.startswith(("lag_", "rolling_", "price_", "log_price"))]
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"null_{c}") for c in columns]
-    return df.agg(*aggs)
+    return [F.count(F.lit(1)).alias("n_rows"),
+            *[F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"null_{c}") for c in columns]]
+
+
+def feature_null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: total rows and NULL count per feature column, by a pass of its
+    own (``observe_null_counts`` takes them from the job's)."""
+    return df.agg(*_null_counts(df, columns))
+
+
+def observe_null_counts(df: DataFrame, observation: Observation, columns: Sequence[str] | None = None) -> DataFrame:
+    """``df``, whose ``feature_null_counts`` the ``observation`` gets from the job that runs it."""
+    return df.observe(observation, *_null_counts(df, columns))
 
 
 def quality_checks(df: DataFrame, keys: Sequence[str] = ("store_id", "item_id", "date"),

@@ -4,11 +4,15 @@ gradient-boosted-tree forecasts, RMSE / WMAPE per fold and their average."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions.numeric import clip_non_negative, safe_div
+from larder.plans.lineage import cut_lineage
+from larder.sources.files import scratch_path
 
 
 def distinct_dates(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -47,13 +51,7 @@ def fold_metrics(scored: DataFrame, folds: DataFrame, y: str = "sales", p: str =
     at 0. The test-role fold table has at most n_splits x horizon rows (both
     are parameters), so broadcasting it is bounded."""
     test = folds.filter(F.col("role") == "test").select("fold", "date")
-    j = scored.join(F.broadcast(test), "date")
-    pred = clip_non_negative(F.col(p))
-    err = F.col(y) - pred
-    return j.groupBy("fold").agg(
-        F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.when(F.sum(y) > 0, safe_div(F.sum(F.abs(err)), F.sum(y))).otherwise(F.lit(0.0)).alias("wmape"),
-        F.count(F.lit(1)).alias("n_test"))
+    return scored_metrics(scored.join(F.broadcast(test), "date"), y, p)
 
 
 def cv_average(per_fold: DataFrame) -> DataFrame:
@@ -81,69 +79,139 @@ def rmse(df: DataFrame, y: str, p: str) -> DataFrame:
 
 # -- gradient-boosted trees (Spark ML) ---------------------------------------
 
-def _prepare_ml(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    """Trees in Spark ML reject NaN/NULL in vectors: a NULL feature becomes
-    -1 plus a 0/1 ``<name>_missing`` indicator (no imputation of values)."""
+# Columns that are neither features nor categories.
+DROP_COLUMNS = ("date", "store_id", "item_id")
+NUMERIC_VECTOR = "numeric__vector"
+
+
+def feature_target_split(df: DataFrame, label: str = "sales", drop: Sequence[str] = DROP_COLUMNS) -> tuple:
+    """(numeric features, categorical features) of a feature table: every column
+    but the label and the keys, strings as categories. A column of a type that
+    trees cannot use (a date, an array) is an error."""
+    if label not in df.columns:
+        raise ValueError(f"no column {label}")
+    numeric, categorical = [], []
+    for f in df.schema.fields:
+        if f.name == label or f.name in drop:
+            continue
+        if isinstance(f.dataType, T.StringType):
+            categorical.append(f.name)
+        elif isinstance(f.dataType, (T.NumericType, T.BooleanType)):
+            numeric.append(f.name)
+        else:
+            raise ValueError(f"{f.name} is neither a number nor a category")
+    return numeric, categorical
+
+
+def category_index(categorical: Sequence[str]):
+    """Estimator of category codes ``<name>__idx``: 0 for the most frequent value
+    of the rows it is fitted on (ties by name); a value that these do not have,
+    or null, gets the one code after the last."""
+    from pyspark.ml.feature import StringIndexer
+    return StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__idx" for c in categorical], handleInvalid="keep",
+                         stringOrderType="frequencyDesc")
+
+
+def assemble_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """``df`` with its numeric features as one vector. Trees in Spark ML reject
+    NaN/NULL in vectors: a NULL feature becomes -1 plus a 0/1 indicator (no
+    imputation of values). A frame that has the vector stays as it is."""
+    from pyspark.ml.feature import VectorAssembler
+    if NUMERIC_VECTOR in df.columns:
+        return df
     cols = {}
     for c in numeric:
         cols[f"{c}__v"] = F.coalesce(F.col(c).cast("double"), F.lit(-1.0))
         cols[f"{c}__missing"] = F.col(c).isNull().cast("double")
-    return df.withColumns(cols)
+    inputs = [f"{c}__v" for c in numeric] + [f"{c}__missing" for c in numeric]
+    return VectorAssembler(inputCols=inputs, outputCol=NUMERIC_VECTOR).transform(df.withColumns(cols)).drop(*inputs)
 
 
-def gbt_pipeline(numeric: Sequence[str], categorical: Sequence[str], max_iter: int = 150,
-                 step_size: float = 0.05, seed: int = 42, max_depth: int = 5, label: str = "sales"):
+def gbt_pipeline(categorical: Sequence[str], max_iter: int = 150, step_size: float = 0.05, seed: int = 42,
+                 max_depth: int = 5, label: str = "sales"):
+    """Category codes, one feature vector, boosted trees. A row's place in the
+    growing tree is kept and checkpointed every few trees, so that lineage stays short."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
-
-    stages = []
-    idx_cols = [f"{c}__idx" for c in categorical]
-    if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx_cols,
-                                    handleInvalid="keep"))
-    inputs = [f"{c}__v" for c in numeric] + [f"{c}__missing" for c in numeric] + idx_cols
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter,
-                               stepSize=step_size, seed=seed, maxDepth=max_depth, maxBins=64))
-    return Pipeline(stages=stages)
+    index = [category_index(categorical)] if categorical else []
+    vector = VectorAssembler(inputCols=[NUMERIC_VECTOR, *[f"{c}__idx" for c in categorical]], outputCol="features")
+    trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size, seed=seed,
+                         maxDepth=max_depth, maxBins=64, cacheNodeIds=True, checkpointInterval=10)
+    return Pipeline(stages=[*index, vector, trees])
 
 
 def train_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **kw):
-    """Fit indexer + assembler + GBT on ``train``; returns a PipelineModel."""
-    return gbt_pipeline(numeric, categorical, **kw).fit(_prepare_ml(train, numeric))
+    """Fit category codes + vector + GBT on ``train``; returns a PipelineModel."""
+    return gbt_pipeline(categorical, **kw).fit(assemble_numeric(train, numeric))
 
 
 def predict(model, df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """Score rows; predictions clipped at 0; helper columns dropped."""
     if model is None:
         raise ValueError("model is not fitted")
-    scored = model.transform(_prepare_ml(df, numeric))
-    helper = [c for c in scored.columns if c.endswith(("__v", "__missing", "__idx")) or c == "features"]
+    scored = model.transform(assemble_numeric(df, numeric))
+    helper = [c for c in scored.columns if c.endswith("__idx") or c in ("features", NUMERIC_VECTOR)]
     return scored.withColumn("prediction", clip_non_negative(F.col("prediction"))).drop(*helper)
 
 
+def training_losses(model, df: DataFrame, numeric: Sequence[str]) -> list:
+    """Mean squared error on ``df`` after each tree; on the training rows it falls."""
+    from pyspark.ml import PipelineModel
+    trees = model.stages[-1]
+    rows = PipelineModel(model.stages[:-1]).transform(assemble_numeric(df, numeric))
+    return list(trees.evaluateEachIteration(rows.select("features", trees.getLabelCol()), "squared"))
+
+
+def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                parallel: int = 4, keep: Sequence[str] = ("store_id", "item_id", "date", "sales"), **kw) -> DataFrame | None:
+    """One fit per fold on its train dates, its test rows scored: ``fold``, the
+    columns ``keep``, ``prediction``. None without folds.
+
+    The numeric vectors are written once and read by every fold. The folds are
+    independent, so up to ``parallel`` of them are fitted side by side, each
+    from a thread of the driver in a scheduler pool of its own (pools share the
+    cluster evenly where ``spark.scheduler.mode`` is FAIR); a fit is distributed
+    and uses few tasks at a time, which leaves room for the others. Every fold
+    writes its scored rows to the shared folder; models are not kept."""
+    spark = df.sparkSession
+    ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
+    if not ids:
+        return None
+    wanted = list(dict.fromkeys([*keep, "date", "sales", *categorical]))
+    data = cut_lineage(assemble_numeric(df, numeric).select(*wanted, NUMERIC_VECTOR))
+    folds = cut_lineage(folds)
+    path = scratch_path(spark, "folds")
+
+    def one(fold: int) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{fold}")
+        dates = folds.filter(F.col("fold") == fold)
+        train = date_semi_join(data, dates.filter(F.col("role") == "train"))
+        test = date_semi_join(data, dates.filter(F.col("role") == "test"))
+        scored = predict(train_model(train, numeric, categorical, **kw), test, numeric)
+        scored.select(*keep, "prediction").write.parquet(f"{path}/fold={fold}")
+
+    with ThreadPoolExecutor(max(1, min(parallel, len(ids)))) as pool:
+        for done in [pool.submit(one, f) for f in ids]:
+            done.result()
+    return spark.read.parquet(path).select(F.col("fold").cast("int").alias("fold"), *keep, "prediction")
+
+
 def cross_validate(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                   **kw) -> DataFrame:
-    """One Spark ML fit per fold (distributed inside the fit; the loop runs
-    over the few fold numbers only), test scores unioned with a ``fold``
-    column, metrics by one aggregate -> (rmse, wmape, n_folds)."""
-    fold_ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
-    scored = None
-    for f in fold_ids:
-        fd = folds.filter(F.col("fold") == f)
-        train = date_semi_join(df, fd.filter(F.col("role") == "train"))
-        test = date_semi_join(df, fd.filter(F.col("role") == "test"))
-        model = train_model(train, numeric, categorical, **kw)
-        part = predict(model, test, numeric).select(F.lit(f).alias("fold"), "date", "sales", "prediction")
-        scored = part if scored is None else scored.unionByName(part)
+                   parallel: int = 4, **kw) -> DataFrame:
+    """Folds fitted side by side (``score_folds``), metrics by one aggregate over
+    all scored rows -> (rmse, wmape, n_folds), null without folds."""
+    scored = score_folds(df, folds, numeric, categorical, parallel, ("date", "sales"), **kw)
     if scored is None:
-        return df.limit(0).agg(F.avg(F.lit(None).cast("double")).alias("rmse"),
-                               F.avg(F.lit(None).cast("double")).alias("wmape"),
-                               F.count(F.lit(1)).alias("n_folds"))
-    err = F.col("sales") - F.col("prediction")
-    per_fold = scored.groupBy("fold").agg(
+        none = F.avg(F.lit(None).cast("double"))
+        return df.limit(0).agg(none.alias("rmse"), none.alias("wmape"), F.count(F.lit(1)).alias("n_folds"))
+    return cv_average(scored_metrics(scored))
+
+
+def scored_metrics(scored: DataFrame, y: str = "sales", p: str = "prediction") -> DataFrame:
+    """Per fold of scored rows: rmse, wmape, n_test; predictions clipped at 0."""
+    err = F.col(y) - clip_non_negative(F.col(p))
+    return scored.groupBy("fold").agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        F.when(F.sum("sales") > 0, safe_div(F.sum(F.abs(err)), F.sum("sales"))).otherwise(F.lit(0.0))
-        .alias("wmape"))
-    return cv_average(per_fold)
+        F.when(F.sum(y) > 0, safe_div(F.sum(F.abs(err)), F.sum(y))).otherwise(F.lit(0.0)).alias("wmape"),
+        F.count(F.lit(1)).alias("n_test"))

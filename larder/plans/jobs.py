@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from larder.operators import features as fe
 from larder.operators import forecast as fc
@@ -36,7 +37,8 @@ class Params:
     categorical_features: Sequence[str] = ("dept_id", "cat_id", "state_id")
 
 
-def build_features(wide: DataFrame, calendar: DataFrame, prices: DataFrame, params: Params) -> DataFrame:
+def build_features(wide: DataFrame, calendar: DataFrame, prices: DataFrame, params: Params,
+                   observation: Observation | None = None) -> DataFrame:
     """Wide sales -> long -> calendar -> prices + fill -> filters -> types ->
     features -> sparse-group removal. Store / item filters are applied right
     after the melt: they are on the series keys, so the result is the same and
@@ -49,29 +51,62 @@ def build_features(wide: DataFrame, calendar: DataFrame, prices: DataFrame, para
     long = cut_lineage(pr.filter_stores_items(pr.melt_sales(wide), params.stores_filter,
                                               params.items_filter))
     df = pr.prepare_long(long, calendar, prices, params.price_ffill_limit)
-    return fe.add_all_features(df, params.lag_days, params.rolling_windows, params.min_group_rows)
+    return fe.add_all_features(df, params.lag_days, params.rolling_windows, params.min_group_rows, observation)
+
+
+def write_observed(build, write) -> dict:
+    """Run a feature build and its write as one job and return the job's own
+    figures: ``rows_in``, ``rows_dropped``, ``n_rows`` and ``null_<feature>``.
+    ``build(observation)`` makes the frame, ``write(frame)`` stores it. No second
+    pass over the rows."""
+    dropped, nulls = Observation(), Observation()
+    write(fe.observe_null_counts(build(dropped), nulls))
+    return {**dropped.get, **nulls.get}
 
 
 def feature_job(spark: SparkSession, sales_path: str, calendar_path: str, prices_path: str,
-                output_path: str, params: Params | None = None) -> DataFrame:
-    """Read the three CSVs, build features, write Parquet partitioned by store."""
+                output_path: str, params: Params | None = None, report: dict | None = None) -> DataFrame:
+    """Read the three CSV sets, build features, write Parquet partitioned by
+    store. The inputs' files are looked up before any job runs.
+
+    Without filters the output is replaced. With a store filter only the stores
+    of this run are replaced, whole partitions at a time; with an item filter
+    their other items' rows are carried over. ``report`` receives the job's own
+    figures (``write_observed``)."""
     params = params or Params()
-    feats = build_features(files.read_sales_wide(spark, sales_path), files.read_calendar(spark, calendar_path),
-                           files.read_prices(spark, prices_path), params)
-    files.write_features(feats, output_path)
+    wide, calendar = files.read_sales_wide(spark, sales_path), files.read_calendar(spark, calendar_path)
+    prices = files.read_prices(spark, prices_path)
+    some = bool(params.stores_filter or params.items_filter)
+    others = _other_items(spark, output_path, params) if params.items_filter else None
+
+    def write(feats: DataFrame) -> None:
+        rows = feats if others is None else feats.unionByName(others, allowMissingColumns=True)
+        files.write_features(rows, output_path, replace="partitions" if some else "all")
+
+    figures = write_observed(lambda seen: build_features(wide, calendar, prices, params, seen), write)
+    if report is not None:
+        report.update(figures)
     return files.read_features(spark, output_path)
 
 
+def _other_items(spark: SparkSession, path: str, params: Params) -> DataFrame | None:
+    """What ``path`` holds of items outside the run's filter in the run's
+    stores, written elsewhere so that its partitions can be replaced."""
+    if not files.path_exists(spark, path):
+        return None
+    kept = pr.filter_stores_items(files.read_features(spark, path), params.stores_filter)
+    return cut_lineage(kept.filter(~F.col("item_id").isin(list(params.items_filter))))
+
+
 def training_job(spark: SparkSession, features_path: str, model_path: str, params: Params | None = None,
                  skip_cv: bool = False) -> dict:
     """Read features -> optional expanding-window CV -> fit on all -> save."""
     params = params or Params()
-    num = [c for c in params.numeric_features]
-    cat = list(params.categorical_features)
     feats = files.read_features(spark, features_path)
-    num = [c for c in num if c in feats.columns]
-    cat = [c for c in cat if c in feats.columns]
-    data = cut_lineage(feats.select("date", "store_id", "item_id", "sales", *num, *cat))
+    num = [c for c in params.numeric_features if c in feats.columns]
+    cat = [c for c in params.categorical_features if c in feats.columns]
+    data = fc.assemble_numeric(feats.select("date", "store_id", "item_id", "sales", *num, *cat), num)
+    data = cut_lineage(data.drop(*num))
     kw = dict(max_iter=params.n_estimators, step_size=params.learning_rate, seed=params.seed)
     result = {}
     if not skip_cv:
@@ -82,3 +117,16 @@ def training_job(spark: SparkSession, features_path: str, model_path: str, param
     files.save_model(model, model_path)
     result["model_path"] = model_path
     return result
+
+
+def reload_check(spark: SparkSession, model, model_path: str, rows: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """Save ``model``, load it again and score ``rows`` with both: ``n_scored,
+    n_diff, n_null`` (rows that differ, rows without a prediction)."""
+    files.save_model(model, model_path)
+    rows = fc.assemble_numeric(rows, numeric)
+    first = fc.predict(model, rows.withColumn("_vector", F.col(fc.NUMERIC_VECTOR)), numeric)
+    first = first.withColumnRenamed("prediction", "_first").withColumnRenamed("_vector", fc.NUMERIC_VECTOR)
+    both = fc.predict(files.load_model(model_path), first, numeric)
+    differ = ~F.col("prediction").eqNullSafe(F.col("_first"))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.coalesce(F.sum(differ.cast("long")), F.lit(0)).alias("n_diff"),
+                    F.coalesce(F.sum(F.col("prediction").isNull().cast("long")), F.lit(0)).alias("n_null"))

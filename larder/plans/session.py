@@ -23,6 +23,8 @@ _DEFAULTS = {
     # Each query checkpoints its daily fact table; let Spark delete those files
     # once the checkpointed data is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Folds of a cross-validation are fitted from threads, each in a pool of its own.
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -179,6 +179,12 @@ def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("sto
     df.write.mode("overwrite").option("partitionOverwriteMode", kind).partitionBy(*partition_by).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
 def read_features(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
