@@ -79,14 +79,17 @@ def feature_job(spark: SparkSession, sales_path: str, calendar_path: str, prices
     some = bool(params.stores_filter or params.items_filter)
     others = _other_items(spark, output_path, params) if params.items_filter else None
 
+    schema = []
+
     def write(feats: DataFrame) -> None:
         rows = feats if others is None else feats.unionByName(others, allowMissingColumns=True)
+        schema.append(rows.schema)
         files.write_features(rows, output_path, replace="partitions" if some else "all")
 
     figures = write_observed(lambda seen: build_features(wide, calendar, prices, params, seen), write)
     if report is not None:
         report.update(figures)
-    return files.read_features(spark, output_path)
+    return files.read_features(spark, output_path, schema=schema[0])
 
 
 def _other_items(spark: SparkSession, path: str, params: Params) -> DataFrame | None:

@@ -185,8 +185,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
 
 
-def read_features(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_features(spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Written features; with the ``schema`` they were written with, a folder
+    without any row can be read too, and store names that look like numbers stay text."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     return df.select(*columns) if columns else df
 
 
