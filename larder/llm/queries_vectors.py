@@ -12,10 +12,10 @@ def op6_embedding_neardup(spark, sf_dir):
 
 QUERIES = {"op6_embedding_neardup": op6_embedding_neardup}
 ORACLES = {"op6_embedding_neardup": """
-WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings),
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 u AS (
-  SELECT vec_id, v, sqrt(list_sum(list_transform(v, x -> x * x))) AS norm FROM v
-  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM v
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
     ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND a.norm > 0 AND b.norm > 0
