@@ -61,9 +61,12 @@ def cv_average(per_fold: DataFrame) -> DataFrame:
 
 
 def date_semi_join(df: DataFrame, dates: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows whose date is in ``dates`` (a train or test date list). The date
-    list has at most one row per calendar day, so it is broadcast."""
-    return df.join(F.broadcast(dates.select(date_col).distinct()), date_col, "left_semi")
+    """Rows whose date is in ``dates`` (a train or test date list). A list of
+    distinct DATEs has at most one row per day of the span, so it is broadcast;
+    a key of another type has no such bound and stays a plain join."""
+    listed = dates.select(date_col).distinct()
+    bounded = isinstance(listed.schema[date_col].dataType, T.DateType)
+    return df.join(F.broadcast(listed) if bounded else listed, date_col, "left_semi")
 
 
 def wmape(df: DataFrame, y: str, p: str) -> DataFrame:

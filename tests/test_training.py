@@ -155,3 +155,12 @@ def test_item_mean_without_look_ahead(spark):
     again = {(r.store_id, r.item_id, r.date.day): r.price_rel_mean for r in fe.price_rel_mean(later, as_of=True).filter("date < '2020-02-01'").collect()}
     assert again == got  # what comes later changes nothing
     assert fe.price_rel_mean(later).filter("date = '2020-01-01' AND store_id = 'S2'").first().price_rel_mean != 4.0 / 5.0
+
+
+def test_only_dates_are_broadcast(spark, feats):
+    day = F.unix_date("date").alias("date")
+    numbers = feats.select(day, "sales")
+    plans = [fc.date_semi_join(a, b)._jdf.queryExecution().optimizedPlan().toString() for a, b in (
+        (feats, feats.limit(3)), (numbers, numbers.limit(3)))]
+    assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
+    assert fc.date_semi_join(numbers, numbers.limit(1)).count() == 3
