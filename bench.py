@@ -26,7 +26,11 @@ HEADLINE = [
     "daily_kpis",
     "compare_policies",
     "warehouse_drawdown",
+    "open_positions",
+    "policy_kpis",
+    "read_prices_folder",
     "gbt_forecast",
+    "gbt_cv_metrics",
 ]
 
 
