@@ -29,22 +29,27 @@ from larder.llm.common import SPACE_REGEX, materialise, pick, positional
 class MixParams:
     """``targets``: weight per domain; where empty, present shares to the power
     ``smoothing``. ``total``: tokens wanted; by default the present total, or
-    with ``min_rate`` the least total that no domain has to be cut for.
+    with ``min_rate`` the least total that no domain has to be cut for and
+    ``headroom`` more: documents taken more often for one domain bring some
+    tokens of every other, also of the domain that sets the least total.
     ``min_rate``: lower bound of rates (0 or more). ``train_rows``: bound on the
     labelled ids that the classifier is fitted on, dealt evenly to the domains; ``markers``: words per
     domain that it looks at; ``max_domains``: at most; ``tolerance``: share of
     the total that a met target may be off; ``slack``: share of a target beyond
-    which missing it is an error."""
+    which missing it is an error; ``write_every``: rounds after which the rates
+    so far are written, so that a round's work does not grow with the rounds."""
     targets: Mapping[str, float] = field(default_factory=dict)
     smoothing: float = 0.7
     total: float | None = None
     min_rate: float = 0.0
+    headroom: float = 0.1
     train_rows: int = 4000
     markers: int = 128
     max_domains: int = 64
     tolerance: float = 1e-4
     slack: float = 0.05
     max_rounds: int = 60
+    write_every: int = 10
     seed: int = 7
 
 
@@ -136,13 +141,16 @@ def posteriors(df: DataFrame, text: str, domains, model, p: MixParams) -> DataFr
     return out.drop("mix_words", "mix_features", "mix_raw", "mix_prob", "mix_pred")
 
 
-def _rate(steps: list, low: float) -> Column:
-    """The rate after the gradient ``steps`` (one vector per round so far)."""
-    start = max(1.0, low)
+def _rate(steps: list, low: float, start: str | None = None) -> Column:
+    """The rate after the gradient ``steps`` (one vector per round so far),
+    from a start that is the same for all rows or a column. ``mix_posterior``
+    must be a stored column: Spark puts what a column is made from into the
+    lambda, which would make it anew for every step."""
+    start = start or f"{max(1.0, low)!r}D"
     if not steps:
-        return F.lit(start)
+        return F.expr(start)
     listed = ", ".join("array(" + ", ".join(f"{v!r}D" for v in g) + ")" for g in steps)
-    return F.expr(f"""aggregate(array({listed}), {start!r}D, (r, g) -> greatest({low!r}D, r - aggregate(
+    return F.expr(f"""aggregate(array({listed}), {start}, (r, g) -> greatest({low!r}D, r - aggregate(
         zip_with(mix_posterior, g, (x, y) -> x * y), 0.0D, (s, v) -> s + v)))""")
 
 
@@ -153,8 +161,8 @@ def fit_rates(scored: DataFrame, domains: list, p: MixParams) -> tuple:
     step of one is safe."""
     n = len(domains)
 
-    def tokens(rate: Column) -> list:
-        row = scored.agg(*[F.sum(F.col("mix_tokens") * rate * F.col("mix_posterior")[i]).alias(f"d{i}") for i in range(n)]).first()
+    def tokens(rate: Column, rows: DataFrame = scored) -> list:
+        row = rows.agg(*[F.sum(F.col("mix_tokens") * rate * F.col("mix_posterior")[i]).alias(f"d{i}") for i in range(n)]).first()
         return [float(v or 0.0) for v in row]
 
     present = tokens(F.lit(1.0)) if n else []
@@ -162,16 +170,20 @@ def fit_rates(scored: DataFrame, domains: list, p: MixParams) -> tuple:
         return [], {"domains": domains, "present": present, "wanted": present, "expected": present}
     weights = [p.targets.get(d, 0.0) for d in domains] if p.targets else [(c / sum(present)) ** p.smoothing for c in present]
     weights = [w / sum(weights) for w in weights]
-    total = p.total or (max(p.min_rate * c / w for c, w in zip(present, weights, strict=True) if w > 0)
+    total = p.total or ((1 + p.headroom) * max(p.min_rate * c / w for c, w in zip(present, weights, strict=True) if w > 0)
                         if p.min_rate > 0 else sum(present))
     wanted = [total * w for w in weights]
     steps: list = []
-    for _ in range(p.max_rounds):
-        got = tokens(_rate(steps, p.min_rate))
-        if max(abs(g - w) for g, w in zip(got, wanted, strict=True)) <= p.tolerance * total:
+    written, rows, start = 0, scored, None
+    for turn in range(p.max_rounds + 1):
+        got = tokens(_rate(steps[written:], p.min_rate, start), rows)
+        if turn == p.max_rounds or max(abs(g - w) for g, w in zip(got, wanted, strict=True)) <= p.tolerance * total:
             break
         steps.append([round((g - w) / c, 12) if c > 0 else 0.0 for g, w, c in zip(got, wanted, present, strict=True)])
-    return steps, {"domains": domains, "present": present, "wanted": wanted, "expected": tokens(_rate(steps, p.min_rate))}
+        if len(steps) - written >= p.write_every:
+            rows = materialise(rows.select("mix_tokens", "mix_posterior", _rate(steps[written:], p.min_rate, start).alias("mix_rate")), "mix-rates")
+            written, start = len(steps), "mix_rate"
+    return steps, {"domains": domains, "present": present, "wanted": wanted, "expected": got}
 
 
 def _fitted(scored: DataFrame, domains: list, p: MixParams) -> list:
@@ -222,13 +234,17 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, params: MixParams = MixPara
 def mix(docs: DataFrame, labels: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id",
         text_col: str = "text", domain_col: str = "lang") -> DataFrame:
     """``docs``, each row repeated (or left out) according to its rate; all
-    columns stay."""
+    columns stay.
+
+    Null ids, repeated rows, null and empty texts and missed targets as in
+    ``mixing_rates``; very long texts are one row as any other. The rows are
+    written once with their probabilities, so the classifier runs once; rates
+    and copies are then read off the written table."""
     p = params
     flat, at, restore = positional(docs)
     d = flat.select(F.col(at(id_col)).alias("doc_id"), F.col(at(text_col)).alias("text"), F.col(at(domain_col)).alias("domain"))
     domains, model = train_domains(d, _label_ids(labels), p)
-    thin = posteriors(d.select("text"), "text", domains, model, p).drop("text")
-    steps = _fitted(materialise(thin, "mix-scored"), domains, p)
-    out = posteriors(flat, at(text_col), domains, model, p).withColumn("rate", _rate(steps, p.min_rate))
-    out = out.withColumn("copies", _copies(at(id_col), p)).filter("copies > 0")
+    scored = materialise(posteriors(flat, at(text_col), domains, model, p), "mix-scored")
+    steps = _fitted(scored, domains, p)
+    out = scored.withColumn("rate", _rate(steps, p.min_rate)).withColumn("copies", _copies(at(id_col), p)).filter("copies > 0")
     return restore(out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))

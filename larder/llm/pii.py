@@ -209,15 +209,15 @@ def redact(docs: DataFrame, params: BootstrapParams = BootstrapParams(), text_co
            length_col: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by ``<KIND>`` in the text column and,
     where there is one, the column of lengths brought up to date. Overlapping
-    spans become one. Texts without spans, null ones too, stay as they are."""
+    spans become one. Texts without spans, null ones too, stay as they are, and
+    so do null ids, repeated rows and extra columns. The detectors run once:
+    rows are written with their spans and mentions, and cut from those."""
     flat, at, restore = positional(docs)
     text = at(text_col)
     key = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    thin = flat.select(F.col(text).alias("text"))
-    found = _mentions(base_spans(thin, "text"), "text", params).filter(F.size("mentions") > 0)
-    found = materialise(found.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_key"), "mentions"), "pii")
-    marked = base_spans(flat.withColumn("text_key", key), text)
-    marked = spread_join(marked, _extras(found, params), "text_key", "left")
+    marked = materialise(_mentions(base_spans(flat.withColumn("text_key", key), text), text, params), "pii")
+    extras = _extras(marked.filter(F.size("mentions") > 0).select("text_key", "mentions"), params)
+    marked = spread_join(marked.drop("mentions"), extras, "text_key", "left")
     spans = F.sort_array(F.concat(*[_tagged(k, f"b_{k}") for k in KINDS], _tagged(EXTRA, "more")))
     marked = marked.withColumn("more", F.coalesce("extra", F.array().cast("array<struct<s: int, e: int>>"))).withColumn("spans", spans)
     cut = f"""aggregate(spans, named_struct('p', 0, 'r', cast(array() AS array<string>)),
