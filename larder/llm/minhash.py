@@ -30,7 +30,9 @@ class MinMaxParams:
     percent; ``permutations``: hash evaluations (the signature has twice as
     many values); ``rows``: values per band. With 48 permutations and 4 rows,
     24 bands miss a pair at 0.85 with probability 2e-8, at 0.8 with 4e-6.
-    ``block_rows``, ``block_shingles``: sets and shingles of a block."""
+    ``block_rows``, ``block_shingles``: sets and shingles of a block;
+    ``filter_bits``: size of the filter of documents whose sets are compared
+    (a power of two, 32768 at least)."""
     shingle: int = 3
     percent: int = 85
     permutations: int = 48
@@ -38,6 +40,7 @@ class MinMaxParams:
     seed: int = 20240601
     block_rows: int = 512
     block_shingles: int = 200_000
+    filter_bits: int = 1 << 26
 
 
 _U = np.uint64
@@ -123,8 +126,31 @@ def _sets(docs: DataFrame, nodes: DataFrame, p: MinMaxParams) -> DataFrame:
                 sets = [shingle_hashes(t.as_py(), p.shingle).view(np.int64) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
 
-    wanted = docs.withColumnRenamed("rid", "node").join(nodes, "node", "left_semi").select("node", "text")
-    return materialise(wanted.mapInArrow(run, "node long, hashes array<long>"), "sets")
+    nodes = materialise(nodes, "wanted")
+    likely = _maybe_among(docs.withColumnRenamed("rid", "node").select("node", "text"), nodes, p.filter_bits)
+    return materialise(likely.join(nodes, "node", "left_semi").mapInArrow(run, "node long, hashes array<long>"), "sets")
+
+
+def _maybe_among(rows: DataFrame, nodes: DataFrame, bits: int) -> DataFrame:
+    """The ``rows (node, text)`` whose node may be among ``nodes``, by a filter
+    of hash bits: every node's bit is set, so none of them is lost, and most
+    other texts are not shuffled for the join that follows. The filter has a
+    fixed size, put together by task and then by block of 4 KB; with far more
+    nodes than bits it lets all rows through."""
+    place = F.pmod(F.xxhash64("node"), F.lit(bits)) + 1
+    blocks = nodes.select(place.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("map")).collect()
+    known = np.zeros((-(-bits // 32768), 4096), np.uint8)
+    for r in blocks:
+        known[r["block"] - 1] = np.frombuffer(bytes(r["map"]), np.uint8)
+    held = rows.sparkSession.sparkContext.broadcast(known.ravel())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy() - 1
+            yield batch.select(["node", "text"]).filter(pa.array((held.value[h >> 3] >> (h & 7)) & 1 == 1))
+
+    return rows.withColumn("h", place).mapInArrow(run, "node long, text string")
 
 
 def _shared(sets: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
