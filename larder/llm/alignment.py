@@ -34,14 +34,12 @@ from larder.llm.common import materialise, pick
 
 @dataclass(frozen=True)
 class AlignParams:
-    """``a``: path of a tokenizers JSON file (byte-level BPE without a
-    normaliser); ``pattern``: the pieces that it encodes one by one; ``b``: path
-    of a sentencepiece model; every executor can read both. ``kept_pieces``: A
-    pieces of at most 64 characters whose tokens a worker keeps."""
+    """``a``: path of a tokenizers JSON file: byte-level BPE without a
+    normaliser whose pieces ``pattern`` finds; ``b``: path of a sentencepiece
+    model. Every executor can read both."""
     a: str
     b: str
     pattern: str
-    kept_pieces: int = 1 << 17
 
 
 def default_params() -> AlignParams:
@@ -57,21 +55,44 @@ def _byte_of_char() -> dict:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def gallop(short: list, long: list) -> list:
+STRIDE = 16
+
+
+def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """For each of the rising numbers ``short``, how many of the rising numbers
-    ``long`` are smaller: from the last rank on steps that double, then a
-    binary search in the last step."""
-    ranks, rank, n = [], 0, len(long)
-    for x in short:
-        low = high = rank
-        step = 1
-        while high < n and long[high] < x:
-            low = high + 1
-            high += step
+    ``long`` are smaller: from an earlier rank on steps that double, then a
+    binary search in the last step. Every 16th number starts from the rank of
+    the one 16 before it; the numbers between start from that rank, all at once."""
+    n = len(long)
+    long_list, rank, starts = long.tolist(), 0, []
+    for x in short[::STRIDE].tolist():
+        low, step = rank, 1
+        while rank < n and long_list[rank] < x:
+            low = rank + 1
+            rank += step
             step += step
-        rank = bisect_left(long, x, low, min(high, n))
-        ranks.append(rank)
-    return ranks
+        if rank > low:
+            rank = bisect_left(long_list, x, low, min(rank, n))
+        starts.append(rank)
+    padded = np.append(long, np.iinfo(np.int64).max)
+    low = np.repeat(np.array(starts, np.int64), STRIDE)[:len(short)]
+    high, step = low.copy(), 1
+    todo = np.flatnonzero(padded[low] < short)
+    while len(todo):
+        at = high[todo]
+        low[todo] = at + 1
+        high[todo] = at = np.minimum(at + step, n)
+        step += step
+        todo = todo[padded[at] < short[todo]]
+    todo = np.flatnonzero(low < high)
+    while len(todo):
+        a, b = low[todo], high[todo]
+        middle = (a + b) >> 1
+        less = padded[middle] < short[todo]
+        low[todo] = a = np.where(less, middle + 1, a)
+        high[todo] = b = np.where(less, b, middle)
+        todo = todo[a < b]
+    return low
 
 
 @dataclass
@@ -94,54 +115,56 @@ def meet(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple:
     Both lists rise strictly and end alike."""
     swap = len(b_ends) < len(a_ends)
     short, long = (b_ends, a_ends) if swap else (a_ends, b_ends)
-    ranks = np.array(gallop(short.tolist(), long.tolist()), np.int64)
+    ranks = gallop(short, long)
     both = long[np.minimum(ranks, max(0, len(long) - 1))] == short if len(long) else np.zeros(0, bool)
     first = np.concatenate([[0], ranks[:-1] + both[:-1]]).astype(np.int64)[:len(ranks)]
     at, other = np.flatnonzero(both), ranks[both]
     return (other, at, "b", first, ranks) if swap else (at, other, "a", first, ranks)
 
 
-class _Pieces(dict):
-    """A's ids (as bytes) by piece; a full table starts anew."""
-
-    def __init__(self, encode, limit: int):
-        super().__init__()
-        self.encode, self.limit = encode, limit
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 class Tokenizers:
     """Both tokenizers and the numbered pairs of ids whose tokens can end together."""
 
     def __init__(self, p: AlignParams):
-        import regex
         import sentencepiece
-        from tokenizers import Tokenizer
-        a = Tokenizer.from_file(p.a)
-        a.no_padding()
-        a.no_truncation()
-        a.encode_special_tokens = True
-        self.pieces, self.pattern = _Pieces(a.encode, p.kept_pieces), regex.compile(p.pattern)
         self.b = sentencepiece.SentencePieceProcessor(model_file=p.b)
-        chars = _byte_of_char()
-        with open(p.a, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes(chars[c] for c in token)
+        self._load_a(p)
         self.b_bytes = [self._b_bytes(i) for i in range(self.b.get_piece_size())]
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         self.width = len(self.b_bytes)
         self.pairs = self._pairs()
         self.pair_b = self.pairs % self.width
+        # A token's text in a list of groups: A tokens, those that end a group, then the same of B.
+        a, b = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(self.width)]
+        self.shown = [x.encode() for x in [*[i + "," for i in a], *[i + "|" for i in a], *[i + "," for i in b], *[i + ";" for i in b]]]
+
+    def _load_a(self, p: AlignParams) -> None:
+        """A's token bytes, and a function from a text to its ids. Where the ids
+        follow the merges, as is usual, the vocabulary is a table of ranks and a
+        faster library merges by it; else the file's own library does."""
+        chars = _byte_of_char()
+        with open(p.a, encoding="utf-8") as f:
+            file = json.load(f)
+        vocabulary = {bytes(chars[c] for c in token): i for token, i in file["model"]["vocab"].items()}
+        self.a_bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = token
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in file["model"]["merges"]]
+        merged = [bytes(chars[c] for c in x + y) for x, y in pairs]
+        order = [vocabulary[x] for x in merged]
+        ranks = {x: vocabulary[x] for x in [*(bytes([k]) for k in range(256)), *merged] if x in vocabulary}
+        if file.get("normalizer") is None and order == sorted(set(order)) and len(ranks) == 256 + len(merged):
+            import tiktoken
+            a = tiktoken.Encoding("a", pat_str=p.pattern, mergeable_ranks=ranks, special_tokens={})
+            self.a_ids, self.lossless = a.encode_ordinary, True  # every byte is a token, and nothing is normalised
+        else:
+            from tokenizers import Tokenizer
+            a = Tokenizer.from_file(p.a)
+            a.no_padding()
+            a.no_truncation()
+            a.encode_special_tokens = True
+            self.a_ids, self.lossless = lambda text: a.encode(text, add_special_tokens=False).ids, False
 
     def _b_bytes(self, i: int) -> bytes:
         if self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_unused(i):
@@ -173,13 +196,25 @@ class Tokenizers:
         if not text:
             return None
         whole = " " + text
-        data = whole.encode("utf-8", "replace")
-        a = np.frombuffer(b"".join(map(self.pieces.__getitem__, self.pattern.findall(whole))), "<u4").astype(np.int64)
-        b = np.array(self.b.encode(text), np.int64)
-        if (b"".join(map(self.a_bytes.__getitem__, a.tolist())) != data or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != data
-                or not self.a_sizes[a].all() or not self.b_sizes[b].all()):
+        a, b, data = self.a_ids(whole), self.b.encode(text), whole.encode("utf-8", "replace")
+        if b"".join(map(self.b_bytes.__getitem__, b)) != data or not (self.lossless or b"".join(map(self.a_bytes.__getitem__, a)) == data):
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        sizes_a, sizes_b = self.a_sizes[a], self.b_sizes[b]
+        if not (sizes_a.all() and sizes_b.all()):
             return None
-        return Aligned(a, b, *meet(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])))
+        return Aligned(a, b, *meet(np.cumsum(sizes_a), np.cumsum(sizes_b)))
+
+    def group_text(self, x: Aligned) -> bytes:
+        """``a1,a2|b1;a3|b2,b3``: every token's text with what follows it, in the
+        order of the groups, A before B."""
+        na, nb = np.diff(x.group_a, prepend=-1), np.diff(x.group_b, prepend=-1)
+        out = np.empty(len(x.a) + len(x.b), np.int64)
+        ends_a, ends_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
+        ends_a[x.group_a] = ends_b[x.group_b] = 1
+        out[np.arange(len(x.a)) + np.repeat(np.cumsum(nb) - nb, na)] = x.a + ends_a * len(self.a_bytes)
+        out[np.arange(len(x.b)) + np.repeat(np.cumsum(na), nb)] = 2 * len(self.a_bytes) + x.b + ends_b * self.width
+        return b"".join(map(self.shown.__getitem__, out.tolist()))[:-1]
 
     def linked(self, x: Aligned) -> tuple:
         """Numbers of the distinct linked pairs and how often each is linked."""
@@ -197,15 +232,6 @@ def _tokenizers(p: AlignParams) -> Tokenizers:
     return _LOADED[p]
 
 
-def _group_text(x: Aligned) -> str:
-    a, b = list(map(str, x.a.tolist())), list(map(str, x.b.tolist()))
-    out, i, j = [], 0, 0
-    for m, n in zip((x.group_a + 1).tolist(), (x.group_b + 1).tolist(), strict=True):
-        out.append(f"{a[i]}|{b[j]}" if m - i == 1 == n - j else ",".join(a[i:m]) + "|" + ",".join(b[j:n]))
-        i, j = m, n
-    return ";".join(out)
-
-
 def _rows(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(0, b.num_rows, size):
@@ -257,7 +283,7 @@ def _aligned(d: DataFrame, p: AlignParams) -> DataFrame:
                     continue
                 k, n = both.linked(x)
                 figures.append((len(x.a), len(x.b), len(x.group_a), int(n.sum()), int((x.last - x.first + 1).sum())))
-                digest.append(hashlib.sha256(_group_text(x).encode()).hexdigest())
+                digest.append(hashlib.sha256(both.group_text(x)).hexdigest())
                 pairs.append(k.tobytes())
                 times.append(n.tobytes())
             numbers = [pa.array(x, pa.int64()) for x in zip(*figures, strict=True)]
