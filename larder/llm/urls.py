@@ -1,16 +1,20 @@
 """URL filters: fixed host and path rules, and association rules mined from labels.
 
 Tokens frequent enough with bad labels are kept first; those that are rules by
-themselves are done, and Spark's FP-growth finds combinations of the others.
-Rules pruned by support and confidence are matched through an inverted index
-from token to rule. Everything is DataFrame expressions and Spark ML.
+themselves are done. Combinations of the others grow token by token from
+projected baskets, the conditional baskets of FP-growth: what a basket holds
+after a prefix is all that the prefix can grow by. A prefix grows only while it
+is frequent with bad labels and no rule yet, and to ``max_tokens`` at most.
+(Spark's own FP-growth has no bound on the length: a bad directory of k segments
+that often stand together makes it list 2^k combinations.) Rules pruned by
+support and confidence are matched through an inverted index from token to
+rule. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +22,6 @@ from larder.llm.common import materialise, pick, spread_join
 
 # Verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-BAD = "label:bad"
 
 
 @dataclass(frozen=True)
@@ -26,7 +29,8 @@ class UrlParams:
     """``rules``: (verdict, host, path), a short list; ``support``: least share
     of labelled URLs that hold a rule's tokens and a bad label; ``confidence``:
     least share of bad ones among those with its tokens; ``max_tokens``: tokens
-    of a rule; ``train_rows``: bound on the labelled URLs that are mined.
+    of a rule; ``train_rows``: bound on the labelled ids whose URLs are mined;
+    ``rows_per_id``: URLs of one id among them.
 
     Every host label, path segment and query part is a token. What bounds the
     rules is pruning: a token of a rule is frequent with bad labels by itself,
@@ -37,6 +41,7 @@ class UrlParams:
     confidence: float = 0.9
     max_tokens: int = 3
     train_rows: int = 20000
+    rows_per_id: int = 4
     seed: int = 7
 
 
@@ -82,11 +87,13 @@ def fixed_rule(host: Column, path: Column, rules) -> tuple:
 
 
 def mine_rules(labelled: DataFrame, p: UrlParams) -> DataFrame:
-    """``rule_id, slot, token`` from ``labelled (tokens, bad)``: a URL meets a
-    rule with a token for each of its ``needs`` slots."""
+    """``rule_id, slot, token, needs`` from ``labelled (tokens, bad)``, whose rows
+    the caller bounds: a URL meets a rule with a token for each of its ``needs``
+    slots. Of two rules of which one holds the other only the shorter is kept;
+    both block the same URLs."""
     spark = labelled.sparkSession
     empty = "rule_id string, slot string, token string, needs int"
-    rows = labelled.filter(F.size("tokens") > 0).limit(p.train_rows).withColumn("row", F.monotonically_increasing_id())
+    rows = labelled.filter(F.size("tokens") > 0).withColumn("row", F.monotonically_increasing_id())
     rows = materialise(rows, "url-baskets")
     n = rows.count()
     least = p.support * n
@@ -102,17 +109,37 @@ def mine_rules(labelled: DataFrame, p: UrlParams) -> DataFrame:
     # Tokens of the same rows stand for each other; one in every row tells nothing.
     group = single.filter(~sure & (F.col("all") < n)).withColumn("slot", F.min("token").over(Window.partitionBy("all", "x", "y")))
     group = materialise(group.select("slot", "token"), "url-groups")
-    kept = each.join(group, "token").groupBy("row").agg(F.collect_set("slot").alias("slots"))
-    items = F.concat(F.coalesce("slots", F.array().cast("array<string>")), F.when(F.col("bad"), F.array(F.lit(BAD)))
-                     .otherwise(F.array().cast("array<string>")))
-    baskets = materialise(rows.select("row", "bad").join(kept, "row", "left").select(items.alias("items")), "url-items")
-    found = FPGrowth(itemsCol="items", minSupport=p.support, minConfidence=p.confidence).fit(baskets).associationRules
-    found = found.filter((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= p.max_tokens))
-    found = found.select(F.array_join(F.sort_array("antecedent"), " ").alias("rule_id"), F.size("antecedent").alias("needs"),
-                         F.explode("antecedent").alias("slot"))
+    kept = each.join(group, "token").groupBy("row", "bad").agg(F.sort_array(F.collect_set("slot")).alias("later"))
+    found = _grown(kept, least, p).select("rule_id", F.size("slots").alias("needs"), F.explode("slots").alias("slot"))
     return materialise(alone.unionByName(found.join(group, "slot").select("rule_id", "slot", "token", "needs")), "url-rules")
 
 
+def _grown(baskets: DataFrame, least: float, p: UrlParams) -> DataFrame:
+    """``rule_id, slots`` of the shortest rules of two to ``max_tokens`` slots,
+    from ``baskets (row, bad, later)`` with sorted slots, none a rule alone.
+
+    A round appends to every prefix each slot that its projected basket still
+    holds. A basket of s slots makes at most s^k / k! rows for k slots, fewer
+    by the prefixes that are rare or rules already."""
+    spark = baskets.sparkSession
+    rules = spark.createDataFrame([], "rule_id string, slots array<string>")
+    rest = F.slice("later", F.col("at") + 2, F.greatest(F.size("later"), F.lit(1))).alias("later")
+    grown = baskets.select("bad", F.array().cast("array<string>").alias("slots"), "later")
+    for length in range(1, p.max_tokens + 1):
+        grown = grown.select("bad", "slots", "later", F.posexplode("later").alias("at", "slot")).select(
+            "bad", F.concat("slots", F.array("slot")).alias("slots"), rest)
+        grown = materialise(grown, "url-grown") if length < p.max_tokens else grown  # the last is only counted
+        count = grown.groupBy("slots").agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("bad").cast("long")).alias("hits"))
+        count = materialise(count.filter((F.col("hits") >= least) & (F.col("hits") > 0)), "url-counts")
+        sure = F.col("hits") >= p.confidence * F.col("all")
+        if length > 1:
+            rules = rules.unionByName(count.filter(sure).select(F.array_join("slots", " ").alias("rule_id"), "slots"))
+        if length < p.max_tokens:
+            open_ends = count.filter(~sure) if length > 1 else count
+            grown = spread_join(grown.filter(F.size("later") > 0), open_ends.select("slots"), "slots").select("bad", "slots", "later")
+    return rules
+
+
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``rid`` of the ``urls (rid, tokens)`` that hold all tokens of a rule."""
     each = urls.select("rid", F.explode("tokens").alias("token"))
@@ -136,12 +163,14 @@ def judge_urls(pages: DataFrame, labels: DataFrame, params: UrlParams = UrlParam
     host, path = host_path(url)
     d = d.select("rid", "page_id", host.alias("host"), path.alias("path"), "url")
     rule, verdict = fixed_rule(F.col("host"), F.col("path"), p.rules)
-    d = materialise(d.select("rid", "page_id", "host", "path", rule.alias("rule"), verdict.alias("given"),
+    d = materialise(d.select("rid", "page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("given"),
                              url_tokens(url, F.col("host"), F.col("path")).alias("tokens")), "urls")
     bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
     known = pick(labels, page_id="doc_id", quality="quality", toxic="toxic").filter(F.col("page_id").isNotNull())
     known = known.groupBy("page_id").agg(F.max(bad).alias("bad")).orderBy(F.xxhash64("page_id", F.lit(p.seed)), "page_id")
-    rules = mine_rules(d.join(F.broadcast(known.limit(p.train_rows)), "page_id").select("tokens", "bad"), p)
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy(F.xxhash64("tokens", F.lit(p.seed)), "url", "rid"))
+    labelled = d.join(F.broadcast(known.limit(p.train_rows)), "page_id").withColumn("place", place)
+    rules = mine_rules(labelled.filter(F.col("place") <= p.rows_per_id).select("tokens", "bad"), p)
     hits = matched(d.filter(F.col("given").isNull()), rules).withColumn("hit", F.lit("block"))
     return d.drop("tokens").join(hits, "rid", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("given", "hit", F.lit("allow")).alias("verdict"))
