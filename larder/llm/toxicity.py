@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import materialise, pick, positional
@@ -25,12 +25,13 @@ class ChainParams:
     """``categories``: (name, SQL condition over the labels' columns) in chain
     order; ``verdict``: the category that decides; ``threshold``: its least
     probability; ``train_rows``: bound on the labelled rows of each class of the
-    verdict that the models are fitted on, weighted to the classes' shares of all labels; ``vocabulary``: most words
-    looked at; ``evidence``: least standard errors of a word; ``folds``: for out-of-fold predictions."""
+    verdict that the models are fitted on, weighted to the classes' shares of all labels; ``rows_per_id``: most
+    documents of one labelled id among them; ``vocabulary``: most words looked at; ``evidence``: least standard errors of a word; ``folds``: for out-of-fold predictions."""
     categories: tuple = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
     verdict: str = "toxic"
     threshold: float = 0.5
     train_rows: int = 3000
+    rows_per_id: int = 4
     vocabulary: int = 1024
     evidence: float = 3.0
     folds: int = 3
@@ -98,10 +99,15 @@ def train_chain(docs: DataFrame, labels: DataFrame, p: ChainParams) -> tuple:
     sizes = {r[0]: r[1] for r in marked.groupBy(p.verdict).count().collect()}  # a sampled row stands for this many of its class
     share = [sizes.get(v, 0) / max(1, min(sizes.get(v, 0), p.train_rows)) for v in (0.0, 1.0)]
     marked = marked.withColumn("share", F.when(F.col(p.verdict) == 1.0, F.lit(share[1])).otherwise(F.lit(share[0])))
-    ids = reduce(DataFrame.union, [marked.filter(F.col(p.verdict) == v).orderBy(*order).limit(p.train_rows) for v in (0.0, 1.0)])
-    rows = docs.join(F.broadcast(ids), "doc_id").limit(4 * p.train_rows)  # repeated ids cannot outgrow the bound
+    # A threshold on the hash leaves enough ids for the sample, and a bounded number of them at any size.
+    u = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / float(1 << 30)
+    likely = lambda v: min(1.0, (2 * p.train_rows + 64) / max(1, sizes.get(v, 0)))
+    ids = reduce(DataFrame.union, [marked.filter((F.col(p.verdict) == v) & (u < likely(v))).orderBy(*order).limit(p.train_rows) for v in (0.0, 1.0)])
     fold = F.pmod(F.xxhash64("doc_id", F.lit(p.seed + 1)), F.lit(p.folds)).alias("fold")
-    rows = materialise(rows.select(*[n for n, _ in p.categories], "share", fold, _words(F.col("text")).alias("words")).repartition(4), "chain-rows")
+    # Repeated ids cannot outgrow the bound: at most a few rows of each, ranked where they are before they are moved.
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text", F.lit(p.seed)), "text"))
+    rows = docs.join(F.broadcast(ids), "doc_id").withColumn("place", place).filter(F.col("place") <= p.rows_per_id)
+    rows = materialise(rows.select(*[n for n, _ in p.categories], "share", fold, _words(F.col("text")).alias("words")), "chain-rows")
     words = _vocabulary(rows, p)
     rows = materialise(_held(rows, words), "chain-train")
     links: list = []
