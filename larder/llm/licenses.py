@@ -76,12 +76,14 @@ _STOP = re.compile(r"(?<=[.!?;:])\s+(?=[^\W\da-z])")
 @dataclass(frozen=True)
 class LicenseParams:
     """``sample_documents``: bound on the documents whose paragraphs the unknown
-    class is fitted and calibrated on; ``sample_paragraphs``: at most from each;
+    class is fitted and calibrated on; ``sample_paragraphs``: at most from each,
+    of at most ``sample_chars`` characters;
     ``false_positives``: share of held-out unknown paragraphs that may pass;
     ``least``: lower bound of the threshold; ``overlap``: least share of n-grams
     in common with a template."""
     sample_documents: int = 400
     sample_paragraphs: int = 10
+    sample_chars: int = 2000
     false_positives: float = 0.001
     least: float = 0.5
     overlap: float = 0.6
@@ -163,9 +165,16 @@ class LicenseModel:
 
 
 def _sampled(docs: DataFrame, p: LicenseParams) -> list:
-    """Paragraphs of a bounded sample of documents, without likely licences."""
-    d = docs.filter(F.length("text") > 0).orderBy(F.xxhash64("text", F.lit(p.seed))).limit(p.sample_documents)
-    lines = d.select(F.slice(F.shuffle(F.split("text", "\n"), F.lit(p.seed)), 1, p.sample_paragraphs).alias("x")).collect()
+    """Paragraphs of a bounded sample of documents, without likely licences.
+    Rows are drawn by a hash with a threshold from their number, and what moves
+    are a few paragraphs of each, not its text."""
+    held = docs.select("doc_id", "text").filter(F.length("text") > 0)
+    key = F.xxhash64("doc_id", "text", F.lit(p.seed))
+    likely = min(1.0, (8 * p.sample_documents + 64) / max(1, docs.count()))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) <= p.sample_chars)
+    drawn = held.withColumn("key", key).filter(F.pmod("key", F.lit(1 << 30)) / float(1 << 30) < likely)
+    drawn = drawn.select("key", F.slice(F.shuffle(lines, F.lit(p.seed)), 1, p.sample_paragraphs).alias("x"))
+    lines = drawn.orderBy("key").limit(p.sample_documents).select("x").collect()
     shapes = [_grams(_tokens(x)) for xs in templates().values() for x in xs]
     out = []
     for row in lines:
