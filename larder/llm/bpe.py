@@ -228,15 +228,17 @@ def encode(docs: DataFrame, params: BpeParams | None = None, id_col: str = "doc_
 
 def decode(encoded: DataFrame, params: BpeParams | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``doc_id, text``: the pieces of the ids joined with spaces, special
-    pieces included. Null or no ids decode to the empty text. The table of
-    pieces is the tokenizer's vocabulary, whose size is fixed."""
+    pieces included. Null or no ids decode to the empty text; ids that the
+    vocabulary does not have, negative ones too, are left out as the library
+    leaves them out. The table of pieces is the tokenizer's vocabulary, whose
+    size is fixed."""
     p = params or default_params()
     d = pick(encoded, doc_id=id_col, ids=ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _tokenizer(p.tokenizer)[1]
         for b in batches:
-            text = [" ".join([pieces[i] for i in x if i is not None]) if x else "" for x in b.column("ids").to_pylist()]
+            text = [" ".join([pieces[i] for i in x if i is not None and 0 <= i < len(pieces)]) if x else "" for x in b.column("ids").to_pylist()]
             yield pa.record_batch([b.column("doc_id"), pa.array(text, pa.string())], names=["doc_id", "text"])
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, text string")

@@ -59,8 +59,8 @@ def digest(payload: bytes) -> str:
 
 
 def _record(page_id, url, payload: bytes, refers, p: WarcParams) -> bytes:
-    name = "null" if page_id is None else str(page_id)
-    lines = [f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: <urn:page:{quote(name)}>",
+    name = "urn:page" if page_id is None else f"urn:page:{quote(str(page_id))}"  # no id is another name than any id
+    lines = [f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: <{name}>",
              f"WARC-Date: {p.date}", f"WARC-Payload-Digest: sha1:{digest(payload)}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~%"))
@@ -207,8 +207,9 @@ def parse(data: bytes) -> dict:
 
 
 def _name(value):
-    name = unquote(value.strip("<>").removeprefix("urn:page:")) if value else None
-    return None if name in (None, "null") else name
+    """The id in a record's name: null for a record without one, and for other archives' names the name."""
+    name = value.strip("<>") if value else "urn:page"
+    return None if name == "urn:page" else unquote(name.removeprefix("urn:page:"))
 
 
 def read_warc(files: DataFrame, params: WarcParams = WarcParams()) -> DataFrame:

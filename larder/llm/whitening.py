@@ -35,7 +35,7 @@ class WhitenParams:
     scale: int = 1024
     offset: int = 100_000
     components: int = 8
-    max_dimensions: int = 4096
+    max_dimensions: int = 2048
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,10 @@ def _total(x: np.ndarray) -> list:
 
 
 def _added(parts: DataFrame, *keys: str) -> dict:
-    """Exact totals of ``part`` by key; bounded by the dimensions, not by rows."""
-    rows = parts.groupBy(*keys).agg(F.sum("part").alias("part")).collect()
-    return {tuple(r[k] for k in keys): int(r["part"]) for r in rows}
+    """Exact totals of ``part`` by key; bounded by the dimensions, not by rows.
+    A task sends one row a key, and these are summed by key."""
+    rows = parts.groupBy(*keys).agg(F.sum("part").alias("part")).toArrow().to_pydict()
+    return dict(zip(zip(*[rows[k] for k in keys], strict=True), map(int, rows["part"]), strict=True))
 
 
 def _sums(d: DataFrame, width: int, p: WhitenParams) -> list:

@@ -36,6 +36,11 @@ def test_segment_tree_equals_the_library():
     pieces += [b"a" * n for n in range(1, 130)] + [bytes([k]) for k in range(256)] + [b"the " * 500]
     for piece in pieces:
         assert byte_bpe.encode_piece(piece, ranks) == lib._encode_single_piece(piece), piece
+    table = byte_bpe.PairTable(ranks)
+    for size in (2, 4, 8, 64):
+        some = [x for x in pieces if len(x) <= size and x not in ranks]
+        got = byte_bpe.encode_pieces(some, table, size)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [lib._encode_single_piece(x) for x in some]
 
 
 def test_byte_bpe_equals_the_library(spark):
@@ -49,7 +54,7 @@ def test_byte_bpe_equals_the_library(spark):
         e = lib.encode_ordinary(t or "")
         want[i, len(e), hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
         plain[i, tuple(e), t or ""] += 1
-    small = byte_bpe.ByteBpeParams(p.ranks, p.pattern, kept_pieces=50, kept_chars=8, part_chars=100)
+    small = byte_bpe.ByteBpeParams(p.ranks, p.pattern, kept_pieces=50, part_chars=100)
     for params in (None, small):
         assert collections.Counter(tuple(r) for r in byte_bpe.digests(docs, params).collect()) == want
     encoded = byte_bpe.encode(docs, small)
@@ -152,12 +157,29 @@ def test_alignment_itself(spark):
             assert [o.first, o.last] == [hit[0], hit[-1]]
 
 
+def test_alignment_of_other_vocabularies(tmp_path):
+    """A vocabulary whose ids don't follow its merges goes to its own library."""
+    import json
+    p = alignment.default_params()
+    with open(p.a, encoding="utf-8") as f:
+        file = json.load(f)
+    x, y = (k for k, v in file["model"]["vocab"].items() if v in (300, 40000))
+    file["model"]["vocab"][x], file["model"]["vocab"][y] = file["model"]["vocab"][y], file["model"]["vocab"][x]
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(file), encoding="utf-8")
+    other, own = alignment.Tokenizers(alignment.AlignParams(str(path), p.b, p.pattern)), alignment.Tokenizers(p)
+    text = "the other side of the river, 1999"
+    assert [other.a_bytes[i] for i in other.a_ids(text)] == [own.a_bytes[i] for i in own.a_ids(text)]
+    assert (other.align(text).group_a == own.align(text).group_a).all()
+
+
 def test_galloping_ranks():
     rnd = random.Random(2)
     for _ in range(300):
         short = sorted(rnd.sample(range(2000), rnd.randrange(30)))
         long = sorted(rnd.sample(range(2000), rnd.randrange(600)))
-        assert alignment.gallop(short, long) == [sum(v < x for v in long) for x in short]
+        got = alignment.gallop(np.array(short, np.int64), np.array(long, np.int64))
+        assert got.tolist() == [sum(v < x for v in long) for x in short]
 
 
 def _vectors(spark, rows, kind="float"):
