@@ -489,9 +489,11 @@ def q_warehouse_drawdown(spark, sf_dir):
 
 @register("compare_policies")
 def q_compare_policies(spark, sf_dir):
-    """Naive, min-max and allocation orders for the snapshot position, side by side."""
+    """Naive, min-max and allocation orders for the snapshot position, side by
+    side. The position, one row a series, is written once for the four uses."""
+    from larder.plans.lineage import cut_lineage
     _, warehouse = P.allocation_inputs(spark, sf_dir)
-    position = _position(spark, sf_dir)
+    position = cut_lineage(_position(spark, sf_dir))
     orders = {"naive": rp.naive_orders(position, P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, P.NAIVE_BUFFER_DAYS),
               "minmax": rp.minmax_orders(position, P.MIN_DAYS_SUPPLY, P.MAX_DAYS_SUPPLY),
               "allocation": rp.allocation_orders(position, warehouse, P.LEAD_TIME_MIN, P.LEAD_TIME_MAX, **COSTS)}
