@@ -158,7 +158,10 @@ def _dealt(rows: pa.RecordBatch, buckets: int) -> dict:
     """The distinct words of a block by bucket, in order."""
     import xxhash
     dealt: dict = {}
-    for w in sorted(set().union(*[t.split() for t in _texts(rows.column("text"))])):
+    distinct: set = set()
+    for t in _texts(rows.column("text")):  # one text's words at a time
+        distinct.update(t.split())
+    for w in sorted(distinct):
         dealt.setdefault(xxhash.xxh3_64_intdigest(w) % buckets, []).append(w)
     return dealt
 
