@@ -6,9 +6,11 @@ columns of ``documents``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm.bpe import digests
+from larder.llm.bpe import default_params, digests
 from larder.llm.common import materialise
 from larder.llm.minhash import MinMaxParams, keep_one
 from larder.llm.mixing import MixParams, mix
@@ -39,8 +41,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the encoded and decoded texts."""
-    return digests(docs)
+    """Token counts and digests of the encoded and decoded texts. Blocks are
+    smaller than by default: the workers have run other stages before."""
+    return digests(docs, replace(default_params(), block_bytes=4 << 20))
 
 
 STAGES = [("quality rules", quality_rules), ("near-duplicates", near_dedup), ("personal data", personal_data),
