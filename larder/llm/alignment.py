@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.byte_bpe import encode_piece
 from larder.llm.common import materialise, pick
 
 
@@ -155,9 +157,18 @@ class Tokenizers:
         order = [vocabulary[x] for x in merged]
         ranks = {x: vocabulary[x] for x in [*(bytes([k]) for k in range(256)), *merged] if x in vocabulary}
         if file.get("normalizer") is None and order == sorted(set(order)) and len(ranks) == 256 + len(merged):
+            import regex
             import tiktoken
             a = tiktoken.Encoding("a", pat_str=p.pattern, mergeable_ranks=ranks, special_tokens={})
-            self.a_ids, self.lossless = a.encode_ordinary, True  # every byte is a token, and nothing is normalised
+            pattern, gap = regex.compile(p.pattern), re.compile(r"\s{1000}")
+
+            def ids(text: str) -> list:
+                if not gap.search(text):
+                    return a.encode_ordinary(text)
+                # The library's own pattern matching fails on very long white space.
+                return [i for piece in pattern.findall(text) for i in encode_piece(piece.encode("utf-8", "replace"), ranks)]
+
+            self.a_ids, self.lossless = ids, True  # every byte is a token, and nothing is normalised
         else:
             from tokenizers import Tokenizer
             a = Tokenizer.from_file(p.a)

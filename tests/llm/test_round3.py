@@ -173,6 +173,18 @@ def test_alignment_of_other_vocabularies(tmp_path):
     assert (other.align(text).group_a == own.align(text).group_a).all()
 
 
+@pytest.mark.parametrize("text", [" " * 300_000 + "x", "a b\n\n" + "\t \n" * 100_000, "a" * 200_000, "ab1 " * 50_000])
+def test_very_long_runs(text):
+    """Runs that a library's pattern fails on; whole texts of one piece."""
+    p = alignment.default_params()
+    a = Tokenizer.from_file(p.a)
+    x = alignment.Tokenizers(p).align(text)
+    assert x.a.tolist() == a.encode(" " + text, add_special_tokens=False).ids and x.group_a[-1] == len(x.a) - 1
+    pieces = byte_bpe._Pieces(byte_bpe.default_params())
+    ids = np.frombuffer(b"".join(next(iter(pieces.encode([text])))), "<u4")
+    assert pieces.decode(ids.tolist()) == text.encode()
+
+
 def test_galloping_ranks():
     rnd = random.Random(2)
     for _ in range(300):
