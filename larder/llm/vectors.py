@@ -8,8 +8,9 @@ is enlarged to its connected group, whose members are compared block by block
 and counted without writing the pairs out. Before that, saturated nodes of
 different groups are compared wherever balls around them can hold a link, so
 groups that link with each other become one. An audit against brute force
-measures every pass's recall per node and starts another one with longer lists
-where it is short; a short last pass is an error.
+measures every pass's recall per node; where it is short, the next pass goes on
+from the graph with orderings not tried before, and the last one with longer
+lists too; a short last pass is an error.
 """
 
 from __future__ import annotations
@@ -31,15 +32,17 @@ class DescentParams:
     ``projections``: orderings that start the graph; ``block``: nodes compared
     at once; ``rounds``: refinement rounds at most; ``settled``: share of new
     list entries at which refining ends; ``audit_rows``: nodes checked against
-    all others; ``recall``: least mean recall of a node's links; ``attempts``:
-    passes at most, each with twice the neighbours and projections."""
+    all others (few of them may have links, and one miss among a handful of
+    these would start a pass for nothing); ``recall``: least mean recall of a
+    node's links; ``attempts``: passes at most, each with twice as many new
+    projections as the one before, from the third on with twice the neighbours."""
     threshold: float = 0.9
     neighbours: int = 6
     projections: int = 4
     block: int = 256
     rounds: int = 3
     settled: float = 0.02
-    audit_rows: int = 256
+    audit_rows: int = 2048
     recall: float = 0.98
     attempts: int = 3
     seed: int = 5
@@ -72,8 +75,8 @@ def _pairs_batch(a, b, c) -> pa.RecordBatch:
     return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], names=["a", "b", "cos"])
 
 
-def _nearest(ids: np.ndarray, vectors: list, k: int) -> tuple:
-    """For each member the ``k`` most similar others: (a, b, cos) arrays."""
+def _nearest(ids: np.ndarray, vectors: list, k: int, bars: np.ndarray | None = None) -> tuple:
+    """For each member the ``k`` most similar others, none below its bar: (a, b, cos) arrays."""
     out: list = [[], [], []]
     sizes = np.array([len(v) for v in vectors])
     for size in np.unique(sizes):
@@ -87,20 +90,21 @@ def _nearest(ids: np.ndarray, vectors: list, k: int) -> tuple:
             continue
         best = np.argpartition(-cos, n - 1, axis=1)[:, :n]
         value = np.take_along_axis(cos, best, 1)
-        good = value > -2
+        good = value > -2 if bars is None else value >= bars[at][:, None]
         out[0].append(np.repeat(own, n)[good.ravel()])
         out[1].append(own[best].ravel()[good.ravel()])
         out[2].append(value.ravel()[good.ravel()].astype(np.float64))
     return tuple(np.concatenate(x) if x else np.empty(0) for x in out)
 
 
-def _start(nodes: DataFrame, p: DescentParams) -> DataFrame:
-    """First ``a, b, cos``: neighbours in blocks of nodes ordered by random projections."""
+def _start(nodes: DataFrame, p: DescentParams, tried: int = 0) -> DataFrame:
+    """First ``a, b, cos``: neighbours in blocks of nodes ordered by random
+    projections, of which those numbered below ``tried`` were used before."""
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict = {}
         for b in batches:
             ids, units = b.column("node").to_numpy(), b.column("unit").to_pylist()
-            for turn in range(p.projections):
+            for turn in range(tried, tried + p.projections):
                 value = np.empty(len(units))
                 code = np.empty(len(units), np.int64)
                 for i, u in enumerate(units):
@@ -142,18 +146,23 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 
 def _refine(graph: DataFrame, nodes: DataFrame, p: DescentParams) -> DataFrame:
     """Candidates ``a, b, cos`` among the neighbours and nearest reverse
-    neighbours of every node (at most twice the list length and itself)."""
+    neighbours of every node (at most twice the list length and itself). Those
+    below the last entry of a full list cannot enter it and are not written."""
     place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("cos"), "a"))
     back = graph.withColumn("place", place).filter(F.col("place") <= p.neighbours).select(
         F.col("b").alias("pivot"), F.col("a").alias("node"))
     own = nodes.select(F.col("node").alias("pivot"), "node")
     lists = graph.select(F.col("a").alias("pivot"), F.col("b").alias("node")).union(back).union(own).distinct()
-    lists = spread_join(lists, nodes.select("node", "unit32"), "node")
+    full = graph.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("last"))
+    bar = F.when(F.col("n") >= p.neighbours, F.col("last")).otherwise(F.lit(-1.5)).alias("bar")  # any cosine is above -1.5
+    barred = nodes.select("node", "unit32").join(full, "node", "left").select("node", "unit32", bar)
+    lists = spread_join(lists, barred, "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots: list = []
         ids: list = []
         units: list = []
+        bars: list = []
 
         def groups(last: bool):
             found: list = [[], [], []]
@@ -161,16 +170,18 @@ def _refine(graph: DataFrame, nodes: DataFrame, p: DescentParams) -> DataFrame:
             stop = [*cuts.tolist(), *([len(pivots)] if last else [])]
             begin = 0
             for end in stop:
-                for x, y in zip(found, _nearest(np.array(ids[begin:end]), units[begin:end], p.neighbours), strict=True):
+                for x, y in zip(found, _nearest(np.array(ids[begin:end]), units[begin:end], p.neighbours, np.array(bars[begin:end])),
+                                strict=True):
                     x.append(y)
                 begin = end
-            del pivots[:begin], ids[:begin], units[:begin]
+            del pivots[:begin], ids[:begin], units[:begin], bars[:begin]
             return [np.concatenate(x) for x in found] if stop else None
 
         for b in batches:
             pivots += b.column("pivot").to_pylist()
             ids += b.column("node").to_pylist()
             units += b.column("unit32").to_pylist()
+            bars += b.column("bar").to_pylist()
             got = groups(False)
             if got:
                 yield _pairs_batch(*got)
@@ -178,7 +189,7 @@ def _refine(graph: DataFrame, nodes: DataFrame, p: DescentParams) -> DataFrame:
         if got:
             yield _pairs_batch(*got)
 
-    return lists.select("pivot", "node", "unit32").repartition("pivot").sortWithinPartitions("pivot").mapInArrow(
+    return lists.select("pivot", "node", "unit32", "bar").repartition("pivot").sortWithinPartitions("pivot").mapInArrow(
         run, "a long, b long, cos double")
 
 
@@ -298,47 +309,57 @@ def _bridges(members: DataFrame, p: DescentParams) -> DataFrame:
     return asked.groupBy("lo", "hi").applyInArrow(link, "a long, b long")
 
 
-def _audit(nodes: DataFrame, found: DataFrame, p: DescentParams) -> float:
-    """Mean share of a node's true links that were found, over those of
-    ``audit_rows`` nodes that have any; the sample is compared with every node."""
+def _true_links(nodes: DataFrame, p: DescentParams) -> DataFrame:
+    """``node, links``: the number of true links of ``audit_rows`` nodes, each
+    compared with every node; those without any are left out."""
     sample = nodes.orderBy(F.xxhash64("node", F.lit(p.seed))).limit(p.audit_rows).select("node", "unit").collect()
-    if not sample:
-        return 1.0
-    ids = np.array([r[0] for r in sample])
     by_size: dict = {}
     for r in sample:
         by_size.setdefault(len(r[1]), []).append((r[0], bytes(r[1])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = dict.fromkeys(ids.tolist(), 0)
-        for b in batches:
-            own, units = b.column("node").to_numpy(), b.column("unit").to_pylist()
-            for size, asked in by_size.items():
-                at = [i for i, u in enumerate(units) if len(u) == size]
-                if not at:
-                    continue
-                m = np.frombuffer(b"".join(units[i] for i in at), np.float64).reshape(len(at), -1)
-                q = np.frombuffer(b"".join(u for _, u in asked), np.float64).reshape(len(asked), -1)
-                hit = q @ m.T >= p.threshold
-                for k, (node, _) in enumerate(asked):
-                    count[node] += int(hit[k].sum()) - int(hit[k][own[at] == node].sum())
-        yield pa.record_batch([pa.array(list(count), pa.int64()), pa.array(list(count.values()), pa.int64())], names=["node", "links"])
-
-    true = nodes.select("node", "unit").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+        asked = {size: (np.array([n for n, _ in some]), np.frombuffer(b"".join(u for _, u in some), np.float64).reshape(len(some), -1))
+                 for size, some in by_size.items()}
+        count = {size: np.zeros(len(ids), np.int64) for size, (ids, _) in asked.items()}
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1024):
+                b = whole.slice(begin, 1024)
+                own, units = b.column("node").to_numpy(), b.column("unit").to_pylist()
+                for size, (ids, q) in asked.items():
+                    at = [i for i, u in enumerate(units) if len(u) == size]
+                    if at:
+                        hit = q @ np.frombuffer(b"".join(units[i] for i in at), np.float64).reshape(len(at), -1).T >= p.threshold
+                        count[size] += (hit & (ids[:, None] != own[at][None, :])).sum(1)
+        for size, (ids, _) in asked.items():
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(count[size], pa.int64())], names=["node", "links"])
+
+    found = nodes.select("node", "unit").mapInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return found.filter("links > 0")
+
+
+def _audit(true: DataFrame, found: DataFrame) -> float:
+    """Mean share of a node's true links that were found; 1 where there are none."""
     share = F.least("links", F.coalesce("distinct_linked", F.lit(0))) / F.col("links")
-    mean = true.filter("links > 0").join(found.select("node", "distinct_linked"), "node", "left").agg(F.avg(share)).first()[0]
+    mean = true.join(found.select("node", "distinct_linked"), "node", "left").agg(F.avg(share)).first()[0]
     return 1.0 if mean is None else mean
 
 
-def _links(nodes: DataFrame, p: DescentParams) -> tuple:
-    """(``node, linked, distinct_linked``, ``node, comp``) of one pass."""
-    graph = materialise(_best(_start(nodes, p), p.neighbours), "graph")
+def _descend(nodes: DataFrame, p: DescentParams, graph: DataFrame | None = None, tried: int = 0) -> DataFrame:
+    """The neighbour graph ``a, b, cos`` after one pass, which goes on from
+    ``graph`` where a pass with the first ``tried`` orderings has left one."""
+    first = _start(nodes, p, tried)
+    graph = materialise(_best(first if graph is None else graph.union(first), p.neighbours), "graph")
     for _ in range(p.rounds):
         old = graph
         graph = materialise(_best(old.union(_refine(old, nodes, p)), p.neighbours), "graph")
         size = graph.count()
         if size - graph.join(old, ["a", "b"], "left_semi").count() <= p.settled * size:
             break
+    return graph
+
+
+def _links(nodes: DataFrame, graph: DataFrame, p: DescentParams) -> tuple:
+    """(``node, linked, distinct_linked``, ``node, comp``) by the neighbour graph."""
     near = graph.filter(F.col("cos") >= p.threshold - 1e-3)
     pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = materialise(_exact(pairs, nodes, p.threshold), "vector-links")
@@ -377,14 +398,18 @@ def similar_vectors(vectors: DataFrame, params: DescentParams = DescentParams(),
     nodes = rows.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("rid").alias("node"), F.min("unit").alias("unit"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("first"))
     nodes = materialise(_with_floats(nodes), "nodes")
+    true = materialise(_true_links(nodes, p), "true-links")
+    graph, tried = None, 0
     for attempt in range(p.attempts):
-        counts, comp = _links(nodes, p)
-        recall = _audit(nodes, counts, p)
+        graph = _descend(nodes, p, graph, tried)
+        counts, comp = _links(nodes, graph, p)
+        recall = _audit(true, counts)
         if recall >= p.recall:
             break
         if attempt + 1 == p.attempts:
             raise RuntimeError(f"recall {recall:.4f} of links after {p.attempts} passes, below {p.recall}")
-        p = replace(p, neighbours=2 * p.neighbours, projections=2 * p.projections, rounds=p.rounds + 2)
+        tried += p.projections
+        p = replace(p, neighbours=p.neighbours * (2 if attempt else 1), projections=2 * p.projections, rounds=p.rounds + 2)
     info = nodes.drop("unit", "unit32").join(counts, "node", "left").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     info = materialise(info, "vector-info")
     first = info.groupBy("comp").agg(F.min("first").alias("component_id"))
