@@ -132,15 +132,17 @@ def assemble_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 def gbt_pipeline(categorical: Sequence[str], max_iter: int = 150, step_size: float = 0.05, seed: int = 42,
                  max_depth: int = 5, label: str = "sales"):
-    """Category codes, one feature vector, boosted trees. A row's place in the
-    growing tree is kept and checkpointed every few trees, so that lineage stays short."""
+    """Category codes, one feature vector, boosted trees. The errors so far are
+    checkpointed every few trees, so that lineage stays short. A row's place in
+    the growing tree is looked up in it: at a few levels this is cheaper than
+    an RDD of places that every level writes anew, and gives the same trees."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
     index = [category_index(categorical)] if categorical else []
     vector = VectorAssembler(inputCols=[NUMERIC_VECTOR, *[f"{c}__idx" for c in categorical]], outputCol="features")
     trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size, seed=seed,
-                         maxDepth=max_depth, maxBins=64, cacheNodeIds=True, checkpointInterval=10)
+                         maxDepth=max_depth, maxBins=64, cacheNodeIds=False, checkpointInterval=10)
     return Pipeline(stages=[*index, vector, trees])
 
 

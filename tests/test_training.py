@@ -164,3 +164,15 @@ def test_only_dates_are_broadcast(spark, feats):
         (feats, feats.limit(3)), (numbers, numbers.limit(3)))]
     assert "strategy=broadcast" in plans[0] and "strategy=broadcast" not in plans[1]
     assert fc.date_semi_join(numbers, numbers.limit(1)).count() == 3
+
+
+def test_places_in_a_tree_are_looked_up(spark, feats):
+    """No RDD of places is written and checkpointed; the trees are the same as with one."""
+    pipeline = fc.gbt_pipeline(CAT, max_iter=3)
+    trees = pipeline.getStages()[-1]
+    assert not trees.getCacheNodeIds() and trees.getCheckpointInterval() == 10
+    rows = fc.assemble_numeric(feats, NUM)
+    looked_up = pipeline.fit(rows).stages[-1].toDebugString
+    trees.setCacheNodeIds(True)
+    kept = pipeline.fit(rows).stages[-1].toDebugString
+    assert looked_up.split("\n")[1:] == kept.split("\n")[1:]
