@@ -169,7 +169,8 @@ def training_losses(model, df: DataFrame, numeric: Sequence[str]) -> list:
 
 
 def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                parallel: int = 4, keep: Sequence[str] = ("store_id", "item_id", "date", "sales"), **kw) -> DataFrame | None:
+                parallel: int = 4, keep: Sequence[str] = ("store_id", "item_id", "date", "sales"),
+                models: dict | None = None, **kw) -> DataFrame | None:
     """One fit per fold on its train dates, its test rows scored: ``fold``, the
     columns ``keep``, ``prediction``. None without folds.
 
@@ -178,7 +179,8 @@ def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categor
     from a thread of the driver in a scheduler pool of its own (pools share the
     cluster evenly where ``spark.scheduler.mode`` is FAIR); a fit is distributed
     and uses few tasks at a time, which leaves room for the others. Every fold
-    writes its scored rows to the shared folder; models are not kept."""
+    writes its scored rows to the shared folder; ``models`` receives the models
+    by fold."""
     spark = df.sparkSession
     ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
     if not ids:
@@ -193,7 +195,10 @@ def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categor
         dates = folds.filter(F.col("fold") == fold)
         train = date_semi_join(data, dates.filter(F.col("role") == "train"))
         test = date_semi_join(data, dates.filter(F.col("role") == "test"))
-        scored = predict(train_model(train, numeric, categorical, **kw), test, numeric)
+        model = train_model(train, numeric, categorical, **kw)
+        if models is not None:
+            models[fold] = model
+        scored = predict(model, test, numeric)
         scored.select(*keep, "prediction").write.parquet(f"{path}/fold={fold}")
 
     with ThreadPoolExecutor(max(1, min(parallel, len(ids)))) as pool:
@@ -203,10 +208,10 @@ def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categor
 
 
 def cross_validate(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                   parallel: int = 4, **kw) -> DataFrame:
+                   parallel: int = 4, models: dict | None = None, **kw) -> DataFrame:
     """Folds fitted side by side (``score_folds``), metrics by one aggregate over
     all scored rows -> (rmse, wmape, n_folds), null without folds."""
-    scored = score_folds(df, folds, numeric, categorical, parallel, ("date", "sales"), **kw)
+    scored = score_folds(df, folds, numeric, categorical, parallel, ("date", "sales"), models, **kw)
     if scored is None:
         none = F.avg(F.lit(None).cast("double"))
         return df.limit(0).agg(none.alias("rmse"), none.alias("wmape"), F.count(F.lit(1)).alias("n_folds"))

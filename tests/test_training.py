@@ -176,3 +176,24 @@ def test_places_in_a_tree_are_looked_up(spark, feats):
     trees.setCacheNodeIds(True)
     kept = pipeline.fit(rows).stages[-1].toDebugString
     assert looked_up.split("\n")[1:] == kept.split("\n")[1:]
+
+
+def test_training_check_takes_all_trees(spark, monkeypatch):
+    """The loss is followed over every tree of the setting, and no fold is fitted twice."""
+    from larder.catalog import queries as q
+    rng = np.random.default_rng(3)
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), "S", "AB"[k], "D", "C", "T", float(9 * k + 4 * (i % 7 >= 5) + rng.integers(0, 9)), int(i % 7), float(rng.integers(0, 99)))
+            for k in range(2) for i in range(100)]
+    fm = spark.createDataFrame(rows, "date date, store_id string, item_id string, dept_id string, cat_id string, state_id string, sales double, day_of_week int, lag_7 double")
+    fm = fm.withColumns({c: F.lit(None).cast("double") for c in q.GBT_NUMERIC if c not in fm.columns})
+    ready = fc.assemble_numeric(fm, q.GBT_NUMERIC).coalesce(1).cache()
+    trees = q.FEW_TREES + 3
+    monkeypatch.setattr(q, "_assembled", lambda *_: ready)
+    monkeypatch.setattr(q, "feature_matrix", lambda *_: ready)
+    monkeypatch.setattr(q, "GBT", {**q.GBT, "max_iter": trees})
+    fits, losses, fit, follow = [], [], fc.train_model, fc.training_losses
+    monkeypatch.setattr(fc, "train_model", lambda *a, **kw: fits.append(kw["max_iter"]) or fit(*a, **kw))
+    monkeypatch.setattr(fc, "training_losses", lambda *a: losses.append(follow(*a)) or losses[-1])
+    row = q.QUERIES["gbt_training_check"](spark, "-").first()
+    assert [len(x) for x in losses] == [trees] and fits == [trees] * 3
+    assert (row.n_folds, row.trees_better, row.loss_falls) == (3, True, True)
