@@ -304,7 +304,7 @@ def q_gbt_training_check(spark, sf_dir):
     fm = _assembled(spark, sf_dir)
     folds = _folds(spark, sf_dir, fm)
     models: dict = {}
-    trees = fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, models=models, **GBT).first()
+    trees = fc.cross_validate(fm, folds, GBT_NUMERIC, GBT_CATEGORICAL, tasks=fc.fit_tasks(fm, P.CV_SPLITS), models=models, **GBT).first()
     average = fc.cv_average(fc.fold_metrics(fc.moving_average_forecast(fm, 28), folds))
     train, _ = _last_fold(spark, sf_dir, fm)
     losses = fc.training_losses(models[P.CV_SPLITS], train, GBT_NUMERIC)

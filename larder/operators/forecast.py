@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,6 +86,10 @@ def rmse(df: DataFrame, y: str, p: str) -> DataFrame:
 # Columns that are neither features nor categories.
 DROP_COLUMNS = ("date", "store_id", "item_id")
 NUMERIC_VECTOR = "numeric__vector"
+VARYING_VECTOR = "numeric__varying"
+# Rows that one task of a fit holds at most, where the caller leaves the number
+# of tasks to ``fit_tasks``: about 60 MB of binned points.
+FIT_TASK_ROWS = 250_000
 
 
 def feature_target_split(df: DataFrame, label: str = "sales", drop: Sequence[str] = DROP_COLUMNS) -> tuple:
@@ -130,25 +135,42 @@ def assemble_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol=NUMERIC_VECTOR).transform(df.withColumns(cols)).drop(*inputs)
 
 
+def varying_slots(df: DataFrame) -> list:
+    """Slots of the numeric vector that have more than one value in ``df``; none
+    if all are constant or there are no rows. Trees cannot split on the others:
+    mostly the 0/1 indicators of features that are never null there."""
+    from pyspark.ml.stat import Summarizer
+    seen = df.agg(Summarizer.metrics("min", "max").summary(F.col(NUMERIC_VECTOR)).alias("s")).select("s.min", "s.max").first()
+    return [i for i, (low, high) in enumerate(zip(seen["min"], seen["max"], strict=True)) if low < high]
+
+
 def gbt_pipeline(categorical: Sequence[str], max_iter: int = 150, step_size: float = 0.05, seed: int = 42,
-                 max_depth: int = 5, label: str = "sales"):
+                 max_depth: int = 5, label: str = "sales", slots: Sequence[int] | None = None):
     """Category codes, one feature vector, boosted trees. The errors so far are
     checkpointed every few trees, so that lineage stays short. A row's place in
     the growing tree is looked up in it: at a few levels this is cheaper than
-    an RDD of places that every level writes anew, and gives the same trees."""
+    an RDD of places that every level writes anew, and gives the same trees.
+    With ``slots`` the trees get only these of the numeric vector."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import VectorAssembler, VectorSlicer
     from pyspark.ml.regression import GBTRegressor
     index = [category_index(categorical)] if categorical else []
-    vector = VectorAssembler(inputCols=[NUMERIC_VECTOR, *[f"{c}__idx" for c in categorical]], outputCol="features")
+    numbers = NUMERIC_VECTOR
+    if slots:
+        numbers = VARYING_VECTOR
+        index.append(VectorSlicer(inputCol=NUMERIC_VECTOR, outputCol=VARYING_VECTOR, indices=list(slots)))
+    vector = VectorAssembler(inputCols=[numbers, *[f"{c}__idx" for c in categorical]], outputCol="features")
     trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, stepSize=step_size, seed=seed,
                          maxDepth=max_depth, maxBins=64, cacheNodeIds=False, checkpointInterval=10)
     return Pipeline(stages=[*index, vector, trees])
 
 
 def train_model(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], **kw):
-    """Fit category codes + vector + GBT on ``train``; returns a PipelineModel."""
-    return gbt_pipeline(categorical, **kw).fit(assemble_numeric(train, numeric))
+    """Fit category codes + vector + GBT on ``train``; returns a PipelineModel.
+    Slots that are constant on ``train`` cost every level of every tree their
+    share and are never split on, so the trees do not get them."""
+    rows = assemble_numeric(train, numeric)
+    return gbt_pipeline(categorical, slots=varying_slots(rows), **kw).fit(rows)
 
 
 def predict(model, df: DataFrame, numeric: Sequence[str]) -> DataFrame:
@@ -156,7 +178,7 @@ def predict(model, df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     if model is None:
         raise ValueError("model is not fitted")
     scored = model.transform(assemble_numeric(df, numeric))
-    helper = [c for c in scored.columns if c.endswith("__idx") or c in ("features", NUMERIC_VECTOR)]
+    helper = [c for c in scored.columns if c.endswith("__idx") or c in ("features", NUMERIC_VECTOR, VARYING_VECTOR)]
     return scored.withColumn("prediction", clip_non_negative(F.col("prediction"))).drop(*helper)
 
 
@@ -168,9 +190,17 @@ def training_losses(model, df: DataFrame, numeric: Sequence[str]) -> list:
     return list(trees.evaluateEachIteration(rows.select("features", trees.getLabelCol()), "squared"))
 
 
+def fit_tasks(df: DataFrame, fits: int) -> int:
+    """Tasks for each of ``fits`` fits side by side on ``df``: together one for
+    each core, more where a task would hold over ``FIT_TASK_ROWS`` rows. Each
+    level of each tree is a job, so tasks beyond that cost more than they share."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, ceil(cores / max(1, fits)), ceil(df.count() / FIT_TASK_ROWS))
+
+
 def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                 parallel: int = 4, keep: Sequence[str] = ("store_id", "item_id", "date", "sales"),
-                models: dict | None = None, **kw) -> DataFrame | None:
+                tasks: int | None = None, models: dict | None = None, **kw) -> DataFrame | None:
     """One fit per fold on its train dates, its test rows scored: ``fold``, the
     columns ``keep``, ``prediction``. None without folds.
 
@@ -178,15 +208,18 @@ def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categor
     independent, so up to ``parallel`` of them are fitted side by side, each
     from a thread of the driver in a scheduler pool of its own (pools share the
     cluster evenly where ``spark.scheduler.mode`` is FAIR); a fit is distributed
-    and uses few tasks at a time, which leaves room for the others. Every fold
-    writes its scored rows to the shared folder; ``models`` receives the models
-    by fold."""
+    and uses few tasks at a time, which leaves room for the others: as many as
+    the vectors have partitions, at most ``tasks`` where given. Partitions are
+    merged without a shuffle: the order of its rows, and so the trees, would
+    differ from run to run. Every fold writes its scored rows to the shared
+    folder; ``models`` receives the models by fold."""
     spark = df.sparkSession
     ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
     if not ids:
         return None
     wanted = list(dict.fromkeys([*keep, "date", "sales", *categorical]))
-    data = cut_lineage(assemble_numeric(df, numeric).select(*wanted, NUMERIC_VECTOR))
+    data = assemble_numeric(df, numeric).select(*wanted, NUMERIC_VECTOR)
+    data = cut_lineage(data.coalesce(tasks) if tasks else data)
     folds = cut_lineage(folds)
     path = scratch_path(spark, "folds")
 
@@ -208,10 +241,10 @@ def score_folds(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categor
 
 
 def cross_validate(df: DataFrame, folds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                   parallel: int = 4, models: dict | None = None, **kw) -> DataFrame:
+                   parallel: int = 4, tasks: int | None = None, models: dict | None = None, **kw) -> DataFrame:
     """Folds fitted side by side (``score_folds``), metrics by one aggregate over
     all scored rows -> (rmse, wmape, n_folds), null without folds."""
-    scored = score_folds(df, folds, numeric, categorical, parallel, ("date", "sales"), models, **kw)
+    scored = score_folds(df, folds, numeric, categorical, parallel, ("date", "sales"), tasks, models, **kw)
     if scored is None:
         none = F.avg(F.lit(None).cast("double"))
         return df.limit(0).agg(none.alias("rmse"), none.alias("wmape"), F.count(F.lit(1)).alias("n_folds"))

@@ -178,6 +178,37 @@ def test_places_in_a_tree_are_looked_up(spark, feats):
     assert looked_up.split("\n")[1:] == kept.split("\n")[1:]
 
 
+def test_constant_slots_are_kept_from_the_trees(spark, feats):
+    """Same predictions as from all slots, also for rows whose slots were constant in training."""
+    full = feats.filter("lag_7 IS NOT NULL")  # both 0/1 indicators are constant there
+    rows = fc.assemble_numeric(full, NUM)
+    assert fc.varying_slots(rows) == [0, 1] and fc.varying_slots(rows.filter("is_weekend = 0")) == [0]
+    slim, plain = fc.train_model(full, NUM, CAT, max_iter=5), fc.gbt_pipeline(CAT, max_iter=5).fit(rows)
+    assert (slim.stages[-1].numFeatures, plain.stages[-1].numFeatures) == (3, 5)
+    a, b = ([tuple(r) for r in fc.predict(m, feats, NUM).orderBy("item_id", "date").collect()] for m in (slim, plain))
+    assert a == b and fc.predict(slim, feats, NUM).columns == [*feats.columns, "prediction"]
+    flat = feats.withColumns({"lag_7": F.lit(1.0), "is_weekend": F.lit(1)})
+    assert fc.varying_slots(fc.assemble_numeric(flat, NUM)) == [] and fc.train_model(flat, NUM, [], max_iter=1).stages[-1].numFeatures == 4
+
+
+def test_tasks_of_fits_side_by_side(spark, feats, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert (fc.fit_tasks(feats, 1), fc.fit_tasks(feats, cores)) == (cores, 1)
+    monkeypatch.setattr(fc, "FIT_TASK_ROWS", 7)
+    assert fc.fit_tasks(feats, cores) == -(-120 // 7)  # what a task holds is bounded, whatever the cores
+    seen, fit = [], fc.train_model
+    monkeypatch.setattr(fc, "train_model", lambda train, *a, **kw: seen.append(train.rdd.getNumPartitions()) or fit(train, *a, **kw))
+    folds = fc.cv_folds(fc.distinct_dates(feats), n_splits=2, horizon=5)
+    models: dict = {}
+    scored = fc.score_folds(feats.repartition(11), folds, NUM, CAT, tasks=3, models=models, max_iter=2)
+    assert seen == [3, 3] and scored.count() == 2 * 5 * 3
+    for f, m in models.items():  # each fold's rows are scored by the model that is handed out
+        test = fc.date_semi_join(feats, folds.filter((F.col("fold") == f) & (F.col("role") == "test")))
+        keys = ("item_id", "date", "prediction")
+        assert sorted(fc.predict(m, test, NUM).select(*keys).collect()) == sorted(scored.filter(F.col("fold") == f).select(*keys).collect())
+    assert sorted(models) == [1, 2]
+
+
 def test_training_check_takes_all_trees(spark, monkeypatch):
     """The loss is followed over every tree of the setting, and no fold is fitted twice."""
     from larder.catalog import queries as q
